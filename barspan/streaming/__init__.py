@@ -1,0 +1,4 @@
+"""No streaming operator exists in the feature set this package covers, so none is defined here.
+
+Ingest is batch-wise (see ``barspan.operators.maintenance``).
+"""
