@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barspan.operators.chunks import CHUNK, DAY, YEAR, asof_merge, chunk_window, join_per_chunk, time_chunk
+from barspan.operators.chunks import CARRIED, CHUNK, DAY, YEAR, asof_merge, chunk_window, time_chunk
 
 OHLC = ["open", "high", "low", "close"]
 # The columns an adjustment table applies to.
@@ -27,20 +27,19 @@ def forward_adjust(
     has 1. A row whose next ratio is unknown has no factor; unknown ratios are skipped inside products.
 
     Rows are shuffled once, by (symbol, chunk). The product over the later chunks comes from a
-    summary with one line per (symbol, chunk).
+    summary with one line per (symbol, chunk) and enters each chunk as its newest row.
     """
     keys = list(keys)
-    newest_first = chunk_window(keys, F.col(time).desc())
-    later = newest_first.rowsBetween(Window.unboundedPreceding, -1)
+    newest_first = chunk_window(keys, F.col(CARRIED).desc(), F.col(time).desc())
+    # lead() over a descending window is the previous row, so ratios and products share one sort.
+    ratio = F.try_divide(F.col("preclose"), F.lead("close").over(newest_first))
 
-    def with_ratio(frame: DataFrame) -> DataFrame:
-        # lead() over the descending window is the previous row, so ratio and products share one sort.
-        return frame.withColumn(CHUNK, time_chunk(F.col(time), chunk_seconds)).withColumn(
-            "_ratio", F.try_divide(F.col("preclose"), F.lead("close").over(newest_first))
-        )
+    def chunked(frame: DataFrame) -> DataFrame:
+        return frame.withColumns({CHUNK: time_chunk(F.col(time), chunk_seconds), CARRIED: F.lit(False)})
 
     ends = (
-        with_ratio(df.select(*keys, time, "close", "preclose"))
+        chunked(df.select(*keys, time, "close", "preclose"))
+        .withColumn("_ratio", ratio)
         .groupBy(*keys, CHUNK)
         .agg(
             F.min_by("preclose", time).alias("_first_preclose"),
@@ -51,33 +50,29 @@ def forward_adjust(
     oldest = Window.partitionBy(*keys).orderBy(CHUNK)
     newest = Window.partitionBy(*keys).orderBy(F.col(CHUNK).desc())
     first_ratio = F.try_divide(F.col("_first_preclose"), F.lag("_last_close").over(oldest))
-    per_chunk = (
+    later_chunks = (
         ends.withColumn("_first_ratio", first_ratio)
         .withColumn("_total", F.coalesce("_first_ratio", F.lit(1.0)) * F.coalesce("_inner", F.lit(1.0)))
         .select(
             *keys,
             CHUNK,
-            F.coalesce(
-                F.product("_total").over(newest.rowsBetween(Window.unboundedPreceding, -1)), F.lit(1.0)
-            ).alias("_after"),
-            F.lag("_first_ratio").over(newest).alias("_next_first_ratio"),
-            F.lag(F.lit(True)).over(newest).alias("_has_next"),
+            F.product("_total").over(newest.rowsBetween(Window.unboundedPreceding, -1)).alias("_later"),
+            F.lag(F.col("_first_ratio").isNotNull()).over(newest).alias("_later_known"),
         )
+        # The last chunk of a key has nothing after it.
+        .where(F.col("_later_known").isNotNull())
+        .withColumn(CARRIED, F.lit(True))
     )
-    rows = with_ratio(df).withColumns(
-        {
-            "_next_ratio": F.lag("_ratio").over(newest_first),
-            "_in_chunk": F.product("_ratio").over(later),
-            "_from_end": F.row_number().over(newest_first),
-        }
-    )
-    ends_chunk = F.col("_from_end") == 1
-    factor = (
-        F.when(ends_chunk & F.col("_has_next").isNull(), F.lit(1.0))
-        .when(F.when(ends_chunk, F.col("_next_first_ratio")).otherwise(F.col("_next_ratio")).isNull(), None)
-        .otherwise(F.coalesce("_in_chunk", F.lit(1.0)) * F.col("_after"))
+    rows = (
+        chunked(df)
+        .unionByName(later_chunks, allowMissingColumns=True)
+        .withColumn("_ratio", F.when(F.col(CARRIED), F.col("_later")).otherwise(ratio))
+        .withColumn("_known", F.when(F.col(CARRIED), F.col("_later_known")).otherwise(F.col("_ratio").isNotNull()))
     )
-    adjusted = join_per_chunk(rows, per_chunk, keys).withColumn("adjust_factor", factor)
+    product = F.product("_ratio").over(newest_first.rowsBetween(Window.unboundedPreceding, -1))
+    next_known = F.lag("_known").over(newest_first)
+    factor = F.when(next_known.isNull(), F.lit(1.0)).when(next_known, F.coalesce(product, F.lit(1.0)))
+    adjusted = rows.withColumn("adjust_factor", factor).where(~F.col(CARRIED))
     prices = {f"adj_{c}": F.col(c) * F.col("adjust_factor") for c in OHLC if c in df.columns}
     return adjusted.withColumns(prices).select(*df.columns, "adjust_factor", *prices)
 

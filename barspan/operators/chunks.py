@@ -6,6 +6,10 @@ task. Here each key's series is cut into time chunks, the row work runs per
 The number of chunks of a key is bounded by history length / chunk width, so no task
 ever holds more than one chunk of rows or one key's list of chunks. Results do not
 depend on the chunk width.
+
+What a chunk has to know of the rest of its key comes back as extra rows of the same
+union ("carried" rows) rather than through a join: the data is shuffled once, NULL keys
+need no special care, and the extra rows are dropped after the window.
 """
 
 from __future__ import annotations
@@ -43,17 +47,6 @@ def chunk_window(keys: Sequence[str], *order: Column) -> Window:
     return Window.partitionBy(*keys, CHUNK).orderBy(*order)
 
 
-def join_per_chunk(rows: DataFrame, per_chunk: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left-join chunk-level values to rows; NULL keys match each other."""
-    on = [*keys, CHUNK]
-    right = per_chunk.withColumnsRenamed({c: f"_r_{c}" for c in on})
-    cond = None
-    for c in on:
-        eq = F.col(c).eqNullSafe(F.col(f"_r_{c}"))
-        cond = eq if cond is None else cond & eq
-    return rows.join(right, cond, "left").drop(*[f"_r_{c}" for c in on])
-
-
 def with_preceding_rows(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], n: int, seconds: int
 ) -> DataFrame:
@@ -65,11 +58,15 @@ def with_preceding_rows(
     """
     rows = df.withColumn(CHUNK, time_chunk(F.col(order[0]), seconds))
     needed = list(dict.fromkeys([*keys, CHUNK, *order, *columns]))
-    newest_first = chunk_window(keys, *[F.col(c).desc() for c in order])
-    # row_number() <= n is limited on the map side already, so a hot chunk ships n rows per task.
-    tails = (
-        rows.select(*needed).withColumn("_back", F.row_number().over(newest_first)).where(F.col("_back") <= n).drop("_back")
-    )
+    if n == 1 and len(order) == 1:
+        # A hash aggregate, combined on the map side.
+        picked = [F.max_by(c, order[0]).alias(c) for c in needed if c not in (*keys, CHUNK, order[0])]
+        tails = rows.groupBy(*keys, CHUNK).agg(F.max(order[0]).alias(order[0]), *picked)
+    else:
+        newest_first = chunk_window(keys, *[F.col(c).desc() for c in order])
+        # row_number() <= n is limited on the map side already, so a hot chunk ships n rows per task.
+        ranked = rows.select(*needed).withColumn("_back", F.row_number().over(newest_first))
+        tails = ranked.where(F.col("_back") <= n).drop("_back")
     per_key = Window.partitionBy(*keys).orderBy(CHUNK, *[F.col(c).asc_nulls_first() for c in order])
     history = F.collect_list(F.struct(*[c for c in needed if c not in (*keys, CHUNK)]))
     carried = (
@@ -118,13 +115,13 @@ def with_position(
     chunk_order = F.col(CHUNK).desc() if newest_first else F.col(CHUNK).asc()
     before = Window.partitionBy(*keys).orderBy(chunk_order).rowsBetween(Window.unboundedPreceding, -1)
     counts = rows.groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(*keys, CHUNK, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    numbered = rows.withColumn("_in_chunk", F.row_number().over(chunk_window(keys, *direction)))
-    return (
-        join_per_chunk(numbered, offsets, keys)
-        .withColumn(name, F.col("_in_chunk") + F.col("_before"))
-        .drop(CHUNK, "_in_chunk", "_before")
+    offsets = counts.withColumn("_n", F.sum("_n").over(before)).where(F.col("_n").isNotNull())
+    merged = rows.withColumns({"_n": F.lit(1).cast("bigint"), CARRIED: F.lit(False)}).unionByName(
+        offsets.withColumn(CARRIED, F.lit(True)), allowMissingColumns=True
     )
+    # The carried row comes first and counts for all rows ahead of the chunk.
+    upto = chunk_window(keys, F.col(CARRIED).desc(), *direction).rowsBetween(Window.unboundedPreceding, 0)
+    return merged.withColumn(name, F.sum("_n").over(upto)).where(~F.col(CARRIED)).drop(CHUNK, CARRIED, "_n")
 
 
 def _latest_before(occupied: DataFrame, known: DataFrame, keys: Sequence[str], value: str) -> DataFrame:

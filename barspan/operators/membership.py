@@ -116,4 +116,5 @@ def members_at_rows(rows: DataFrame, spans: DataFrame, horizon: DataFrame, time:
         & (F.col(time) >= F.col("valid_from"))
         & (F.col("valid_to").isNull() | (F.col(time) < F.col("valid_to")))
     )
-    return keyed.join(laid_out, cond).drop(CHUNK, "_span_chunk", "_stock", "valid_from", "valid_to")
+    # Spark's size estimate does not count what explode() adds, so a broadcast must not be planned from it.
+    return keyed.join(laid_out.hint("merge"), cond).drop(CHUNK, "_span_chunk", "_stock", "valid_from", "valid_to")

@@ -43,10 +43,9 @@ def align_to_calendar(df: DataFrame, calendar: DataFrame, time: str = "dt") -> D
     every = edge.select(F.explode(F.sequence("lo", "hi")).alias("_date"))
     by_date = _neighbours(every.join(dates, "_date", "left"))
     joined = df.withColumn("_date", F.to_date(time)).join(by_date, "_date", "left")
-    before = F.col("_date") < edge.select("lo").scalar()
-    after = F.col("_date") > edge.select("hi").scalar()
-    prev_day = F.when(after, edge.select("last").scalar()).otherwise(F.col("_prev"))
-    next_day = F.when(before, edge.select("first").scalar()).otherwise(F.col("_next"))
+    bounds = edge.select(F.struct("*")).scalar()
+    prev_day = F.when(F.col("_date") > bounds["hi"], bounds["last"]).otherwise(F.col("_prev"))
+    next_day = F.when(F.col("_date") < bounds["lo"], bounds["first"]).otherwise(F.col("_next"))
     return joined.withColumns(
         {"prev_day": prev_day.cast("timestamp_ntz"), "next_day": next_day.cast("timestamp_ntz")}
     ).drop("_date", "_prev", "_next")

@@ -86,9 +86,10 @@ _LO, _HI = "TIMESTAMP '2024-01-08'", "TIMESTAMP '2024-01-20'"
 
 
 def _resample(freq: str, unit: str) -> str:
+    # The first and last bar of a period count even where their adjusted price is unknown.
     parts = {
-        "open": "arg_min(open * adjust_factor, dt)", "high": "max(high * adjust_factor)", "low": "min(low * adjust_factor)",
-        "close": "arg_max(close * adjust_factor, dt)", "amount": "sum(amount)",
+        "open": "arg_min_null(open * adjust_factor, dt)", "high": "max(high * adjust_factor)", "low": "min(low * adjust_factor)",
+        "close": "arg_max_null(close * adjust_factor, dt)", "amount": "sum(amount)",
     }
     cols = ", ".join(f"round({e}, 8) AS {n}_{freq}" for n, e in parts.items())
     return f"""SELECT symbol, CAST(date_trunc('{unit}', dt) AS TIMESTAMP) AS dt, {cols}, CAST(sum(volume) AS BIGINT) AS volume_{freq}
@@ -222,7 +223,7 @@ BODIES = {
             SELECT s.step, (SELECT count(*) FROM bars x WHERE x.dt = d.dt AND x.lb_up_count = s.step AND x.name NOT LIKE '%ST%') AS n
             FROM (SELECT unnest(generate_series(1, CAST(max(d.lb_up_count) AS BIGINT))) AS step) s)), '') AS lb
         FROM bars d WHERE d.name NOT LIKE '%ST%' GROUP BY d.dt""",
-    "derived_columns": "SELECT symbol, dt, " + ", ".join(f"round({e}, 8) AS {n}" for n, e in _MONEY.items()) + " FROM bars",
+    "derived_columns": "SELECT symbol, dt, " + ", ".join(f"{e} AS {n}" for n, e in _MONEY.items()) + " FROM bars",
     "members_of_index": "SELECT index_code, stock_code FROM live",
     "indexes_of_stock": "SELECT index_code, stock_code FROM live_kept",
     "stocks_in_concepts": """SELECT stock_code FROM stocks WHERE stock_code IN

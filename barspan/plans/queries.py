@@ -336,7 +336,7 @@ def derived_columns(spark, sf):
         "mkt_cap", "mkt_cap_ashare", "pe_ttm", "turnover", "debttoasset", "vip_net_flow_in", "inst_net_flow_in",
         "mid_net_flow_in", "indi_net_flow_in", "master_net_flow_in", "master2_net_flow_in", "net_flow_in",
     ]
-    return rounded(out.select("symbol", "dt", *names), *names)
+    return out.select("symbol", "dt", *names)
 
 
 # Membership

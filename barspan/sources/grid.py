@@ -50,11 +50,8 @@ def dense_grid(df: DataFrame) -> DataFrame:
     month, so neither a cross join nor the whole time axis in one value is needed.
     """
     times = df.select("dt").distinct().withColumn("_month", F.trunc("dt", "month"))
-    # One row per month of history.
-    span = times.agg(F.min("_month").alias("lo"), F.max("_month").alias("hi"))
-    months = F.sequence(
-        span.select("lo").scalar(), span.select("hi").scalar(), F.expr("interval 1 month")
-    )
+    span = times.agg(F.min("_month").alias("lo"), F.max("_month").alias("hi")).select(F.struct("*")).scalar()
+    months = F.sequence(span["lo"], span["hi"], F.expr("interval 1 month"))
     cells = (
         df.select("symbol").distinct().withColumn("_month", F.explode(months)).join(times, "_month").drop("_month")
     )
