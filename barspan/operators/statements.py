@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +11,11 @@ from barspan.operators.chunks import CARRIED, CHUNK, YEAR, chunk_window, with_pr
 
 KEYS = ["ts_code", "f_ann_date", "end_date"]
 
+# A key with more rows than this is salted in the merge; the list of such keys is bounded for broadcasting.
+HOT_ROWS = 1_000_000
+MAX_HOT_KEYS = 10_000
+SALTS = 64
+
 
 def clean_statements(df: DataFrame, fields: Sequence[str] | None = None, chunk_seconds: int = YEAR) -> DataFrame:
     """Drop late restatements of older periods.
@@ -32,11 +36,64 @@ def clean_statements(df: DataFrame, fields: Sequence[str] | None = None, chunk_s
     )
 
 
-def merge_statements(*tables: DataFrame, sort: bool = True) -> DataFrame | None:
+def _key_counts(table: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return table.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def _hot_keys(counts: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
+    """The most frequent keys of a table: at most ``MAX_HOT_KEYS``, each with more than ``hot_rows`` rows.
+
+    A key left out by the limit has fewer than 1 / MAX_HOT_KEYS of the rows, so it needs no salt.
+    """
+    return counts.where(F.col("_n") > hot_rows).orderBy(F.col("_n").desc()).limit(MAX_HOT_KEYS).select(*keys)
+
+
+def _flag(df: DataFrame, hot: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    return df.join(F.broadcast(hot.withColumn(name, F.lit(True))), list(keys), "left").withColumn(
+        name, F.coalesce(name, F.lit(False))
+    )
+
+
+def full_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], hot_left: DataFrame, hot_right: DataFrame, salts: int = SALTS
+) -> DataFrame:
+    """Full outer join whose hot keys are spread over several tasks.
+
+    Spark cannot split a skewed full outer join. Here the rows of a key that is hot on one side get a
+    random salt, and the other side's rows of that key are repeated once per salt. A repeated row that
+    meets no partner under its salt is dropped: its key is known to exist on the hot side, so the row
+    has its partners under other salts. The result is the plain full outer join.
+    """
+    keys = list(keys)
+    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
+    # Drawn row by row, so identical copies are spread too.
+    one_salt = F.floor(F.rand(17) * salts).cast("int")
+
+    def side(df: DataFrame, own: str, other: str) -> DataFrame:
+        flagged = _flag(_flag(df, hot_left, keys, "_hotl"), hot_right, keys, "_hotr")
+        repeated = F.when(F.col(f"_hot{other}"), every_salt).otherwise(F.array(F.lit(0)))
+        return (
+            flagged.withColumn(f"_s{own}", F.when(F.col(f"_hot{own}"), one_salt).otherwise(0))
+            .withColumn(f"_s{other}", F.explode(repeated))
+            .withColumn(f"_in{own}", F.lit(True))
+            .withColumnRenamed(f"_hot{other}", f"_repeated{own}")
+            .drop(f"_hot{own}")
+        )
+
+    joined = side(left, "l", "r").join(side(right, "r", "l"), [*keys, "_sl", "_sr"], "full")
+    lonely_left = F.col("_inr").isNull() & F.col("_repeatedl")
+    lonely_right = F.col("_inl").isNull() & F.col("_repeatedr")
+    return joined.where(~(F.coalesce(lonely_left, F.lit(False)) | F.coalesce(lonely_right, F.lit(False)))).drop(
+        "_sl", "_sr", "_inl", "_inr", "_repeatedl", "_repeatedr"
+    )
+
+
+def merge_statements(*tables: DataFrame, sort: bool = True, hot_rows: int = HOT_ROWS) -> DataFrame | None:
     """Full outer merge of statement tables on (ts_code, f_ann_date, end_date).
 
-    Fields that occur in several tables get the suffix ``_2``, ``_3``, ... of their table's place. If any
-    table is empty the result is empty; no table gives ``None``.
+    Fields that occur in several tables get the suffix ``_2``, ``_3``, ... of their table's place. No table,
+    or an empty one among several, gives ``None``. One small job per table counts rows and looks for hot
+    keys; without any, the plain join is used.
     """
     if not tables:
         return None
@@ -45,13 +102,23 @@ def merge_statements(*tables: DataFrame, sort: bool = True) -> DataFrame | None:
     seen: set[str] = set()
     prepared = []
     for place, table in enumerate(tables, start=1):
-        renames = {c: f"{c}_{place}" for c in table.columns if c not in KEYS and c in seen}
-        table = table.withColumnsRenamed(renames)
+        table = table.withColumnsRenamed({c: f"{c}_{place}" for c in table.columns if c not in KEYS and c in seen})
         seen |= set(table.columns) - set(KEYS)
         prepared.append(table)
-    merged = reduce(lambda left, right: left.join(right, KEYS, "full"), prepared)
-    # A table without rows empties the merge; limit(1) stops at the first row found.
-    for table in tables:
-        some = table.limit(1).agg(F.count(F.lit(1)).alias("n"))
-        merged = merged.where(some.scalar() > 0)
+    merged, hot = None, None
+    for table in prepared:
+        counts = _key_counts(table, KEYS)
+        size = counts.agg(F.sum("_n").alias("n_rows"), F.max("_n").alias("hottest")).first()
+        if not size.n_rows:
+            return None
+        own_hot = _hot_keys(counts, KEYS, hot_rows) if size.hottest > hot_rows else None
+        if merged is None:
+            merged, hot = table, own_hot
+        elif hot is None and own_hot is None:
+            merged = merged.join(table, KEYS, "full")
+        else:
+            none = table.select(*KEYS).limit(0)
+            merged = full_join(merged, table, KEYS, none if hot is None else hot, none if own_hot is None else own_hot)
+            # A key that is hot in one of the inputs is hot in the merge.
+            hot = own_hot if hot is None else hot if own_hot is None else hot.unionByName(own_hot).distinct()
     return merged.orderBy(*KEYS) if sort else merged
