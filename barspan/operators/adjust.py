@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barspan.operators.chunks import CARRIED, CHUNK, DAY, YEAR, asof_merge, chunk_window, time_chunk
+from barspan.operators.chunks import CARRIED, CHUNK, YEAR, asof_merge, chunk_window, time_chunk
 
 OHLC = ["open", "high", "low", "close"]
 # The columns an adjustment table applies to.
@@ -93,7 +93,7 @@ def fits_broadcast(factors: DataFrame, keys: Sequence[str]) -> bool:
 def asof_value(
     bars: DataFrame, factors: DataFrame, keys: Sequence[str] = ("symbol",), time: str = "dt",
     factor_time: str = "tradedate", value: str = "adjust_factor", sequence: str | None = None,
-    broadcast: bool | None = None, chunk_seconds: int = DAY,
+    broadcast: bool | None = None, chunk_seconds: int | None = None,
 ) -> DataFrame:
     """Attach the latest ``value`` whose time is <= the bar's time, NULL before the first one.
 
@@ -122,7 +122,7 @@ def asof_value(
 
 def asof_adjust(
     bars: DataFrame, factors: DataFrame, method: str = "multiply", sequence: str | None = None,
-    broadcast: bool | None = None, chunk_seconds: int = DAY,
+    broadcast: bool | None = None, chunk_seconds: int | None = None,
 ) -> DataFrame:
     """Multiply price columns by, or reduce them by, the factor in force at each bar's time."""
     if method not in ("multiply", "minus"):

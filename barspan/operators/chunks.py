@@ -5,7 +5,7 @@ task. Here each key's series is cut into time chunks, the row work runs per
 (key, chunk), and only a summary with one line per (key, chunk) is ordered per key.
 The number of chunks of a key is bounded by history length / chunk width, so no task
 ever holds more than one chunk of rows or one key's list of chunks. Results do not
-depend on the chunk width.
+depend on the chunk width; operators on ticks measure it from the data unless it is given.
 
 What a chunk has to know of the rest of its key comes back as extra rows of the same
 union ("carried" rows) rather than through a join: the data is shuffled once, NULL keys
@@ -19,10 +19,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+MINUTE = 60
 HOUR = 3_600
 DAY = 86_400
 YEAR = 366 * DAY
 
+# Rows a chunk should hold at most, so that one task sorts it comfortably.
+TARGET_ROWS = 2_000_000
+
 CHUNK = "_chunk"
 CARRIED = "_carried"
 
@@ -43,6 +47,21 @@ def time_chunk(time: Column, seconds: int) -> Column:
     return F.coalesce(number, F.lit(_NO_TIME))
 
 
+def measured_width(df: DataFrame, keys: Sequence[str], time: str, target_rows: int = TARGET_ROWS) -> int:
+    """A chunk width that fits the data: rows of the busiest key and hour decide.
+
+    One pass over the keys and times, combined on the map side. Quiet data gets day-wide chunks, so the
+    summary stays small; a hot key gets chunks as narrow as its traffic needs. Only speed depends on it.
+    """
+    hours = df.groupBy(*keys, time_chunk(F.col(time), HOUR).alias(CHUNK)).count()
+    busiest = hours.agg(F.max("count")).first()[0] or 0
+    if busiest * (DAY // HOUR) <= target_rows:
+        return DAY
+    if busiest <= target_rows:
+        return HOUR
+    return max(1, HOUR * target_rows // busiest)
+
+
 def chunk_window(keys: Sequence[str], *order: Column) -> Window:
     return Window.partitionBy(*keys, CHUNK).orderBy(*order)
 
@@ -107,9 +126,11 @@ def rolling_max(
 
 
 def with_position(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, seconds: int, newest_first: bool = False
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, seconds: int | None = None,
+    newest_first: bool = False,
 ) -> DataFrame:
     """1-based row number per key, counted from the oldest (or newest) row."""
+    seconds = seconds or measured_width(df, keys, order[0])
     rows = df.withColumn(CHUNK, time_chunk(F.col(order[0]), seconds))
     direction = [F.col(c).desc() if newest_first else F.col(c).asc() for c in order]
     chunk_order = F.col(CHUNK).desc() if newest_first else F.col(CHUNK).asc()
@@ -141,7 +162,8 @@ def _latest_before(occupied: DataFrame, known: DataFrame, keys: Sequence[str], v
 
 
 def asof_merge(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], time: str, right_time: str, value: str, seconds: int
+    left: DataFrame, right: DataFrame, keys: Sequence[str], time: str, right_time: str, value: str,
+    seconds: int | None = None,
 ) -> DataFrame:
     """Attach to each left row the ``value`` with the greatest ``right_time <= time``, else NULL.
 
@@ -149,6 +171,7 @@ def asof_merge(
     force at the start of a chunk is added as one extra row. ``right`` must be unique on
     (keys, right_time) and free of NULL values.
     """
+    seconds = seconds or measured_width(left, keys, time)
     rows = left.withColumn(CHUNK, time_chunk(F.col(time), seconds)).withColumns(
         {"_t": F.col(time), "_side": F.lit(2), "_v": F.lit(None).cast(right.schema[value].dataType)}
     )
@@ -168,8 +191,11 @@ def asof_merge(
     )
 
 
-def forward_fill(df: DataFrame, keys: Sequence[str], time: str, column: str, name: str, seconds: int) -> DataFrame:
+def forward_fill(
+    df: DataFrame, keys: Sequence[str], time: str, column: str, name: str, seconds: int | None = None
+) -> DataFrame:
     """Last non-NULL value of ``column`` up to and including each row."""
+    seconds = seconds or measured_width(df, keys, time)
     rows = df.withColumn(CHUNK, time_chunk(F.col(time), seconds)).withColumn("_v", F.col(column))
     known = rows.where(F.col("_v").isNotNull()).groupBy(*keys, CHUNK).agg(F.max_by("_v", time).alias("_v"))
     in_force = _latest_before(rows.select(*keys, CHUNK).distinct(), known, keys, "_v")

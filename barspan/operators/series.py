@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from typing import Any
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from barspan.operators.chunks import DAY, with_position
+from barspan.operators.chunks import with_position
 
 
 def row_counts(df: DataFrame, keys: Sequence[str] = ("symbol",), time: str = "dt") -> DataFrame:
@@ -20,7 +21,7 @@ def row_counts(df: DataFrame, keys: Sequence[str] = ("symbol",), time: str = "dt
 
 def series_blocks(
     df: DataFrame, fields: Sequence[str], keys: Sequence[str] = ("symbol",), time: str = "dt", block_rows: int = 1000,
-    chunk_seconds: int = DAY,
+    chunk_seconds: int | None = None,
 ) -> DataFrame:
     """Each symbol's series in time order as arrays of at most ``block_rows`` elements.
 
@@ -43,7 +44,7 @@ def _blocks(numbered: DataFrame, keys: Sequence[str], time: str, fields: Sequenc
 
 def gather_fields(
     df: DataFrame, fields: Sequence[str], keys: Sequence[str], order: Sequence[str], block_values: int = 1000,
-    chunk_seconds: int = DAY,
+    chunk_seconds: int | None = None,
 ) -> DataFrame:
     """Column-wise gather of ragged rows: per key and field the present values in order, in bounded blocks.
 
@@ -62,10 +63,11 @@ def map_rows(df: DataFrame, convert: Callable[[Mapping[str, Any]], tuple], schem
     Only for conversions that have no built-in expression; use ``select`` otherwise.
     """
     out_schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    names = out_schema.names
+    names, arrow_schema = out_schema.names, to_arrow_schema(out_schema)
 
-    def batches(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            yield pd.DataFrame([convert(row) for row in part.to_dict("records")], columns=names)
+            rows = [dict(zip(names, convert(row))) for row in part.to_pylist()]
+            yield pa.RecordBatch.from_pylist(rows, schema=arrow_schema)
 
-    return df.mapInPandas(batches, out_schema)
+    return df.mapInArrow(batches, out_schema)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -92,8 +93,8 @@ def merge_statements(*tables: DataFrame, sort: bool = True, hot_rows: int = HOT_
     """Full outer merge of statement tables on (ts_code, f_ann_date, end_date).
 
     Fields that occur in several tables get the suffix ``_2``, ``_3``, ... of their table's place. No table,
-    or an empty one among several, gives ``None``. One small job per table counts rows and looks for hot
-    keys; without any, the plain join is used.
+    or an empty one among several, gives ``None``. One job counts the rows per key of all tables first;
+    without hot keys the plain join is used.
     """
     if not tables:
         return None
@@ -105,20 +106,20 @@ def merge_statements(*tables: DataFrame, sort: bool = True, hot_rows: int = HOT_
         table = table.withColumnsRenamed({c: f"{c}_{place}" for c in table.columns if c not in KEYS and c in seen})
         seen |= set(table.columns) - set(KEYS)
         prepared.append(table)
-    merged, hot = None, None
-    for table in prepared:
-        counts = _key_counts(table, KEYS)
-        size = counts.agg(F.sum("_n").alias("n_rows"), F.max("_n").alias("hottest")).first()
-        if not size.n_rows:
-            return None
-        own_hot = _hot_keys(counts, KEYS, hot_rows) if size.hottest > hot_rows else None
-        if merged is None:
-            merged, hot = table, own_hot
-        elif hot is None and own_hot is None:
+    counts = [_key_counts(table, KEYS) for table in prepared]
+    tagged = [c.select(F.lit(place).alias("place"), "_n") for place, c in enumerate(counts)]
+    sizes = reduce(DataFrame.unionByName, tagged).groupBy("place").agg(F.max("_n").alias("hottest")).collect()
+    hottest = {r.place: r.hottest for r in sizes}
+    if len(hottest) < len(prepared):
+        return None
+    hot = [_hot_keys(c, KEYS, hot_rows) if hottest[place] > hot_rows else None for place, c in enumerate(counts)]
+    merged, merged_hot = prepared[0], hot[0]
+    for table, table_hot in zip(prepared[1:], hot[1:]):
+        if merged_hot is None and table_hot is None:
             merged = merged.join(table, KEYS, "full")
-        else:
-            none = table.select(*KEYS).limit(0)
-            merged = full_join(merged, table, KEYS, none if hot is None else hot, none if own_hot is None else own_hot)
-            # A key that is hot in one of the inputs is hot in the merge.
-            hot = own_hot if hot is None else hot if own_hot is None else hot.unionByName(own_hot).distinct()
+            continue
+        none = table.select(*KEYS).limit(0)
+        merged = full_join(merged, table, KEYS, merged_hot or none, table_hot or none)
+        # A key that is hot in one of the inputs is hot in the merge.
+        merged_hot = (merged_hot or none).unionByName(table_hot or none).distinct()
     return merged.orderBy(*KEYS) if sort else merged

@@ -188,7 +188,7 @@ QUERIES["asof_adjust_merged"] = _asof("multiply", False)
 
 @query
 def forward_fill(spark, sf):
-    filled = chunks.forward_fill(data.sparse_factors(spark, sf), ["symbol"], "dt", "factor", "filled", chunks.DAY)
+    filled = chunks.forward_fill(data.sparse_factors(spark, sf), ["symbol"], "dt", "factor", "filled")
     return rounded(filled, "factor", "filled")
 
 
@@ -236,7 +236,7 @@ def row_counts(spark, sf):
 def series_by_symbol(spark, sf):
     blocks = series.series_blocks(
         data.ticks(spark, sf).withColumn("cents", F.round(F.col("last_price") * 100).cast("bigint")),
-        ["cents"], block_rows=20, chunk_seconds=7 * chunks.DAY,
+        ["cents"], block_rows=20,
     )
     return blocks.withColumn("cents", F.array_join(F.col("cents").cast("array<string>"), ","))
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from barspan.functions.predicates import as_literal, in_range, time_literal
 from barspan.operators.adjust import asof_adjust
-from barspan.operators.chunks import DAY, with_position
+from barspan.operators.chunks import with_position
 
 # Spark limits row_number() <= n before the shuffle only up to this n (spark.sql.optimizer.windowGroupLimitThreshold).
 _MAP_SIDE_LIMIT = 1000
@@ -54,14 +54,16 @@ def last_rows_of_table(
 
 
 def last_rows(
-    df: DataFrame, n: int = 1, keys: Sequence[str] = ("symbol",), order: Sequence[str] = ("dt",), chunk_seconds: int = DAY
+    df: DataFrame, n: int = 1, keys: Sequence[str] = ("symbol",), order: Sequence[str] = ("dt",),
+    chunk_seconds: int | None = None,
 ) -> DataFrame:
     """The ``n`` newest rows of every key."""
     return _edge_rows(df, n, keys, order, chunk_seconds, newest=True)
 
 
 def first_rows(
-    df: DataFrame, n: int = 1, keys: Sequence[str] = ("symbol",), order: Sequence[str] = ("dt",), chunk_seconds: int = DAY
+    df: DataFrame, n: int = 1, keys: Sequence[str] = ("symbol",), order: Sequence[str] = ("dt",),
+    chunk_seconds: int | None = None,
 ) -> DataFrame:
     """The ``n`` oldest rows of every key."""
     return _edge_rows(df, n, keys, order, chunk_seconds, newest=False)

@@ -236,3 +236,11 @@ def test_chunk_numbers_are_monotonic(spark):
     df = spark.createDataFrame([(t,) for t in times], "t timestamp_ntz")
     got = [r[0] for r in df.orderBy("t").select(chunks.time_chunk(F.col("t"), chunks.HOUR)).collect()]
     assert got == [-1, 0, 0, 1]
+
+
+def test_measured_width(spark, bars):
+    hour = dt.datetime(2024, 1, 1, 10)
+    busy = spark.createDataFrame([("A", hour + dt.timedelta(seconds=i)) for i in range(600)], "symbol string, dt timestamp_ntz")
+    width = lambda target: chunks.measured_width(busy, ["symbol"], "dt", target)
+    assert [width(n) for n in (20_000, 600, 100, 1)] == [chunks.DAY, chunks.HOUR, 600, 6]
+    assert chunks.measured_width(bars.limit(0), ["symbol"], "dt") == chunks.DAY

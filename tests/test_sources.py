@@ -221,3 +221,9 @@ def test_series_blocks_cover_all_rows(daily):
         mine = sorted((b for b in blocks if b.symbol == symbol), key=lambda b: b.block)
         joined = [t for b in mine for t in b.dt]
         assert joined == sorted(joined) and len(joined) == daily.where(F.col("symbol") == symbol).count()
+
+
+def test_map_rows_keeps_types(spark):
+    df = spark.createDataFrame([(1, None, _d(1)), (None, "x", None)], "a bigint, b string, t timestamp_ntz")
+    out = series.map_rows(df, lambda r: (r["a"], r["b"], r["t"]), "a bigint, b string, t timestamp_ntz")
+    assert sorted(map(str, out.collect())) == sorted(map(str, df.collect()))
