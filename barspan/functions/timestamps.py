@@ -27,6 +27,11 @@ def from_epoch(value: Column, unit: str = "us") -> Column:
     return at.cast("timestamp_ntz")
 
 
+def from_parts(year: Column, month: Column, day: Column, hour: Column, minute: Column, second: Column) -> Column:
+    """A naive timestamp from its parts; ``second`` may carry a fraction (as decimal). Impossible dates give NULL."""
+    return F.try_make_timestamp_ntz(year, month, day, hour, minute, second)
+
+
 def _floor_div(value: Column, by: int) -> Column:
     """Integer division rounding down, exact for the whole bigint range."""
     return F.call_function("div", value - F.pmod(value, F.lit(by)), F.lit(by))

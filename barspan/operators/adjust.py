@@ -90,6 +90,15 @@ def fits_broadcast(factors: DataFrame, keys: Sequence[str]) -> bool:
     return (size.n or 0) <= BROADCAST_ROWS and (size.hot or 0) <= BROADCAST_ROWS_PER_KEY
 
 
+def validity_spans(points: DataFrame, keys: Sequence[str], time: str) -> DataFrame:
+    """Change points to half-open periods ``[valid_from, valid_to)``; the last one is open (NULL).
+
+    For tables that are small per key, see ``fits_broadcast``.
+    """
+    following = F.lead(time).over(Window.partitionBy(*keys).orderBy(time))
+    return points.withColumns({"valid_from": F.col(time), "valid_to": following}).drop(time)
+
+
 def asof_value(
     bars: DataFrame, factors: DataFrame, keys: Sequence[str] = ("symbol",), time: str = "dt",
     factor_time: str = "tradedate", value: str = "adjust_factor", sequence: str | None = None,
@@ -107,12 +116,8 @@ def asof_value(
         broadcast = fits_broadcast(points, keys)
     if not broadcast:
         return asof_merge(bars, points, keys, time, factor_time, value, chunk_seconds)
-    next_time = F.lead(factor_time).over(Window.partitionBy(*keys).orderBy(factor_time))
-    spans = points.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys],
-        F.col(factor_time).alias("_from"),
-        next_time.alias("_to"),
-        F.col(value),
+    spans = validity_spans(points, keys, factor_time).withColumnsRenamed(
+        {**{k: f"_k_{k}" for k in keys}, "valid_from": "_from", "valid_to": "_to"}
     )
     cond = (F.col(time) >= F.col("_from")) & (F.col("_to").isNull() | (F.col(time) < F.col("_to")))
     for k in keys:

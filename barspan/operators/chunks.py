@@ -19,13 +19,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MINUTE = 60
 HOUR = 3_600
 DAY = 86_400
 YEAR = 366 * DAY
 
 # Rows a chunk should hold at most, so that one task sorts it comfortably.
 TARGET_ROWS = 2_000_000
+_UNEVEN = 4
 
 CHUNK = "_chunk"
 CARRIED = "_carried"
@@ -48,18 +48,17 @@ def time_chunk(time: Column, seconds: int) -> Column:
 
 
 def measured_width(df: DataFrame, keys: Sequence[str], time: str, target_rows: int = TARGET_ROWS) -> int:
-    """A chunk width that fits the data: rows of the busiest key and hour decide.
+    """A chunk width that fits the data: rows of the busiest key and day decide.
 
     One pass over the keys and times, combined on the map side. Quiet data gets day-wide chunks, so the
     summary stays small; a hot key gets chunks as narrow as its traffic needs. Only speed depends on it.
     """
-    hours = df.groupBy(*keys, time_chunk(F.col(time), HOUR).alias(CHUNK)).count()
-    busiest = hours.agg(F.max("count")).first()[0] or 0
-    if busiest * (DAY // HOUR) <= target_rows:
-        return DAY
+    days = df.groupBy(*keys, time_chunk(F.col(time), DAY).alias(CHUNK)).count()
+    busiest = days.agg(F.max("count")).first()[0] or 0
     if busiest <= target_rows:
-        return HOUR
-    return max(1, HOUR * target_rows // busiest)
+        return DAY
+    # Trading is uneven within a day.
+    return max(1, DAY * target_rows // (busiest * _UNEVEN))
 
 
 def chunk_window(keys: Sequence[str], *order: Column) -> Window:

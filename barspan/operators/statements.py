@@ -16,6 +16,7 @@ KEYS = ["ts_code", "f_ann_date", "end_date"]
 HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 10_000
 SALTS = 64
+COPIES = 10_000
 
 
 def clean_statements(df: DataFrame, fields: Sequence[str] | None = None, chunk_seconds: int = YEAR) -> DataFrame:
@@ -28,7 +29,11 @@ def clean_statements(df: DataFrame, fields: Sequence[str] | None = None, chunk_s
     if fields is not None:
         df = df.select(*dict.fromkeys([*KEYS, *fields]))
     rows = with_preceding_rows(df, ["ts_code"], ["f_ann_date", "end_date"], [], 1, chunk_seconds)
-    w = chunk_window(["ts_code"], F.col(CARRIED).desc(), F.col("f_ann_date").asc_nulls_first(), F.col("end_date").asc_nulls_first())
+    # The hash settles which of several rows without an end_date comes first.
+    w = chunk_window(
+        ["ts_code"], F.col(CARRIED).desc(), F.col("f_ann_date").asc_nulls_first(), F.col("end_date").asc_nulls_first(),
+        F.xxhash64(*df.columns),
+    )
     first = F.lag(F.lit(True)).over(w).isNull()
     return (
         rows.withColumns({"_first": first, "_previous": F.lag("end_date").over(w)})
@@ -44,9 +49,11 @@ def _key_counts(table: DataFrame, keys: Sequence[str]) -> DataFrame:
 def _hot_keys(counts: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
     """The most frequent keys of a table: at most ``MAX_HOT_KEYS``, each with more than ``hot_rows`` rows.
 
-    A key left out by the limit has fewer than 1 / MAX_HOT_KEYS of the rows, so it needs no salt.
+    A key left out by the limit has fewer than 1 / MAX_HOT_KEYS of the rows, so it needs no salt. The order
+    is total: every evaluation gives the same keys.
     """
-    return counts.where(F.col("_n") > hot_rows).orderBy(F.col("_n").desc()).limit(MAX_HOT_KEYS).select(*keys)
+    order = [F.col("_n").desc(), *keys]
+    return counts.where(F.col("_n") > hot_rows).orderBy(*order).limit(MAX_HOT_KEYS).select(*keys)
 
 
 def _flag(df: DataFrame, hot: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
@@ -60,33 +67,39 @@ def full_join(
 ) -> DataFrame:
     """Full outer join whose hot keys are spread over several tasks.
 
-    Spark cannot split a skewed full outer join. Here the rows of a key that is hot on one side get a
-    random salt, and the other side's rows of that key are repeated once per salt. A repeated row that
-    meets no partner under its salt is dropped: its key is known to exist on the hot side, so the row
-    has its partners under other salts. The result is the plain full outer join.
+    Spark cannot split a skewed full outer join. Here the rows of a key that is hot on one side get a salt,
+    and the other side's rows of that key are repeated once per salt. A repeated row that meets no partner
+    under its salt is dropped: its key is known to exist on the hot side, so the row has its partners under
+    other salts. The result is the plain full outer join.
+
+    The salt is a hash of the row, so a task that runs again draws the same one. Identical copies would share
+    it; they are counted before the shuffle, cut into pieces of at most ``COPIES`` and multiplied out again
+    after the join.
     """
     keys = list(keys)
     every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
-    # Drawn row by row, so identical copies are spread too.
-    one_salt = F.floor(F.rand(17) * salts).cast("int")
 
     def side(df: DataFrame, own: str, other: str) -> DataFrame:
-        flagged = _flag(_flag(df, hot_left, keys, "_hotl"), hot_right, keys, "_hotr")
+        pieces = F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / COPIES).cast("int"))
+        counted = _key_counts(df, df.columns).withColumn("_piece", F.explode(pieces))
+        flagged = _flag(_flag(counted, hot_left, keys, "_hotl"), hot_right, keys, "_hotr")
+        one_salt = F.pmod(F.xxhash64(*df.columns, "_piece"), F.lit(salts)).cast("int")
         repeated = F.when(F.col(f"_hot{other}"), every_salt).otherwise(F.array(F.lit(0)))
         return (
             flagged.withColumn(f"_s{own}", F.when(F.col(f"_hot{own}"), one_salt).otherwise(0))
             .withColumn(f"_s{other}", F.explode(repeated))
-            .withColumn(f"_in{own}", F.lit(True))
+            .withColumn(f"_copies{own}", F.least(F.lit(COPIES), F.col("_n") - F.col("_piece") * COPIES))
             .withColumnRenamed(f"_hot{other}", f"_repeated{own}")
-            .drop(f"_hot{own}")
+            .drop(f"_hot{own}", "_n", "_piece")
         )
 
     joined = side(left, "l", "r").join(side(right, "r", "l"), [*keys, "_sl", "_sr"], "full")
-    lonely_left = F.col("_inr").isNull() & F.col("_repeatedl")
-    lonely_right = F.col("_inl").isNull() & F.col("_repeatedr")
-    return joined.where(~(F.coalesce(lonely_left, F.lit(False)) | F.coalesce(lonely_right, F.lit(False)))).drop(
-        "_sl", "_sr", "_inl", "_inr", "_repeatedl", "_repeatedr"
-    )
+    lonely_left = F.col("_copiesr").isNull() & F.col("_repeatedl")
+    lonely_right = F.col("_copiesl").isNull() & F.col("_repeatedr")
+    whole = joined.where(~(F.coalesce(lonely_left, F.lit(False)) | F.coalesce(lonely_right, F.lit(False))))
+    for copies in ("_copiesl", "_copiesr"):
+        whole = whole.withColumn(copies, F.explode(F.sequence(F.lit(1), F.coalesce(copies, F.lit(1)))))
+    return whole.select(*left.columns, *[c for c in right.columns if c not in keys])
 
 
 def merge_statements(*tables: DataFrame, sort: bool = True, hot_rows: int = HOT_ROWS) -> DataFrame | None:

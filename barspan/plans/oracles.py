@@ -263,6 +263,12 @@ BODIES = {
         FULL JOIN ({_clean("(SELECT * FROM statements WHERE status <> 'F')")}) c USING (ts_code, f_ann_date, end_date)""",
     "csv_ingest": f"""SELECT {_BAR}, name, CAST(round(amount) AS BIGINT) AS amount, maxupordown, CAST(NULL AS DOUBLE) AS pe_ttm,
         'bars_daily_' || symbol || '_SZ' AS table_name FROM bars""",
+    "ticks_csv_ingest": """SELECT symbol, dt, last_price, CAST(1 AS BIGINT) AS volume, CAST(NULL AS BIGINT) AS amount,
+        event_id AS open_interest, last_price - 0.5::DOUBLE AS bid_price1, last_price + 0.5::DOUBLE AS ask_price1,
+        CAST(NULL AS BIGINT) AS bid_volume1, CAST(1 AS BIGINT) AS ask_volume1 FROM ticks""",
+    "create_and_reload": "SELECT symbol, dt, close, trade_date FROM bars",
+    "factor_spans": """SELECT symbol, round(adjust_factor, 8) AS adjust_factor, tradedate AS valid_from,
+        lead(tradedate) OVER (PARTITION BY symbol ORDER BY tradedate) AS valid_to FROM factors""",
     "packed_dates_ingest": "SELECT CAST(day AS DATE) AS day, status FROM calendar",
     "append": f"""SELECT {_BAR}, maxupordown, trade_date FROM bars WHERE dt < TIMESTAMP '2024-01-16' OR maxupordown <> 0""",
     "delete": f"""SELECT {_BAR}, round(preclose, 8) AS preclose, trade_date FROM bars

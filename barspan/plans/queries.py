@@ -13,7 +13,7 @@ from barspan.functions.predicates import legacy_table_name
 from barspan.operators import adjust, breadth, chunks, maintenance, membership, resample, series, statements
 from barspan.operators import trading_calendar as cal
 from barspan.plans import standins as data
-from barspan.schemas import DAILY_WITH_SYMBOL
+from barspan.schemas import DAILY_WITH_SYMBOL, TICKS_WITH_SYMBOL
 from barspan.session import scratch_dir
 from barspan.sources import day_files, delimited, grid, reads, registry
 
@@ -186,6 +186,12 @@ QUERIES["asof_adjust_minus"] = _asof("minus", None)
 QUERIES["asof_adjust_merged"] = _asof("multiply", False)
 
 
+@query
+def factor_spans(spark, sf):
+    points = adjust.latest_factors(data.factors(spark, sf), ["symbol"], "tradedate", "adjust_factor", "seq")
+    return rounded(adjust.validity_spans(points, ["symbol"], "tradedate"), "adjust_factor")
+
+
 @query
 def forward_fill(spark, sf):
     filled = chunks.forward_fill(data.sparse_factors(spark, sf), ["symbol"], "dt", "factor", "filled")
@@ -483,6 +489,19 @@ def csv_ingest(spark, sf):
     )
 
 
+@query
+def ticks_csv_ingest(spark, sf):
+    path = scratch_dir(spark, "ticks-csv")
+    ticks = data.ticks(spark, sf).select(
+        "symbol", "dt", "last_price", "volume", F.lit(None).cast("bigint").alias("amount"), F.col("event_id").alias("open_interest"),
+        (F.col("last_price") - 0.5).alias("bid_price1"), (F.col("last_price") + 0.5).alias("ask_price1"),
+        F.lit(None).cast("bigint").alias("bid_volume1"), F.col("volume").alias("ask_volume1"),
+    )
+    # Spark writes milliseconds unless told otherwise; ticks have microseconds.
+    ticks.write.options(header=True, timestampNTZFormat="yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path)
+    return delimited.read_ticks_csv(spark, path, TICKS_WITH_SYMBOL)
+
+
 @query
 def packed_dates_ingest(spark, sf):
     path = scratch_dir(spark, "calendar-csv")
@@ -492,6 +511,18 @@ def packed_dates_ingest(spark, sf):
     return delimited.read_packed_dates_csv(spark, path, schema, ["dt"], {"dt": "day", "is_open": "status"}, ["note"], "")
 
 
+@query
+def create_and_reload(spark, sf):
+    path, bars = _dataset(spark, sf, "reload")
+    # The dataset exists, so this changes nothing; the reload does.
+    maintenance.create_if_absent(bars.limit(0), path)
+    stored = maintenance.read_dataset(spark, path).select("symbol", "dt", "close")
+    later = scratch_dir(spark, "reload")
+    maintenance.create_if_absent(bars.where("volume > 5"), later)
+    maintenance.reload(stored, later)
+    return maintenance.read_dataset(spark, later)
+
+
 @query
 def append(spark, sf):
     bars = data.daily_bars(spark, sf).select(*BAR_COLUMNS, "maxupordown", "trade_date")

@@ -31,15 +31,18 @@ def build_session(app: str = "barspan", master: str | None = None, **conf: str)
     return spark
 
 
+_local_root: str | None = None
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder name below the cluster's shared checkpoint folder.
 
     Executors on any node must see what another one wrote, so the folder named by
     ``spark.checkpoint.dir`` is used. Only where it is unset (tests, one machine)
-    is a local folder made, once per session.
+    is a local folder made, once per process.
     """
+    global _local_root
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if not root:
-        root = tempfile.mkdtemp(prefix="barspan-")
-        spark.conf.set(CHECKPOINT_DIR, root)
+        _local_root = root = _local_root or tempfile.mkdtemp(prefix="barspan-")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

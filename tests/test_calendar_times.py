@@ -116,3 +116,9 @@ def test_align(spark, calendar):
         for r in rows:
             assert r.prev_day == max((d for d in opened if d <= r.dt), default=None)
             assert r.next_day == min((d for d in opened if d > r.dt), default=None)
+
+
+def test_from_parts(spark):
+    parts = [F.lit(v) for v in (2024, 12, 17, 5, 18)]
+    assert _one(spark, ts.from_parts(*parts, F.lit("21.444").cast("decimal(16,6)"))) == dt.datetime(2024, 12, 17, 5, 18, 21, 444000)
+    assert _one(spark, ts.from_parts(*[F.lit(v) for v in (2023, 2, 29, 0, 0, 0)])) is None

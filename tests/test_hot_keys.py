@@ -207,12 +207,15 @@ def test_clean_statements(spark, seconds):
 
 
 @pytest.mark.parametrize("hot_rows", [3, 10_000])
-def test_merge_statements_with_hot_keys(spark, hot_rows):
+def test_merge_statements_with_hot_keys(spark, hot_rows, monkeypatch):
+    monkeypatch.setattr(statements, "COPIES", 4)
     rng = random.Random(2)
 
     def table(column, n, hot):
         rows = [(hot if i % 3 == 0 else rng.choice("PQRS"), dt.datetime(2024, 1, rng.randint(1, 4)), None, i) for i in range(n)]
         rows = [(c, d, dt.datetime(2023, 1, 1) if i % 5 else None, i) for c, d, _, i in rows]
+        # A group of identical copies.
+        rows += [(hot, dt.datetime(2024, 1, 2), dt.datetime(2023, 1, 1), -1)] * 15
         return spark.createDataFrame(rows, f"ts_code string, f_ann_date timestamp_ntz, end_date timestamp_ntz, {column} int")
 
     tables = [table("a", 60, "P"), table("b", 40, "Q"), table("c", 30, "NEW")]
@@ -242,5 +245,5 @@ def test_measured_width(spark, bars):
     hour = dt.datetime(2024, 1, 1, 10)
     busy = spark.createDataFrame([("A", hour + dt.timedelta(seconds=i)) for i in range(600)], "symbol string, dt timestamp_ntz")
     width = lambda target: chunks.measured_width(busy, ["symbol"], "dt", target)
-    assert [width(n) for n in (20_000, 600, 100, 1)] == [chunks.DAY, chunks.HOUR, 600, 6]
+    assert [width(n) for n in (600, 599, 100, 1)] == [chunks.DAY, 21_564, 3_600, 36]
     assert chunks.measured_width(bars.limit(0), ["symbol"], "dt") == chunks.DAY
