@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barspan.operators.chunks import CARRIED, CHUNK, YEAR, asof_merge, chunk_window, time_chunk
+from barspan.operators.chunks import CARRIED, CHUNK, WHOLE, asof_merge, chunk_window, fitting_width, time_chunk
 
 OHLC = ["open", "high", "low", "close"]
 # The columns an adjustment table applies to.
@@ -19,7 +19,7 @@ BROADCAST_ROWS_PER_KEY = 512
 
 
 def forward_adjust(
-    df: DataFrame, keys: Sequence[str] = ("symbol",), time: str = "dt", chunk_seconds: int = YEAR
+    df: DataFrame, keys: Sequence[str] = ("symbol",), time: str = "dt", chunk_seconds: int | None = None
 ) -> DataFrame:
     """Add ``adjust_factor`` and ``adj_*`` prices, anchored to the last row of each symbol in ``df``.
 
@@ -30,6 +30,8 @@ def forward_adjust(
     summary with one line per (symbol, chunk) and enters each chunk as its newest row.
     """
     keys = list(keys)
+    if chunk_seconds is None:
+        chunk_seconds = fitting_width(df, keys, time)
     newest_first = chunk_window(keys, F.col(CARRIED).desc(), F.col(time).desc())
     # lead() over a descending window is the previous row, so ratios and products share one sort.
     ratio = F.try_divide(F.col("preclose"), F.lead("close").over(newest_first))
@@ -37,38 +39,44 @@ def forward_adjust(
     def chunked(frame: DataFrame) -> DataFrame:
         return frame.withColumns({CHUNK: time_chunk(F.col(time), chunk_seconds), CARRIED: F.lit(False)})
 
-    ends = (
-        chunked(df.select(*keys, time, "close", "preclose"))
-        .withColumn("_ratio", ratio)
-        .groupBy(*keys, CHUNK)
-        .agg(
-            F.min_by("preclose", time).alias("_first_preclose"),
-            F.max_by("close", time).alias("_last_close"),
-            F.product("_ratio").alias("_inner"),
+    def later_chunks() -> DataFrame:
+        """Per chunk: the product of all later ratios, and whether the next row's ratio is known."""
+        ends = (
+            chunked(df.select(*keys, time, "close", "preclose"))
+            .withColumn("_ratio", ratio)
+            .groupBy(*keys, CHUNK)
+            .agg(
+                F.min_by("preclose", time).alias("_first_preclose"),
+                F.max_by("close", time).alias("_last_close"),
+                F.product("_ratio").alias("_inner"),
+            )
         )
-    )
-    oldest = Window.partitionBy(*keys).orderBy(CHUNK)
-    newest = Window.partitionBy(*keys).orderBy(F.col(CHUNK).desc())
-    first_ratio = F.try_divide(F.col("_first_preclose"), F.lag("_last_close").over(oldest))
-    later_chunks = (
-        ends.withColumn("_first_ratio", first_ratio)
-        .withColumn("_total", F.coalesce("_first_ratio", F.lit(1.0)) * F.coalesce("_inner", F.lit(1.0)))
-        .select(
-            *keys,
-            CHUNK,
-            F.product("_total").over(newest.rowsBetween(Window.unboundedPreceding, -1)).alias("_later"),
-            F.lag(F.col("_first_ratio").isNotNull()).over(newest).alias("_later_known"),
+        oldest = Window.partitionBy(*keys).orderBy(CHUNK)
+        newest = Window.partitionBy(*keys).orderBy(F.col(CHUNK).desc())
+        first_ratio = F.try_divide(F.col("_first_preclose"), F.lag("_last_close").over(oldest))
+        return (
+            ends.withColumn("_first_ratio", first_ratio)
+            .withColumn("_total", F.coalesce("_first_ratio", F.lit(1.0)) * F.coalesce("_inner", F.lit(1.0)))
+            .select(
+                *keys,
+                CHUNK,
+                F.product("_total").over(newest.rowsBetween(Window.unboundedPreceding, -1)).alias("_later"),
+                F.lag(F.col("_first_ratio").isNotNull()).over(newest).alias("_later_known"),
+            )
+            # The last chunk of a key has nothing after it.
+            .where(F.col("_later_known").isNotNull())
+            .withColumn(CARRIED, F.lit(True))
+        )
+
+    rows = chunked(df)
+    if chunk_seconds == WHOLE:
+        rows = rows.withColumn("_ratio", ratio).withColumn("_known", F.col("_ratio").isNotNull())
+    else:
+        rows = (
+            rows.unionByName(later_chunks(), allowMissingColumns=True)
+            .withColumn("_ratio", F.when(F.col(CARRIED), F.col("_later")).otherwise(ratio))
+            .withColumn("_known", F.when(F.col(CARRIED), F.col("_later_known")).otherwise(F.col("_ratio").isNotNull()))
         )
-        # The last chunk of a key has nothing after it.
-        .where(F.col("_later_known").isNotNull())
-        .withColumn(CARRIED, F.lit(True))
-    )
-    rows = (
-        chunked(df)
-        .unionByName(later_chunks, allowMissingColumns=True)
-        .withColumn("_ratio", F.when(F.col(CARRIED), F.col("_later")).otherwise(ratio))
-        .withColumn("_known", F.when(F.col(CARRIED), F.col("_later_known")).otherwise(F.col("_ratio").isNotNull()))
-    )
     product = F.product("_ratio").over(newest_first.rowsBetween(Window.unboundedPreceding, -1))
     next_known = F.lag("_known").over(newest_first)
     factor = F.when(next_known.isNull(), F.lit(1.0)).when(next_known, F.coalesce(product, F.lit(1.0)))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barspan.functions.predicates import EXCLUDED_CONCEPTS, price_return, regular_name, time_literal
-from barspan.operators.chunks import YEAR, rolling_max
+from barspan.operators.chunks import rolling_max
 from barspan.operators.membership import members_at_rows, membership_spans
 from barspan.sources.reads import last_rows
 
@@ -32,7 +32,7 @@ def market_breadth(bars: DataFrame, pct: float, basic_info: DataFrame | None = N
     )
 
 
-def recent_limit_up(bars: DataFrame, n: int = 10, chunk_seconds: int = YEAR) -> DataFrame:
+def recent_limit_up(bars: DataFrame, n: int = 10, chunk_seconds: int | None = None) -> DataFrame:
     """(symbol, dt) rows whose last ``n`` bars are complete and contain a limit-up."""
     flagged = rolling_max(bars.select("symbol", "dt", "maxupordown"), ["symbol"], "dt", "maxupordown", n, "_max", chunk_seconds)
     return flagged.where(F.col("_max") > 0).select("symbol", "dt")

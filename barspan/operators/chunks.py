@@ -1,11 +1,12 @@
 """Ordered per-key computations that survive a hot key.
 
 A plain ``Window.partitionBy(symbol)`` puts the whole history of a symbol into one
-task. Here each key's series is cut into time chunks, the row work runs per
-(key, chunk), and only a summary with one line per (key, chunk) is ordered per key.
-The number of chunks of a key is bounded by history length / chunk width, so no task
-ever holds more than one chunk of rows or one key's list of chunks. Results do not
-depend on the chunk width; operators on ticks measure it from the data unless it is given.
+task. That is fine as long as no symbol is hot, so the busiest one is counted first
+(or the caller gives a chunk width). Beyond that each key's series is cut into time
+chunks, the row work runs per (key, chunk), and only a summary with one line per
+(key, chunk) is ordered per key. The number of chunks of a key is bounded by history
+length / chunk width, so no task ever holds more than one chunk of rows or one key's
+list of chunks. Results do not depend on the chunk width.
 
 What a chunk has to know of the rest of its key comes back as extra rows of the same
 union ("carried" rows) rather than through a join: the data is shuffled once, NULL keys
@@ -23,6 +24,9 @@ HOUR = 3_600
 DAY = 86_400
 YEAR = 366 * DAY
 
+# Instead of a width: every key is one chunk, so nothing has to be carried over.
+WHOLE = 0
+
 # Rows a chunk should hold at most, so that one task sorts it comfortably.
 TARGET_ROWS = 2_000_000
 _UNEVEN = 4
@@ -36,6 +40,8 @@ _NO_TIME = -(1 << 62)
 
 def time_chunk(time: Column, seconds: int) -> Column:
     """Number of the ``seconds``-wide chunk a naive timestamp or date falls into."""
+    if seconds == WHOLE:
+        return F.lit(0).cast("bigint")
     at = time.cast("timestamp_ntz")
     # Built from calendar fields, so the session time zone plays no part.
     days = F.datediff(at.cast("date"), F.lit("1970-01-01").cast("date"))
@@ -47,18 +53,24 @@ def time_chunk(time: Column, seconds: int) -> Column:
     return F.coalesce(number, F.lit(_NO_TIME))
 
 
-def measured_width(df: DataFrame, keys: Sequence[str], time: str, target_rows: int = TARGET_ROWS) -> int:
-    """A chunk width that fits the data: rows of the busiest key and day decide.
+def fitting_width(df: DataFrame, keys: Sequence[str], time: str, target_rows: int = TARGET_ROWS) -> int:
+    """A chunk width that fits the data; ``WHOLE`` if no key has more rows than one task sorts comfortably.
 
-    One pass over the keys and times, combined on the map side. Quiet data gets day-wide chunks, so the
-    summary stays small; a hot key gets chunks as narrow as its traffic needs. Only speed depends on it.
+    Counts the rows of the busiest key and, only if that is a hot one, of its busiest day. Both are passes
+    over keys and times alone, combined on the map side. Only speed depends on the answer: give a width to
+    save the count, for instance where ``df`` is expensive to compute.
     """
-    days = df.groupBy(*keys, time_chunk(F.col(time), DAY).alias(CHUNK)).count()
-    busiest = days.agg(F.max("count")).first()[0] or 0
-    if busiest <= target_rows:
+    if _busiest(df, *keys) <= target_rows:
+        return WHOLE
+    busiest_day = _busiest(df, *keys, time_chunk(F.col(time), DAY).alias(CHUNK))
+    if busiest_day <= target_rows:
         return DAY
     # Trading is uneven within a day.
-    return max(1, DAY * target_rows // (busiest * _UNEVEN))
+    return max(1, DAY * target_rows // (busiest_day * _UNEVEN))
+
+
+def _busiest(df: DataFrame, *groups: str | Column) -> int:
+    return df.groupBy(*groups).count().agg(F.max("count")).first()[0] or 0
 
 
 def chunk_window(keys: Sequence[str], *order: Column) -> Window:
@@ -74,7 +86,9 @@ def with_preceding_rows(
     in the carried rows. A window over (keys, chunk) then sees what a window over the
     whole key would see up to ``n`` rows back; drop the carried rows afterwards.
     """
-    rows = df.withColumn(CHUNK, time_chunk(F.col(order[0]), seconds))
+    rows = df.withColumns({CHUNK: time_chunk(F.col(order[0]), seconds), CARRIED: F.lit(False)})
+    if seconds == WHOLE or n == 0:
+        return rows
     needed = list(dict.fromkeys([*keys, CHUNK, *order, *columns]))
     if n == 1 and len(order) == 1:
         # A hash aggregate, combined on the map side.
@@ -98,13 +112,14 @@ def with_preceding_rows(
         .select(*keys, CHUNK, F.inline("_history"))
         .withColumn(CARRIED, F.lit(True))
     )
-    return rows.withColumn(CARRIED, F.lit(False)).unionByName(carried, allowMissingColumns=True)
+    return rows.unionByName(carried, allowMissingColumns=True)
 
 
 def with_previous(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: dict[str, str], seconds: int
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: dict[str, str], seconds: int | None = None
 ) -> DataFrame:
     """``lag(column)`` per key for every ``{new name: column}``."""
+    seconds = fitting_width(df, keys, order[0]) if seconds is None else seconds
     rows = with_preceding_rows(df, keys, order, list(columns.values()), 1, seconds)
     w = chunk_window(keys, *[F.col(c).asc_nulls_first() for c in order])
     return (
@@ -113,12 +128,11 @@ def with_previous(
 
 
 def rolling_max(
-    df: DataFrame, keys: Sequence[str], time: str, column: str, n: int, name: str, seconds: int = YEAR
+    df: DataFrame, keys: Sequence[str], time: str, column: str, n: int, name: str, seconds: int | None = None
 ) -> DataFrame:
     """Maximum of the last ``n`` rows; NULL until all ``n`` values are present."""
-    rows = with_preceding_rows(df, keys, [time], [column], n - 1, seconds) if n > 1 else (
-        df.withColumn(CHUNK, time_chunk(F.col(time), seconds)).withColumn(CARRIED, F.lit(False))
-    )
+    seconds = fitting_width(df, keys, time) if seconds is None else seconds
+    rows = with_preceding_rows(df, keys, [time], [column], n - 1, seconds)
     w = chunk_window(keys, F.col(time)).rowsBetween(1 - n, 0)
     full = F.when(F.count(column).over(w) == n, F.max(column).over(w))
     return rows.withColumn(name, full).where(~F.col(CARRIED)).drop(CHUNK, CARRIED)
@@ -129,16 +143,16 @@ def with_position(
     newest_first: bool = False,
 ) -> DataFrame:
     """1-based row number per key, counted from the oldest (or newest) row."""
-    seconds = seconds or measured_width(df, keys, order[0])
+    seconds = fitting_width(df, keys, order[0]) if seconds is None else seconds
     rows = df.withColumn(CHUNK, time_chunk(F.col(order[0]), seconds))
     direction = [F.col(c).desc() if newest_first else F.col(c).asc() for c in order]
-    chunk_order = F.col(CHUNK).desc() if newest_first else F.col(CHUNK).asc()
-    before = Window.partitionBy(*keys).orderBy(chunk_order).rowsBetween(Window.unboundedPreceding, -1)
-    counts = rows.groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.withColumn("_n", F.sum("_n").over(before)).where(F.col("_n").isNotNull())
-    merged = rows.withColumns({"_n": F.lit(1).cast("bigint"), CARRIED: F.lit(False)}).unionByName(
-        offsets.withColumn(CARRIED, F.lit(True)), allowMissingColumns=True
-    )
+    merged = rows.withColumns({"_n": F.lit(1).cast("bigint"), CARRIED: F.lit(False)})
+    if seconds != WHOLE:
+        chunk_order = F.col(CHUNK).desc() if newest_first else F.col(CHUNK).asc()
+        before = Window.partitionBy(*keys).orderBy(chunk_order).rowsBetween(Window.unboundedPreceding, -1)
+        counts = rows.groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("_n"))
+        offsets = counts.withColumn("_n", F.sum("_n").over(before)).where(F.col("_n").isNotNull())
+        merged = merged.unionByName(offsets.withColumn(CARRIED, F.lit(True)), allowMissingColumns=True)
     # The carried row comes first and counts for all rows ahead of the chunk.
     upto = chunk_window(keys, F.col(CARRIED).desc(), *direction).rowsBetween(Window.unboundedPreceding, 0)
     return merged.withColumn(name, F.sum("_n").over(upto)).where(~F.col(CARRIED)).drop(CHUNK, CARRIED, "_n")
@@ -170,18 +184,20 @@ def asof_merge(
     force at the start of a chunk is added as one extra row. ``right`` must be unique on
     (keys, right_time) and free of NULL values.
     """
-    seconds = seconds or measured_width(left, keys, time)
+    if seconds is None:
+        both = left.select(*keys, time).unionByName(right.select(*keys, F.col(right_time).alias(time)))
+        seconds = fitting_width(both, keys, time)
     rows = left.withColumn(CHUNK, time_chunk(F.col(time), seconds)).withColumns(
         {"_t": F.col(time), "_side": F.lit(2), "_v": F.lit(None).cast(right.schema[value].dataType)}
     )
     points = right.select(*keys, F.col(right_time).alias("_t"), F.col(value).alias("_v")).withColumn(
         CHUNK, time_chunk(F.col("_t"), seconds)
     )
-    known = points.groupBy(*keys, CHUNK).agg(F.max_by("_v", "_t").alias("_v"))
-    in_force = _latest_before(rows.select(*keys, CHUNK).distinct(), known, keys, "_v")
-    merged = rows.unionByName(points.withColumn("_side", F.lit(1)), allowMissingColumns=True).unionByName(
-        in_force.withColumn("_side", F.lit(0)), allowMissingColumns=True
-    )
+    merged = rows.unionByName(points.withColumn("_side", F.lit(1)), allowMissingColumns=True)
+    if seconds != WHOLE:
+        known = points.groupBy(*keys, CHUNK).agg(F.max_by("_v", "_t").alias("_v"))
+        in_force = _latest_before(rows.select(*keys, CHUNK).distinct(), known, keys, "_v")
+        merged = merged.unionByName(in_force.withColumn("_side", F.lit(0)), allowMissingColumns=True)
     w = chunk_window(keys, F.col("_t").asc_nulls_first(), F.col("_side")).rowsBetween(Window.unboundedPreceding, 0)
     return (
         merged.withColumn(value, F.last("_v", ignorenulls=True).over(w))
@@ -194,11 +210,13 @@ def forward_fill(
     df: DataFrame, keys: Sequence[str], time: str, column: str, name: str, seconds: int | None = None
 ) -> DataFrame:
     """Last non-NULL value of ``column`` up to and including each row."""
-    seconds = seconds or measured_width(df, keys, time)
+    seconds = fitting_width(df, keys, time) if seconds is None else seconds
     rows = df.withColumn(CHUNK, time_chunk(F.col(time), seconds)).withColumn("_v", F.col(column))
-    known = rows.where(F.col("_v").isNotNull()).groupBy(*keys, CHUNK).agg(F.max_by("_v", time).alias("_v"))
-    in_force = _latest_before(rows.select(*keys, CHUNK).distinct(), known, keys, "_v")
-    merged = rows.withColumn("_side", F.lit(1)).unionByName(in_force.withColumn("_side", F.lit(0)), allowMissingColumns=True)
+    merged = rows.withColumn("_side", F.lit(1))
+    if seconds != WHOLE:
+        known = rows.where(F.col("_v").isNotNull()).groupBy(*keys, CHUNK).agg(F.max_by("_v", time).alias("_v"))
+        in_force = _latest_before(rows.select(*keys, CHUNK).distinct(), known, keys, "_v")
+        merged = merged.unionByName(in_force.withColumn("_side", F.lit(0)), allowMissingColumns=True)
     w = chunk_window(keys, F.col("_side"), F.col(time)).rowsBetween(Window.unboundedPreceding, 0)
     return (
         merged.withColumn(name, F.last("_v", ignorenulls=True).over(w)).where(F.col("_side") == 1).drop(CHUNK, "_v", "_side")

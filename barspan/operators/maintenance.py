@@ -23,15 +23,16 @@ from barspan.sources.files import exists, remove
 _MAX_ROWS_PER_FILE = 20_000_000
 
 
-def _laid_out(df: DataFrame) -> DataFrame:
-    """Range-partitioned by day, symbol and time: few files per day, a busy day or symbol is split,
-    and each file covers a narrow symbol range that row-group statistics can skip."""
-    order = [DAY_COLUMN] + [c for c in ("symbol", "dt") if c in df.columns]
-    return df.repartitionByRange(*order).sortWithinPartitions(*order)
+def _order(df: DataFrame) -> list[str]:
+    return [DAY_COLUMN] + [c for c in ("symbol", "dt") if c in df.columns]
 
 
 def write_days(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    writer = _laid_out(with_day_column(df)).write.mode(mode).partitionBy(DAY_COLUMN)
+    """Write range-partitioned by day, symbol and time: few files per day, a busy day or symbol is split, and
+    each file covers a narrow symbol range that row-group statistics can skip."""
+    df = with_day_column(df)
+    order = _order(df)
+    writer = df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode(mode).partitionBy(DAY_COLUMN)
     writer.option("maxRecordsPerFile", _MAX_ROWS_PER_FILE).parquet(path)
 
 
@@ -69,8 +70,9 @@ def _replace_days(spark: SparkSession, changed: DataFrame, path: str, days: Sequ
     staged_days = set(list_days(spark, staging))
     if staged_days:
         stored = spark.read.schema(with_day_column(changed).schema).parquet(staging)
+        # The staged files are laid out already: no second shuffle.
         (
-            _laid_out(stored).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            stored.sortWithinPartitions(*_order(stored)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .option("maxRecordsPerFile", _MAX_ROWS_PER_FILE).partitionBy(DAY_COLUMN).parquet(path)
         )
     # A day that lost its last row has nothing to overwrite it with: its folder goes.
@@ -83,10 +85,11 @@ def _replace_days(spark: SparkSession, changed: DataFrame, path: str, days: Sequ
 def delete_rows(spark: SparkSession, path: str, where: str) -> None:
     """Delete rows that match; rows where the predicate is unknown stay. No match is no error."""
     df = read_dataset(spark, path)
-    matches = F.coalesce(F.expr(where), F.lit(False))
-    days = _days_of(df.where(matches))
+    # The bare predicate reaches the scan; the null-safe form is only needed for the rows that stay.
+    days = _days_of(df.where(where))
     if days:
-        _replace_days(spark, df.where(F.col(DAY_COLUMN).isin(days) & ~matches), path, days)
+        stays = ~F.coalesce(F.expr(where), F.lit(False))
+        _replace_days(spark, df.where(F.col(DAY_COLUMN).isin(days) & stays), path, days)
 
 
 def merge_columns(

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barspan.operators.chunks import CARRIED, CHUNK, YEAR, chunk_window, with_preceding_rows
+from barspan.operators.chunks import CARRIED, CHUNK, chunk_window, fitting_width, with_preceding_rows
 
 KEYS = ["ts_code", "f_ann_date", "end_date"]
 
@@ -19,7 +19,7 @@ SALTS = 64
 COPIES = 10_000
 
 
-def clean_statements(df: DataFrame, fields: Sequence[str] | None = None, chunk_seconds: int = YEAR) -> DataFrame:
+def clean_statements(df: DataFrame, fields: Sequence[str] | None = None, chunk_seconds: int | None = None) -> DataFrame:
     """Drop late restatements of older periods.
 
     In (ts_code, f_ann_date, end_date) order a row stays if it is the first of its company or its
@@ -28,6 +28,8 @@ def clean_statements(df: DataFrame, fields: Sequence[str] | None = None, chunk_s
     """
     if fields is not None:
         df = df.select(*dict.fromkeys([*KEYS, *fields]))
+    if chunk_seconds is None:
+        chunk_seconds = fitting_width(df, ["ts_code"], "f_ann_date")
     rows = with_preceding_rows(df, ["ts_code"], ["f_ann_date", "end_date"], [], 1, chunk_seconds)
     # The hash settles which of several rows without an end_date comes first.
     w = chunk_window(

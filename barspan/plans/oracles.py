@@ -105,6 +105,12 @@ _MULTIPLY = _asof("last_price * coalesce(adjust_factor, 1)", "bid_price1 * coale
 _MINUS = _asof("last_price - coalesce(adjust_factor, 0)", "bid_price1 - coalesce(adjust_factor, 0)")
 
 
+_FILL = """SELECT symbol, dt, last_price, round(factor, 8) AS factor,
+            round(last_value(factor IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY dt
+                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 8) AS filled
+        FROM (SELECT *, CASE WHEN event_type = 'signup' THEN 1 + last_price / 1000 END AS factor FROM ticks)"""
+
+
 def _tick_bars(bucket: str) -> str:
     return f"""SELECT symbol, time_bucket(INTERVAL '{bucket}', dt, TIMESTAMP '1970-01-01') AS dt, arg_min(last_price, dt) AS open,
         max(last_price) AS high, min(last_price) AS low, arg_max(last_price, dt) AS close, count(*) AS volume,
@@ -160,14 +166,15 @@ BODIES = {
     "forward_adjust": f"""SELECT symbol, dt, open, high, low, close, {_round('preclose', 'adjust_factor')},
         round(open * adjust_factor, 8) AS adj_open, round(high * adjust_factor, 8) AS adj_high,
         round(low * adjust_factor, 8) AS adj_low, round(close * adjust_factor, 8) AS adj_close FROM adjusted""",
+    "forward_adjust_chunked": f"""SELECT symbol, dt, close, {_round('preclose', 'adjust_factor')},
+        round(close * adjust_factor, 8) AS adj_close FROM adjusted""",
     "previous_close": "SELECT symbol, dt, close, lag(close) OVER (PARTITION BY symbol ORDER BY dt) AS previous_close FROM bars",
     "asof_adjust_multiply": _MULTIPLY,
     "asof_adjust_minus": _MINUS,
     "asof_adjust_merged": _MULTIPLY,
-    "forward_fill": """SELECT symbol, dt, last_price, round(factor, 8) AS factor,
-            round(last_value(factor IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY dt
-                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 8) AS filled
-        FROM (SELECT *, CASE WHEN event_type = 'signup' THEN 1 + last_price / 1000 END AS factor FROM ticks)""",
+    "asof_adjust_chunked": _MULTIPLY,
+    "forward_fill": _FILL,
+    "forward_fill_chunked": _FILL,
     "klines": f"""SELECT b.symbol, b.dt, b.interval, round(open * coalesce(adjust_factor, 1), 8) AS open,
             round(high * coalesce(adjust_factor, 1), 8) AS high, round(low * coalesce(adjust_factor, 1), 8) AS low,
             round(close * coalesce(adjust_factor, 1), 8) AS close, volume

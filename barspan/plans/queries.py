@@ -166,15 +166,22 @@ def forward_adjust(spark, sf):
     return rounded(out, "preclose", "adjust_factor", "adj_open", "adj_high", "adj_low", "adj_close")
 
 
+@query
+def forward_adjust_chunked(spark, sf):
+    """The way taken for hot symbols."""
+    bars = data.daily_bars(spark, sf).select("symbol", "dt", "close", "preclose")
+    return rounded(adjust.forward_adjust(bars, chunk_seconds=7 * chunks.DAY), "preclose", "adjust_factor", "adj_close")
+
+
 @query
 def previous_close(spark, sf):
     bars = data.daily_bars(spark, sf).select("symbol", "dt", "close")
     return chunks.with_previous(bars, ["symbol"], ["dt"], {"previous_close": "close"}, 7 * chunks.DAY)
 
 
-def _asof(method: str, broadcast: bool | None) -> Query:
+def _asof(method: str, broadcast: bool | None, chunk_seconds: int | None = None) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        out = adjust.asof_adjust(data.quotes(spark, sf), data.factors(spark, sf), method, "seq", broadcast)
+        out = adjust.asof_adjust(data.quotes(spark, sf), data.factors(spark, sf), method, "seq", broadcast, chunk_seconds)
         return rounded(out, "last_price", "bid_price1")
 
     return run
@@ -184,6 +191,7 @@ QUERIES["asof_adjust_multiply"] = _asof("multiply", None)
 QUERIES["asof_adjust_minus"] = _asof("minus", None)
 # The way taken for factor tables too large to broadcast.
 QUERIES["asof_adjust_merged"] = _asof("multiply", False)
+QUERIES["asof_adjust_chunked"] = _asof("multiply", False, chunks.DAY)
 
 
 @query
@@ -198,6 +206,12 @@ def forward_fill(spark, sf):
     return rounded(filled, "factor", "filled")
 
 
+@query
+def forward_fill_chunked(spark, sf):
+    filled = chunks.forward_fill(data.sparse_factors(spark, sf), ["symbol"], "dt", "factor", "filled", chunks.DAY)
+    return rounded(filled, "factor", "filled")
+
+
 @query
 def klines(spark, sf):
     bars = data.interval_bars(spark, sf).select(*BAR_COLUMNS, "interval")

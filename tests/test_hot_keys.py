@@ -10,7 +10,7 @@ from barspan.operators import adjust, breadth, chunks, statements
 from barspan.sources import reads
 
 HOT, START = "HOT", dt.datetime(2023, 12, 28, 22, 0)
-WIDTHS = [chunks.HOUR, chunks.DAY, 400 * chunks.DAY]
+WIDTHS = [chunks.HOUR, chunks.DAY, 400 * chunks.DAY, chunks.WHOLE, None]
 
 
 def _rows():
@@ -126,7 +126,7 @@ def _factors():
 
 
 @pytest.mark.parametrize("method", ["multiply", "minus"])
-@pytest.mark.parametrize("way", [True, None, chunks.HOUR, chunks.DAY])
+@pytest.mark.parametrize("way", [True, None, chunks.HOUR, chunks.DAY, chunks.WHOLE])
 def test_asof_adjust(spark, bars, method, way):
     known = {}
     for symbol, at, factor, seq in _factors():
@@ -185,7 +185,7 @@ def test_top_n_with_ties(spark, n):
     assert {r["id"] for r in breadth.top_n_with_ties(df, n, "g", "v").collect()} == want
 
 
-@pytest.mark.parametrize("seconds", [30 * chunks.DAY, 4000 * chunks.DAY])
+@pytest.mark.parametrize("seconds", [30 * chunks.DAY, 4000 * chunks.DAY, None])
 def test_clean_statements(spark, seconds):
     rng = random.Random(1)
     day = lambda lo, hi: dt.datetime(2019, 1, 1) + dt.timedelta(days=rng.randint(lo, hi))
@@ -241,9 +241,10 @@ def test_chunk_numbers_are_monotonic(spark):
     assert got == [-1, 0, 0, 1]
 
 
-def test_measured_width(spark, bars):
+def test_fitting_width(spark, bars):
     hour = dt.datetime(2024, 1, 1, 10)
     busy = spark.createDataFrame([("A", hour + dt.timedelta(seconds=i)) for i in range(600)], "symbol string, dt timestamp_ntz")
-    width = lambda target: chunks.measured_width(busy, ["symbol"], "dt", target)
-    assert [width(n) for n in (600, 599, 100, 1)] == [chunks.DAY, 21_564, 3_600, 36]
-    assert chunks.measured_width(bars.limit(0), ["symbol"], "dt") == chunks.DAY
+    two_days = busy.unionByName(busy.withColumn("dt", F.col("dt") + F.expr("interval 1 day")))
+    width = lambda target: chunks.fitting_width(two_days, ["symbol"], "dt", target)
+    assert [width(n) for n in (1200, 1199, 600, 599, 100, 1)] == [chunks.WHOLE, chunks.DAY, chunks.DAY, 21_564, 3_600, 36]
+    assert chunks.fitting_width(bars.limit(0), ["symbol"], "dt") == chunks.WHOLE

@@ -36,7 +36,7 @@ def daily(spark):
 
 @pytest.fixture(scope="module")
 def store(daily, tmp_path_factory):
-    path = str(tmp_path_factory.mktemp("store") / "daily_factors")
+    path = str(tmp_path_factory.mktemp("store") / "daily_bars")
     maintenance.write_days(daily, path)
     return path
 
