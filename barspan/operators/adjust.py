@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barspan.operators.chunks import CARRIED, CHUNK, WHOLE, asof_merge, chunk_window, fitting_width, time_chunk
+from barspan.operators.chunks import CARRIED, CHUNK, WHOLE, asof_merge, chunk_window, fitting_width, time_chunk, with_next_time
 
 OHLC = ["open", "high", "low", "close"]
 # The columns an adjustment table applies to.
@@ -98,13 +98,11 @@ def fits_broadcast(factors: DataFrame, keys: Sequence[str]) -> bool:
     return (size.n or 0) <= BROADCAST_ROWS and (size.hot or 0) <= BROADCAST_ROWS_PER_KEY
 
 
-def validity_spans(points: DataFrame, keys: Sequence[str], time: str) -> DataFrame:
-    """Change points to half-open periods ``[valid_from, valid_to)``; the last one is open (NULL).
-
-    For tables that are small per key, see ``fits_broadcast``.
-    """
-    following = F.lead(time).over(Window.partitionBy(*keys).orderBy(time))
-    return points.withColumns({"valid_from": F.col(time), "valid_to": following}).drop(time)
+def validity_spans(
+    points: DataFrame, keys: Sequence[str], time: str, chunk_seconds: int | None = None
+) -> DataFrame:
+    """Change points to half-open periods ``[valid_from, valid_to)``; the last one is open (NULL)."""
+    return with_next_time(points, keys, time, "valid_to", chunk_seconds).withColumnRenamed(time, "valid_from")
 
 
 def asof_value(
@@ -124,7 +122,7 @@ def asof_value(
         broadcast = fits_broadcast(points, keys)
     if not broadcast:
         return asof_merge(bars, points, keys, time, factor_time, value, chunk_seconds)
-    spans = validity_spans(points, keys, factor_time).withColumnsRenamed(
+    spans = validity_spans(points, keys, factor_time, WHOLE).withColumnsRenamed(
         {**{k: f"_k_{k}" for k in keys}, "valid_from": "_from", "valid_to": "_to"}
     )
     cond = (F.col(time) >= F.col("_from")) & (F.col("_to").isNull() | (F.col(time) < F.col("_to")))

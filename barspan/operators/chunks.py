@@ -127,6 +127,19 @@ def with_previous(
     )
 
 
+def with_next_time(df: DataFrame, keys: Sequence[str], time: str, name: str, seconds: int | None = None) -> DataFrame:
+    """Time of the key's following row, NULL on the last one."""
+    seconds = fitting_width(df, keys, time) if seconds is None else seconds
+    rows = df.withColumns({CHUNK: time_chunk(F.col(time), seconds), CARRIED: F.lit(False)})
+    if seconds != WHOLE:
+        firsts = rows.groupBy(*keys, CHUNK).agg(F.min(time).alias(time))
+        following = F.lead(time).over(Window.partitionBy(*keys).orderBy(CHUNK))
+        carried = firsts.withColumn(time, following).where(F.col(time).isNotNull()).withColumn(CARRIED, F.lit(True))
+        rows = rows.unionByName(carried, allowMissingColumns=True)
+    w = chunk_window(keys, F.col(time).asc_nulls_first())
+    return rows.withColumn(name, F.lead(time).over(w)).where(~F.col(CARRIED)).drop(CHUNK, CARRIED)
+
+
 def rolling_max(
     df: DataFrame, keys: Sequence[str], time: str, column: str, n: int, name: str, seconds: int | None = None
 ) -> DataFrame:

@@ -136,17 +136,15 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, batch: str = "bat
     keys = ["symbol", "dt", DAY_COLUMN]
     days = _days_of(updates)
     base = stored.where(F.col(DAY_COLUMN).isin(days))
-    incoming = updates.withColumnsRenamed({c: f"_new_{c}" for c in updates.columns if c not in keys})
-    incoming = incoming.withColumn("_hit", F.lit(True))
-    merged = base.join(incoming, keys, "full")
-    set_columns = [c for c in updates.columns if c not in keys]
+    values = [c for c in updates.columns if c not in keys]
+    incoming = updates.withColumnsRenamed({c: f"_new_{c}" for c in values}).withColumn("_hit", F.lit(True))
+    # A left join and an anti join instead of a full join, whose skew Spark cannot split.
     newer = F.col("_hit") & (F.col(batch).isNull() | (F.col(f"_new_{batch}") >= F.col(batch)))
-    out = merged.select(
-        *[
-            F.when(newer, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in set_columns else F.col(c)
-            for c in base.columns
-        ]
+    kept = base.join(incoming, keys, "left").select(
+        *[F.when(newer, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in values else F.col(c) for c in base.columns]
     )
+    added = updates.join(base.select(*keys).distinct(), keys, "left_anti")
+    out = kept.unionByName(added.select(*[c for c in base.columns if c in updates.columns]), allowMissingColumns=True)
     _replace_days(spark, out, path, days)
 
 

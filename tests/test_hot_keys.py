@@ -77,6 +77,15 @@ def test_position(bars, seconds, newest_first):
     assert _got(chunks.with_position(bars, ["symbol"], ["dt"], "p", seconds, newest_first), "p") == want
 
 
+@pytest.mark.parametrize("seconds", WIDTHS)
+def test_next_time(bars, seconds):
+    want = {}
+    for symbol, rows in _series().items():
+        for row, after in zip(rows, [*rows[1:], None]):
+            want[(symbol, row[1])] = (after[1] if after else None,)
+    assert _got(chunks.with_next_time(bars, ["symbol"], "dt", "n", seconds), "n") == want
+
+
 @pytest.mark.parametrize("seconds", WIDTHS)
 def test_forward_fill(bars, seconds):
     want = {}

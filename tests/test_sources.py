@@ -227,3 +227,19 @@ def test_map_rows_keeps_types(spark):
     df = spark.createDataFrame([(1, None, _d(1)), (None, "x", None)], "a bigint, b string, t timestamp_ntz")
     out = series.map_rows(df, lambda r: (r["a"], r["b"], r["t"]), "a bigint, b string, t timestamp_ntz")
     assert sorted(map(str, out.collect())) == sorted(map(str, df.collect()))
+
+
+def test_read_one_file(spark, daily, tmp_path):
+    daily.write.parquet(str(tmp_path / "one.parquet"))
+    df = day_files.read_parquet(spark, str(tmp_path / "one.parquet"), ["dt", "close"])
+    assert df.columns == ["dt", "close"] and df.count() == daily.count()
+    assert day_files.read_parquet(spark, str(tmp_path / "one.parquet")).columns == daily.columns
+
+
+def test_filters_reach_the_scan(spark, daily, tmp_path):
+    daily.write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    df = reads.time_range(stored, "2025-05-06", "2025-05-20", "left", ["symbol", "close"])
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(dt,2025-05-06" in plan and "LessThan(dt,2025-05-20" in plan
+    assert "ReadSchema: struct<symbol:string,dt:timestamp_ntz,close:double>" in plan
