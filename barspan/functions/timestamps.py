@@ -1,4 +1,4 @@
-"""Normalising epoch and text times to naive timestamps (session time zone UTC)."""
+"""Normalising epoch and text times to naive timestamps."""
 
 from __future__ import annotations
 
@@ -12,19 +12,26 @@ _NANOS = 1_000_000_000
 _FORMATS = {"s": "yyyy-MM-dd HH:mm:ss", "ms": "yyyy-MM-dd HH:mm:ss.SSS", "us": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
 
 
+_DAY_MICROS = 86_400_000_000
+# Microseconds per unit.
+_UNIT_MICROS = {"s": 1_000_000, "ms": 1_000, "us": 1}
+
+
+def _unit(unit: str) -> int:
+    if unit not in _UNIT_MICROS:
+        raise ValueError(f"unknown unit {unit!r}")
+    return _UNIT_MICROS[unit]
+
+
 def from_epoch(value: Column, unit: str = "us") -> Column:
     """Epoch number to a naive timestamp; nanoseconds are floored to microseconds."""
-    if unit == "s":
-        at = F.timestamp_seconds(value)
-    elif unit == "ms":
-        at = F.timestamp_millis(value)
-    elif unit == "us":
-        at = F.timestamp_micros(value)
-    elif unit == "ns":
-        at = F.timestamp_micros(_floor_div(value, 1000))
-    else:
-        raise ValueError(f"unknown unit {unit!r}")
-    return at.cast("timestamp_ntz")
+    micros = _floor_div(value, 1000) if unit == "ns" else (value * F.lit(_unit(unit)).cast("bigint")).cast("bigint")
+    # Day and rest are added to a naive origin, so the session time zone plays no part.
+    rest = F.pmod(micros, F.lit(_DAY_MICROS)).cast("decimal(18,0)") / F.lit(1_000_000).cast("decimal(7,0)")
+    origin = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return origin + F.make_dt_interval(
+        _floor_div(micros, _DAY_MICROS).cast("int"), F.lit(0), F.lit(0), rest.cast("decimal(18,6)")
+    )
 
 
 def from_parts(year: Column, month: Column, day: Column, hour: Column, minute: Column, second: Column) -> Column:
@@ -38,16 +45,12 @@ def _floor_div(value: Column, by: int) -> Column:
 
 
 def to_epoch(at: Column, unit: str = "us") -> Column:
-    ltz = at.cast("timestamp")
-    if unit == "s":
-        return F.unix_seconds(ltz)
-    if unit == "ms":
-        return F.unix_millis(ltz)
-    if unit == "us":
-        return F.unix_micros(ltz)
-    if unit == "ns":
-        return F.unix_micros(ltz) * 1000
-    raise ValueError(f"unknown unit {unit!r}")
+    """A naive timestamp as epoch number, rounded down to the unit."""
+    at = at.cast("timestamp_ntz")
+    days = F.datediff(at.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
+    seconds = F.extract(F.lit("SECOND"), at) * 1_000_000
+    micros = days * _DAY_MICROS + (F.hour(at) * 3600 + F.minute(at) * 60).cast("bigint") * 1_000_000 + seconds.cast("bigint")
+    return micros * 1000 if unit == "ns" else _floor_div(micros, _unit(unit))
 
 
 def parse_strict(text: Column) -> Column:
@@ -66,7 +69,7 @@ def format_nanos(epoch_ns: Column) -> Column:
 
 
 def micros_between(start: Column, end: Column) -> Column:
-    return F.timestamp_diff("MICROSECOND", start, end)
+    return to_epoch(end) - to_epoch(start)
 
 
 def split_parsed(df: DataFrame, text: str, name: str = "dt") -> tuple[DataFrame, DataFrame]:
