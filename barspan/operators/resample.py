@@ -8,31 +8,27 @@ from pyspark.sql import functions as F
 from barspan.operators.adjust import forward_adjust
 
 # Calendar periods: weeks start on Monday.
-_PERIODS = {"1w": "week", "1mo": "month"}
-_UNITS = {"min": 60, "h": 3600}
+_PERIODS = {"1d": "day", "1w": "week", "1mo": "month"}
+_UNITS = {"min": "minutes", "h": "hours"}
 
 
-def period_start(time: Column, freq: str) -> Column:
-    """Start of the period: ``1w``, ``1mo``, ``1d``, or a number of ``min`` or ``h``, as naive timestamp."""
-    if freq in _PERIODS:
-        return F.trunc(time, _PERIODS[freq]).cast("timestamp_ntz")
-    if freq == "1d":
-        return time.cast("date").cast("timestamp_ntz")
-    for unit, seconds in _UNITS.items():
-        if freq.endswith(unit):
-            return F.window(time, f"{int(freq[: -len(unit)]) * seconds} seconds").start
+def _window_text(freq: str) -> str:
+    for unit, word in _UNITS.items():
+        if freq.endswith(unit) and freq[: -len(unit)].isdigit():
+            return f"{freq[: -len(unit)]} {word}"
     raise ValueError(f"unknown frequency {freq!r}")
 
 
 def _bars(df: DataFrame, freq: str, time: str, o: Column, h: Column, lo: Column, c: Column, suffix: str, extra: dict) -> DataFrame:
-    if freq in _PERIODS or freq == "1d":
-        keys = [F.col("symbol"), period_start(F.col(time), freq).alias("dt")]
-        grouped = df.withColumn("_at", F.col(time)).groupBy(*keys)
+    df = df.withColumn("_at", F.col(time))
+    if freq in _PERIODS:
+        day = F.col("_at").cast("date")
+        period = (day if freq == "1d" else F.trunc(day, _PERIODS[freq])).cast("timestamp_ntz")
     else:
-        df = df.withColumn("_at", F.col(time)).withColumn("_w", F.window(time, _seconds_text(freq)))
-        grouped = df.groupBy(F.col("symbol"), F.col("_w.start").alias("dt"))
+        df = df.withColumn("_w", F.window("_at", _window_text(freq)))
+        period = F.col("_w.start")
     # min_by / max_by combine on the map side and do not depend on arrival order.
-    return grouped.agg(
+    return df.groupBy(F.col("symbol"), period.alias("dt")).agg(
         F.min_by(o, "_at").alias(f"open{suffix}"),
         F.max(h).alias(f"high{suffix}"),
         F.min(lo).alias(f"low{suffix}"),
@@ -41,13 +37,6 @@ def _bars(df: DataFrame, freq: str, time: str, o: Column, h: Column, lo: Column,
     )
 
 
-def _seconds_text(freq: str) -> str:
-    for unit, seconds in _UNITS.items():
-        if freq.endswith(unit):
-            return f"{int(freq[: -len(unit)]) * seconds} seconds"
-    raise ValueError(f"unknown frequency {freq!r}")
-
-
 def resample(bars: DataFrame, freq: str, time: str = "dt", suffix: str = "", price_prefix: str = "") -> DataFrame:
     """OHLCV bars of (symbol, period) from finer bars."""
     p = [F.col(price_prefix + c) for c in ("open", "high", "low", "close")]

@@ -243,3 +243,9 @@ def test_filters_reach_the_scan(spark, daily, tmp_path):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(dt,2025-05-06" in plan and "LessThan(dt,2025-05-20" in plan
     assert "ReadSchema: struct<symbol:string,dt:timestamp_ntz,close:double>" in plan
+
+
+def test_unknown_frequency(daily):
+    for freq in ("1q", "min", "x5min"):
+        with pytest.raises(ValueError):
+            resample.resample(daily, freq)
