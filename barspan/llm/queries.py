@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barspan.llm import language_id, mixing, near_dedup, spaced_seeds, token_output
+from barspan.llm import language_id, line_dedup, mixing, near_dedup, secrets, spaced_seeds, token_output, warc
 from barspan.llm.texts import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,3 +78,33 @@ def op10_language_id(spark, sf):
     model = language_id.fit(docs, train=~held_out())
     found = language_id.classify(docs.select("doc_id", "text"), model)
     return found.select("doc_id", held_out().alias("held_out"), F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"))
+
+
+@query
+def op4_warc(spark, sf):
+    found = warc.read_archives(warc.archives(table(spark, sf, "pages")), payloads=False).where("gap IS NULL")
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op7_line_dedup(spark, sf):
+    docs = table(spark, sf, "documents")
+    rows = line_dedup.with_bitmaps(docs, line_dedup.keep_bitmaps(docs))
+
+    def digests(batches):
+        for batch in batches:
+            rows = zip(batch.column("text").to_pylist(), batch.column("keep").to_pylist())
+            kept = [line_dedup.kept_lines(text, keep) for text, keep in rows]
+            columns = [
+                batch.column("doc_id"), pa.array([k[1] for k in kept], pa.int64()), pa.array([k[2] for k in kept], pa.int64()),
+                pa.array([hashlib.sha256(k[0].encode()).hexdigest() for k in kept], pa.string()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_lines", "n_dropped", "kept_sha256"])
+
+    return rows.mapInArrow(digests, "doc_id long, n_lines long, n_dropped long, kept_sha256 string")
+
+
+@query
+def op9_secrets(spark, sf):
+    found = secrets.find_secrets(table(spark, sf, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans")

@@ -12,7 +12,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 1 << 20
@@ -41,11 +41,6 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
-def with_columns_aside(df: DataFrame, needed: dict[str, Column]) -> DataFrame:
-    """Only the named columns, so no other column of the table can clash with a working column."""
-    return df.select(*[c.alias(n) for n, c in needed.items()])
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit words whose output bits all depend on all input bits."""
     x = (x ^ (x >> np.uint64(30))) * _MIX_A
@@ -69,17 +64,23 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"][:n], _powers["down"][:n]
 
 
-def prefix_hashes(data: np.ndarray) -> np.ndarray:
-    """P with P[i] = sum of (data[j] + 1) * BASE^j over j < i, so any substring's hash takes two look-ups."""
+_coefficients = [seeds(256, 11), seeds(256, 12)]
+
+
+def prefix_hashes(data: np.ndarray, family: int = 0) -> np.ndarray:
+    """P with P[i] = sum of c(data[j]) * BASE^j over j < i, so any substring's hash takes two look-ups.
+
+    The two families differ in the numbers c that stand for the bytes; both together make a 128-bit hash.
+    """
     up, _ = powers(len(data))
     out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up, out=out[1:])
+    np.cumsum(_coefficients[family][data] * up, out=out[1:])
     return out
 
 
 def span_hashes(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hashes of the substrings [start, end)."""
-    _, down = powers(len(prefix))
+    _, down = powers(len(prefix) + 1)
     return mix((prefix[end] - prefix[start]) * down[start] + (end - start).astype(np.uint64))
 
 
