@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barspan.llm import language_id, line_dedup, mixing, near_dedup, secrets, spaced_seeds, token_output, warc
+from barspan.llm import language_id, line_dedup, mixing, near_dedup, repeated_bytes, secrets, spaced_seeds, token_output, warc
 from barspan.llm.texts import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -108,3 +108,21 @@ def op7_line_dedup(spark, sf):
 def op9_secrets(spark, sf):
     found = secrets.find_secrets(table(spark, sf, "documents"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+@query
+def op6_repeated_bytes(spark, sf):
+    docs = table(spark, sf, "documents")
+    rows = repeated_bytes.with_starts(docs, repeated_bytes.repeated_starts(docs))
+
+    def digests(batches):
+        for batch in batches:
+            full = [text.encode() for text in batch.column("text").to_pylist()]
+            kept = [repeated_bytes.without_repeats(*x) for x in zip(full, batch.column("starts").to_pylist())]
+            columns = [
+                batch.column("doc_id"), pa.array([len(d) for d in full], pa.int64()), pa.array([len(d) - len(k[0]) for d, k in zip(full, kept)], pa.int64()),
+                pa.array([k[1] for k in kept], pa.int64()), pa.array([hashlib.sha256(k[0]).hexdigest() for k in kept], pa.string()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+
+    return rows.mapInArrow(digests, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 SLICE_BYTES = 1 << 20
 BATCH_ROWS = 256
+#: 64-bit words of the bitmap that keeps texts without a partner out of a shuffle.
+FILTER_WORDS = 1 << 16
 
 # Multipliers of the splitmix64 finaliser, and an odd base for polynomial hashes modulo 2^64.
 _MIX_A = np.uint64(0xBF58476D1CE4E5B9)
@@ -193,6 +195,18 @@ def qualified(spark: SparkSession, path: str) -> str:
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at).toString()
 
 
+def among(docs: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """The rows that may have one of the keys: a filter by a bitmap of hashed keys, at most FILTER_WORDS rows of 64 bits.
+
+    The bitmap is broadcast, being of bounded size whatever the number of keys; rows it lets through wrongly fall out in later joins.
+    """
+    spot = F.pmod(F.xxhash64(key), F.lit(64 * FILTER_WORDS))
+    word, bit = (spot / 64).cast("int"), F.call_function("shiftleft", F.lit(1).cast("long"), (spot % 64).cast("int"))
+    bitmap = ids.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits"))
+    met = docs.withColumns({"word": word, "bit": bit}).join(F.broadcast(bitmap), "word")
+    return met.where(F.col("bits").bitwiseAND(F.col("bit")) != 0).select(*docs.columns)
+
+
 def ordered_blocks(df: DataFrame, key: str, blocks: int, guests: bool = False) -> DataFrame:
     """The rows dealt into blocks of neighbouring keys, each block whole and sorted within one partition.
 
