@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barspan.llm import language_id, line_dedup, mixing, near_dedup, repeated_bytes, secrets, spaced_seeds, token_output, warc
+from barspan.llm import fingerprints, language_id, line_dedup, mixing, near_dedup, repeated_bytes, secrets, spaced_seeds, token_output, warc
 from barspan.llm.texts import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -126,3 +126,8 @@ def op6_repeated_bytes(spark, sf):
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     return rows.mapInArrow(digests, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+
+
+@query
+def op1_fingerprints(spark, sf):
+    return fingerprints.compare_with_next(table(spark, sf, "documents"))
