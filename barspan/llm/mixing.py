@@ -117,9 +117,10 @@ def mix(
     keys = inside.groupBy("leaf", "slot", "before", "rest", "key").agg(F.sum("tokens").alias("tokens"))
     upto = F.col("before") + F.sum("tokens").over(Window.partitionBy("leaf", "slot").orderBy("key"))
     stops = keys.withColumn("upto", upto).where("upto > rest").groupBy("leaf").agg(F.min("key").alias("stop"))
-    plan = leaves.join(stops, "leaf", "left").select(F.struct("leaf", "epochs", "stop").alias("plan"))
+    # ``mix`` is no column of the documents any more, so it can hold the plan.
+    plan = leaves.join(stops, "leaf", "left").select(F.struct("leaf", "epochs", "stop").alias("mix"))
 
-    met = docs.join(plan, leaf == F.col("plan.leaf"))
-    again = F.col("plan.stop").isNotNull() & (drawn(F.col("plan.epochs"), place) < F.col("plan.stop"))
-    met = met.withColumn("mix", F.struct("plan.leaf", (F.col("plan.epochs") + again.cast("int")).alias("epochs")))
-    return met.where("mix.epochs > 0").drop("plan")
+    met = docs.join(plan, leaf == F.col("mix.leaf"))
+    again = F.col("mix.stop").isNotNull() & (drawn(F.col("mix.epochs"), place) < F.col("mix.stop"))
+    met = met.withColumn("mix", F.struct("mix.leaf", (F.col("mix.epochs") + again.cast("int")).alias("epochs")))
+    return met.where("mix.epochs > 0")

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -36,6 +37,7 @@ VERSION = b"WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 GZIP_START = b"\x1f\x8b\x08"
 END = b"\r\n\r\n"
+VERSION_LINE = re.compile(rb"WARC/1\.\d\r\n")
 
 
 def digest(data: bytes) -> str:
@@ -143,7 +145,7 @@ class SalvageReader:
         except zlib.error as e:
             raise Damaged(f"member: {e}") from None
         head, found, rest = b"".join(parts).partition(END)
-        if not found or not head.startswith(VERSION[:7]):
+        if not found or not VERSION_LINE.match(head):
             raise Damaged("no version line")
         record = _parsed(head, rest)
         record.offset, record.end = offset, at - len(inflate.unused_data)
@@ -151,7 +153,7 @@ class SalvageReader:
 
     def _plain(self, offset: int) -> Record:
         head, found, _ = self._at(offset, HEADER_BYTES).partition(END)
-        if not found or not head.startswith(VERSION[:7]):
+        if not found or not VERSION_LINE.match(head):
             raise Damaged("no version line")
         start = offset + len(head) + len(END)
         try:
