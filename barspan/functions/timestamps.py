@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 STRICT_ISO = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(\.(\d{3}|\d{6}|\d{9}))?$"
 
 _NANOS = 1_000_000_000
-_FORMATS = {"s": "yyyy-MM-dd HH:mm:ss", "ms": "yyyy-MM-dd HH:mm:ss.SSS", "us": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
-
+# Fraction digits per unit.
+_DIGITS = {"s": 0, "ms": 3, "us": 6}
 
 _DAY_MICROS = 86_400_000_000
 # Microseconds per unit.
@@ -59,12 +59,21 @@ def parse_strict(text: Column) -> Column:
 
 
 def format_time(at: Column, unit: str = "us") -> Column:
-    return F.date_format(at, _FORMATS[unit])
+    return _text(at, _DIGITS[unit])
+
+
+def _text(at: Column, digits: int) -> Column:
+    """Built from the naive time's own text, as formatting by pattern would pass through the session's time zone."""
+    whole = F.substring_index(at.cast("timestamp_ntz").cast("string"), ".", 1)
+    if not digits:
+        return whole
+    micros = F.lpad(F.pmod(to_epoch(at), F.lit(1_000_000)).cast("string"), 6, "0")
+    return F.concat(whole, F.lit("."), F.substring(micros, 1, digits))
 
 
 def format_nanos(epoch_ns: Column) -> Column:
     """Nanosecond epoch as text with nine fraction digits."""
-    seconds = F.date_format(from_epoch(epoch_ns, "ns"), _FORMATS["s"])
+    seconds = _text(from_epoch(epoch_ns, "ns"), 0)
     return F.concat(seconds, F.lit("."), F.lpad(F.pmod(epoch_ns, F.lit(_NANOS)).cast("string"), 9, "0"))
 
 

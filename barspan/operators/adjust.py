@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barspan.operators.chunks import CARRIED, CHUNK, WHOLE, asof_merge, chunk_window, fitting_width, time_chunk, with_next_time
+from barspan.operators.chunks import CARRIED, CHUNK, WHOLE, asof_merge, at, chunk_window, fitting_width, time_chunk, with_next_time
 
 OHLC = ["open", "high", "low", "close"]
 # The columns an adjustment table applies to.
@@ -46,8 +48,8 @@ def forward_adjust(
             .withColumn("_ratio", ratio)
             .groupBy(*keys, CHUNK)
             .agg(
-                F.min_by("preclose", time).alias("_first_preclose"),
-                F.max_by("close", time).alias("_last_close"),
+                F.min_by("preclose", at(time)).alias("_first_preclose"),
+                F.max_by("close", at(time)).alias("_last_close"),
                 F.product("_ratio").alias("_inner"),
             )
         )
@@ -86,9 +88,15 @@ def forward_adjust(
 
 
 def latest_factors(factors: DataFrame, keys: Sequence[str], time: str, value: str, sequence: str | None) -> DataFrame:
-    """One known value per (key, time); of several the one with the highest ``sequence`` counts."""
-    known = factors.where(F.col(value).isNotNull())
-    pick = F.max_by(value, sequence) if sequence else F.max(value)
+    """One known value per (key, time); of several the one with the highest ``sequence`` counts, and without a sequence
+    different ones are an error. Values without a key or time hold for no bar and are left out.
+    """
+    known = factors.where(reduce(and_, [F.col(c).isNotNull() for c in (value, time, *keys)]))
+    if sequence:
+        pick = F.max_by(value, at(sequence))
+    else:
+        several = F.raise_error(F.lit(f"several values of {value} at one time: give a sequence")).cast("double")
+        pick = F.when(F.min(value) == F.max(value), F.max(value)).otherwise(several)
     return known.groupBy(*keys, time).agg(pick.alias(value))
 
 
@@ -113,14 +121,12 @@ def asof_value(
     """Attach the latest ``value`` whose time is <= the bar's time, NULL before the first one.
 
     A small factor table is turned into validity intervals and broadcast, so the bars are not shuffled
-    at all. Its size is counted first (``broadcast=None``); a larger table is merged with the bars in
-    time order per (key, chunk), which stays linear however many factors a key has.
+    at all. Its size is always counted first; a larger table (or any, with ``broadcast=False``) is merged with the
+    bars in time order per (key, chunk), which stays linear however many factors a key has. Bars without a key or time get NULL.
     """
     keys = list(keys)
     points = latest_factors(factors, keys, factor_time, value, sequence)
-    if broadcast is None:
-        broadcast = fits_broadcast(points, keys)
-    if not broadcast:
+    if broadcast is False or not fits_broadcast(points, keys):
         return asof_merge(bars, points, keys, time, factor_time, value, chunk_seconds)
     spans = validity_spans(points, keys, factor_time, WHOLE).withColumnsRenamed(
         {**{k: f"_k_{k}" for k in keys}, "valid_from": "_from", "valid_to": "_to"}

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from barspan.functions.predicates import EXCLUDED_CONCEPTS, price_return, regular_name, time_literal
 from barspan.operators.chunks import rolling_max
 from barspan.operators.membership import members_at_rows, membership_spans
-from barspan.sources.reads import last_rows
+from barspan.sources.reads import best_rows, last_rows
 
 
 def listed_only(bars: DataFrame, basic_info: DataFrame | None) -> DataFrame:
@@ -22,8 +22,9 @@ def listed_only(bars: DataFrame, basic_info: DataFrame | None) -> DataFrame:
 
 
 def market_breadth(bars: DataFrame, pct: float, basic_info: DataFrame | None = None) -> DataFrame:
-    """Per day: share of regular stocks whose return exceeds ``pct``; an unknown return counts as not exceeding."""
-    exceeds = price_return(F.col("close"), F.col("preclose")) > pct
+    """Per day: share of regular stocks whose return exceeds ``pct``; an unknown return (NULL or NaN) counts as not exceeding."""
+    change = price_return(F.col("close"), F.col("preclose"))
+    exceeds = F.nanvl(change, F.lit(None).cast("double")) > pct
     return (
         listed_only(bars, basic_info)
         .where(regular_name(F.col("name")))
@@ -46,15 +47,23 @@ def limit_up_concepts(
 
     Membership is taken at each day itself. ``days`` restricts the reported days, not the look-back.
     """
+    if days is None:
+        horizon = bars.agg(F.max("dt").alias("dt"))
+    else:
+        # Nothing after the last asked day counts. There is no lower bound: the look-back is by rows.
+        wanted = [time_literal(d) for d in days]
+        last = F.greatest(*wanted) if len(wanted) > 1 else (wanted or [time_literal(None)])[0]
+        bars, log = bars.where(F.col("dt") <= last), log.where(F.col("tradedate") <= last)
+        horizon = bars.sparkSession.range(1).select(last.alias("dt"))
     hits = recent_limit_up(listed_only(bars, basic_info), n)
     if days is not None:
-        hits = hits.where(F.col("dt").isin([time_literal(d) for d in days]))
+        hits = hits.where(F.col("dt").isin(wanted) if wanted else F.lit(False))
     spans = membership_spans(log.where(~F.col("index_code").isin(list(excluded))))
-    horizon = bars.agg(F.max("dt").alias("dt"))
     held = members_at_rows(hits, spans, horizon, stock="symbol")
     counts = held.groupBy("dt", "index_code").agg(F.count(F.lit(1)).alias("n_stocks"))
-    order = Window.partitionBy("dt").orderBy(F.col("n_stocks").desc(), "index_code")
-    return counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= m)
+    order = [F.col("n_stocks").desc(), F.col("index_code")]
+    best = best_rows(counts, m, "dt", *order)
+    return best.withColumn("rank", F.row_number().over(Window.partitionBy("dt").orderBy(*order)))
 
 
 def top_n_with_ties(df: DataFrame, n: int, by: str, value: str) -> DataFrame:
@@ -65,11 +74,8 @@ def top_n_with_ties(df: DataFrame, n: int, by: str, value: str) -> DataFrame:
     rows or ties never has to pass through one task.
     """
     known = df.where(F.col(value).isNotNull() & ~F.isnan(value))
-    order = Window.partitionBy(by).orderBy(F.col(value).desc())
     threshold = (
-        known.select(by, value)
-        .withColumn("_rank", F.row_number().over(order))
-        .where(F.col("_rank") <= n)
+        best_rows(known.select(by, value), n, by, F.col(value).desc())
         .groupBy(F.col(by).alias("_by"))
         .agg(F.min(value).alias("_least"))
     )
@@ -92,8 +98,7 @@ def hot_list(ranked: DataFrame, top_n: int, date: Any = None) -> DataFrame:
     """The ``top_n`` entries with the smallest ``order`` of one date, or of every date (ties by symbol)."""
     if date is not None:
         return ranked.where(F.col("date") == time_literal(date)).orderBy("order", "symbol").limit(top_n)
-    place = F.row_number().over(Window.partitionBy("date").orderBy("order", "symbol"))
-    return ranked.withColumn("_place", place).where(F.col("_place") <= top_n).drop("_place")
+    return best_rows(ranked, top_n, "date", F.col("order"), F.col("symbol"))
 
 
 # Limit states of the daily-bar schema.

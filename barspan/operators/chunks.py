@@ -6,7 +6,7 @@ task. That is fine as long as no symbol is hot, so the busiest one is counted fi
 chunks, the row work runs per (key, chunk), and only a summary with one line per
 (key, chunk) is ordered per key. The number of chunks of a key is bounded by history
 length / chunk width, so no task ever holds more than one chunk of rows or one key's
-list of chunks. Results do not depend on the chunk width.
+list of chunks. Results do not depend on the chunk width; rows without a time sort first, as in a window.
 
 What a chunk has to know of the rest of its key comes back as extra rows of the same
 union ("carried" rows) rather than through a join: the data is shuffled once, NULL keys
@@ -38,17 +38,23 @@ CARRIED = "_carried"
 _NO_TIME = -(1 << 62)
 
 
+def at(time: str) -> Column:
+    """The order of a time column in ``max_by`` and ``min_by``, which skip rows whose order is NULL: a struct isn't, and a NULL
+    time inside it sorts first, as it does in a window."""
+    return F.struct(time)
+
+
 def time_chunk(time: Column, seconds: int) -> Column:
     """Number of the ``seconds``-wide chunk a naive timestamp or date falls into."""
     if seconds == WHOLE:
         return F.lit(0).cast("bigint")
-    at = time.cast("timestamp_ntz")
+    moment = time.cast("timestamp_ntz")
     # Built from calendar fields, so the session time zone plays no part.
-    days = F.datediff(at.cast("date"), F.lit("1970-01-01").cast("date"))
+    days = F.datediff(moment.cast("date"), F.lit("1970-01-01").cast("date"))
     if seconds % DAY == 0:
         number = F.floor(days / F.lit(seconds // DAY))
     else:
-        second_of_day = F.hour(at) * HOUR + F.minute(at) * 60 + F.second(at)
+        second_of_day = F.hour(moment) * HOUR + F.minute(moment) * 60 + F.second(moment)
         number = F.floor((days.cast("bigint") * DAY + second_of_day) / F.lit(seconds))
     return F.coalesce(number, F.lit(_NO_TIME))
 
@@ -92,7 +98,7 @@ def with_preceding_rows(
     needed = list(dict.fromkeys([*keys, CHUNK, *order, *columns]))
     if n == 1 and len(order) == 1:
         # A hash aggregate, combined on the map side.
-        picked = [F.max_by(c, order[0]).alias(c) for c in needed if c not in (*keys, CHUNK, order[0])]
+        picked = [F.max_by(c, at(order[0])).alias(c) for c in needed if c not in (*keys, CHUNK, order[0])]
         tails = rows.groupBy(*keys, CHUNK).agg(F.max(order[0]).alias(order[0]), *picked)
     else:
         newest_first = chunk_window(keys, *[F.col(c).desc() for c in order])
@@ -208,7 +214,7 @@ def asof_merge(
     )
     merged = rows.unionByName(points.withColumn("_side", F.lit(1)), allowMissingColumns=True)
     if seconds != WHOLE:
-        known = points.groupBy(*keys, CHUNK).agg(F.max_by("_v", "_t").alias("_v"))
+        known = points.groupBy(*keys, CHUNK).agg(F.max_by("_v", at("_t")).alias("_v"))
         in_force = _latest_before(rows.select(*keys, CHUNK).distinct(), known, keys, "_v")
         merged = merged.unionByName(in_force.withColumn("_side", F.lit(0)), allowMissingColumns=True)
     w = chunk_window(keys, F.col("_t").asc_nulls_first(), F.col("_side")).rowsBetween(Window.unboundedPreceding, 0)
@@ -227,7 +233,7 @@ def forward_fill(
     rows = df.withColumn(CHUNK, time_chunk(F.col(time), seconds)).withColumn("_v", F.col(column))
     merged = rows.withColumn("_side", F.lit(1))
     if seconds != WHOLE:
-        known = rows.where(F.col("_v").isNotNull()).groupBy(*keys, CHUNK).agg(F.max_by("_v", time).alias("_v"))
+        known = rows.where(F.col("_v").isNotNull()).groupBy(*keys, CHUNK).agg(F.max_by("_v", at(time)).alias("_v"))
         in_force = _latest_before(rows.select(*keys, CHUNK).distinct(), known, keys, "_v")
         merged = merged.unionByName(in_force.withColumn("_side", F.lit(0)), allowMissingColumns=True)
     w = chunk_window(keys, F.col("_side"), F.col(time)).rowsBetween(Window.unboundedPreceding, 0)

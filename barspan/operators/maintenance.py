@@ -1,9 +1,8 @@
-"""Table maintenance on Parquet datasets partitioned by trading day.
+"""Table maintenance on Parquet stores with one unit per trading day, in either layout of ``sources.day_files``.
 
-A dataset cannot be overwritten while it is read. Changes are therefore written to a staging folder
-beside the dataset first (the same shared storage), then the affected days are replaced from there in
-one dynamic partition overwrite; other days are not touched. Both steps are ordinary Spark writes whose
-commit survives lost executors.
+A store cannot be overwritten while it is read. The changed days are written once, to a staging folder beside the store
+(the same storage); then each day's unit is exchanged for the staged one by a rename. Other days are neither written nor opened. The staging
+folder goes in any case. A row without a trading day is an error when written.
 """
 
 from __future__ import annotations
@@ -12,13 +11,13 @@ import uuid
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructField, StructType
 
 from barspan.functions.bar_columns import nan_to_null
-from barspan.sources.day_files import DAY_COLUMN, list_days, read_days, with_day_column
-from barspan.sources.files import exists, remove
+from barspan.sources.day_files import DAY_COLUMN, day_schema, day_units, is_flat, list_days, read_days, with_day_column
+from barspan.sources.files import exists, make_folder, move, remove
 
 _MAX_ROWS_PER_FILE = 20_000_000
 
@@ -29,8 +28,9 @@ def _order(df: DataFrame) -> list[str]:
 
 def write_days(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Write range-partitioned by day, symbol and time: few files per day, a busy day or symbol is split, and
-    each file covers a narrow symbol range that row-group statistics can skip."""
-    df = with_day_column(df)
+    each file covers a narrow symbol range that row-group statistics can skip. NaN becomes NULL."""
+    df = nan_to_null(with_day_column(df))
+    df = df.withColumn(DAY_COLUMN, F.coalesce(DAY_COLUMN, F.raise_error(F.lit("a row has no trading day")).cast("date")))
     order = _order(df)
     writer = df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode(mode).partitionBy(DAY_COLUMN)
     writer.option("maxRecordsPerFile", _MAX_ROWS_PER_FILE).parquet(path)
@@ -53,43 +53,65 @@ def append(df: DataFrame, path: str, columns: Sequence[str] | None = None, where
     write_days(df.select(*columns) if columns else df, path, "append")
 
 
-def read_dataset(spark: SparkSession, path: str) -> DataFrame:
-    """The dataset with the columns of all its days, so that a rewrite loses none of them."""
-    return spark.read.option("mergeSchema", True).parquet(path)
+def read_dataset(spark: SparkSession, path: str, days: Sequence[date | str] | None = None) -> DataFrame:
+    """The given days (default: all) with all columns that they have, so that a rewrite loses none of them.
+
+    Only the footers of these days are opened.
+    """
+    units = day_units(spark, path)
+    if not units:
+        return spark.read.option("mergeSchema", True).parquet(path)
+    chosen = units if days is None else [str(d) for d in days]
+    names = [units[d] for d in chosen]
+    reader = spark.read.option("mergeSchema", True)
+    if is_flat(names[0]):
+        return with_day_column(reader.parquet(*[f"{path}/{n}" for n in names]))
+    return reader.option("basePath", path).parquet(*[f"{path}/{n}" for n in names])
 
 
 def _days_of(df: DataFrame) -> list[date]:
     """Trading days of the rows; one value per day, so it is safe to hold on the driver."""
-    return [r[0] for r in df.select(DAY_COLUMN).distinct().collect()]
+    return [r[0] for r in df.select(DAY_COLUMN).where(F.col(DAY_COLUMN).isNotNull()).distinct().collect()]
 
 
 def _replace_days(spark: SparkSession, changed: DataFrame, path: str, days: Sequence[date]) -> None:
-    """Replace the given days of the dataset with the rows of ``changed``."""
+    """Exchange the given days of the store for the rows of ``changed``; a day that lost its last row goes."""
+    units = day_units(spark, path)
+    flat = bool(units) and is_flat(next(iter(units.values())))
     staging = f"{path.rstrip('/')}__staging_{uuid.uuid4().hex}"
-    write_days(changed, staging)
-    staged_days = set(list_days(spark, staging))
-    if staged_days:
-        stored = spark.read.schema(with_day_column(changed).schema).parquet(staging)
-        # The staged files are laid out already: no second shuffle.
-        (
-            stored.sortWithinPartitions(*_order(stored)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .option("maxRecordsPerFile", _MAX_ROWS_PER_FILE).partitionBy(DAY_COLUMN).parquet(path)
-        )
-    # A day that lost its last row has nothing to overwrite it with: its folder goes.
-    for day in days:
-        if day.isoformat() not in staged_days:
-            remove(spark, f"{path}/{DAY_COLUMN}={day.isoformat()}")
-    remove(spark, staging)
+    try:
+        write_days(changed, f"{staging}/new")
+        staged = day_units(spark, f"{staging}/new")
+        make_folder(spark, f"{staging}/old")
+        for day in sorted({*(d.isoformat() for d in days), *staged}):
+            name = units.get(day) or (f"{day}.parquet" if flat else f"{DAY_COLUMN}={day}")
+            if day in units:
+                move(spark, f"{path}/{name}", f"{staging}/old/{name}")
+            if day in staged:
+                move(spark, f"{staging}/new/{staged[day]}", f"{path}/{name}")
+    finally:
+        remove(spark, staging)
 
 
 def delete_rows(spark: SparkSession, path: str, where: str) -> None:
-    """Delete rows that match; rows where the predicate is unknown stay. No match is no error."""
-    df = read_dataset(spark, path)
+    """Delete rows that match; rows where the predicate is unknown stay. No match is no error.
+
+    The predicate is over columns that the newest day has.
+    """
+    units = day_units(spark, path)
+    if not units:
+        return
+    reader = spark.read.schema(day_schema(spark, path, max(units)))
+    files = [f"{path}/{name}" for name in units.values()]
+    if is_flat(units[max(units)]):
+        df = with_day_column(reader.parquet(*files))
+    else:
+        df = reader.option("basePath", path).parquet(*files)
     # The bare predicate reaches the scan; the null-safe form is only needed for the rows that stay.
     days = _days_of(df.where(where))
     if days:
         stays = ~F.coalesce(F.expr(where), F.lit(False))
-        _replace_days(spark, df.where(F.col(DAY_COLUMN).isin(days) & stays), path, days)
+        _replace_days(spark, read_dataset(spark, path, days).where(stays), path, days)
 
 
 def merge_columns(
@@ -101,6 +123,8 @@ def merge_columns(
     The day must hold rows, and with ``check_integrity`` the joined rows must be as many as ``new`` has.
     """
     origin = read_days(spark, path, [day])
+    if DAY_COLUMN not in origin.columns:
+        origin = origin.withColumn(DAY_COLUMN, F.lit(str(day)[:10]).cast("date"))
     if origin.isEmpty():
         raise ValueError(f"{path} has no rows for {day}")
     shared = [c for c in new.columns if c in origin.columns and c not in (on, DAY_COLUMN)]
@@ -114,45 +138,60 @@ def merge_columns(
         n_joined, n_new = joined.count(), new.count()
         if n_joined != n_new:
             raise ValueError(f"cannot merge {n_new} rows into {day}: the joined day has {n_joined}")
-    _replace_days(spark, joined, path, _days_of(origin))
-
-
-def latest_per_cell(df: DataFrame, batch: str, keys: Sequence[str] = ("symbol", "dt")) -> DataFrame:
-    """Of several rows with the same coordinates the one of the latest batch.
-
-    row_number() <= 1 is limited on the map side, so copies of a hot cell are reduced before the shuffle.
-    """
-    newest = Window.partitionBy(*keys).orderBy(F.col(batch).desc())
-    return df.withColumn("_n", F.row_number().over(newest)).where(F.col("_n") <= 1).drop("_n")
+    _replace_days(spark, joined, path, [date.fromisoformat(str(day)[:10])])
 
 
 def upsert(spark: SparkSession, path: str, updates: DataFrame, batch: str = "batch_id") -> None:
     """Write rows, columns or cells of the grid: a later batch replaces an earlier one at the same coordinates.
 
-    Updates may carry only some columns; an existing row keeps its other values.
+    Of several updates of a cell the one of the latest batch counts. Updates may carry only some columns; an existing row keeps its other
+    values. A column that the store lacks is added, NULL elsewhere.
     """
-    stored = read_dataset(spark, path)
-    updates = latest_per_cell(with_day_column(updates), batch)
     keys = ["symbol", "dt", DAY_COLUMN]
+    updates = with_day_column(updates)
     days = _days_of(updates)
-    base = stored.where(F.col(DAY_COLUMN).isin(days))
-    values = [c for c in updates.columns if c not in keys]
-    incoming = updates.withColumnsRenamed({c: f"_new_{c}" for c in values}).withColumn("_hit", F.lit(True))
-    # A left join and an anti join instead of a full join, whose skew Spark cannot split.
-    newer = F.col("_hit") & (F.col(batch).isNull() | (F.col(f"_new_{batch}") >= F.col(batch)))
-    kept = base.join(incoming, keys, "left").select(
-        *[F.when(newer, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in values else F.col(c) for c in base.columns]
-    )
-    added = updates.join(base.select(*keys).distinct(), keys, "left_anti")
-    out = kept.unionByName(added.select(*[c for c in base.columns if c in updates.columns]), allowMissingColumns=True)
+    units = day_units(spark, path)
+    stored_days = [d for d in days if d.isoformat() in units]
+    if not days:
+        return
+    base = read_dataset(spark, path, stored_days) if stored_days else read_dataset(spark, path, [max(units)]).limit(0)
+    new = [c for c in updates.columns if c not in keys]
+    old = [c for c in base.columns if c not in keys]
+    kinds = {c: (base if c in old else updates).schema[c].dataType for c in [*old, *new]}
+    side = lambda df, columns, mine: df.select(
+        *keys, *[F.struct(*[F.col(c).cast(kinds[c]).alias(c) for c in cs]).alias(n) if mine == n else F.lit(None).cast(_struct(cs, kinds)).alias(n)
+                 for n, cs in (("_old", old), ("_new", new))], F.col(batch).alias("_batch"), F.lit(mine).alias("_side"),
+    )
+    both = side(base, old, "_old").unionByName(side(updates, new, "_new"))
+    # One hash aggregate, combined on the map side: the latest row of either side in each cell.
+    order = F.struct("_batch")
+    latest = lambda n: F.max_by(F.when(F.col("_side") == n, F.col(n)), F.when(F.col("_side") == n, order)).alias(n)
+    batches = [F.max(F.when(F.col("_side") == n, F.col("_batch"))).alias(f"{n}_batch") for n in ("_old", "_new")]
+    cells = both.groupBy(*keys).agg(latest("_old"), latest("_new"), *batches)
+    newer = F.col("_new").isNotNull() & (F.col("_old_batch").isNull() | (F.col("_new_batch") >= F.col("_old_batch")))
+
+    def value(c: str) -> Column:
+        if c not in new:
+            return F.col(f"_old.{c}")
+        if c not in old:
+            return F.when(newer, F.col(f"_new.{c}"))
+        return F.when(newer, F.col(f"_new.{c}")).otherwise(F.col(f"_old.{c}"))
+
+    names = [*base.columns, *[c for c in new if c not in old]]
+    out = cells.select(*[F.col(c) if c in keys else value(c).alias(c) for c in names])
     _replace_days(spark, out, path, days)
 
 
+def _struct(columns: Sequence[str], kinds: dict[str, DataType]) -> StructType:
+    return StructType([StructField(c, kinds[c]) for c in columns])
+
+
 def compact(spark: SparkSession, path: str, days: Sequence[date] | None = None) -> None:
     """Rewrite the given days (default: all) into few sorted files."""
-    if days is None:
-        days = [date.fromisoformat(d) for d in list_days(spark, path)]
-    _replace_days(spark, read_dataset(spark, path).where(F.col(DAY_COLUMN).isin(list(days))), path, days)
+    stored = list_days(spark, path)
+    days = [date.fromisoformat(d) for d in stored] if days is None else [d for d in days if d.isoformat() in stored]
+    if days:
+        _replace_days(spark, read_dataset(spark, path, days), path, days)
 
 
 def undo_batches(spark: SparkSession, path: str, first: int, last: int, batch: str = "batch_id") -> None:

@@ -4,18 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from operator import and_, mul
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barspan.operators.chunks import CARRIED, CHUNK, chunk_window, fitting_width, with_preceding_rows
 
 KEYS = ["ts_code", "f_ann_date", "end_date"]
 
-# A key with more rows than this is salted in the merge; the list of such keys is bounded for broadcasting.
+# A key for which the merge would pair more rows than this in one task is salted.
 HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 10_000
-SALTS = 64
 COPIES = 10_000
 
 
@@ -48,51 +47,48 @@ def _key_counts(table: DataFrame, keys: Sequence[str]) -> DataFrame:
     return table.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
 
 
-def _hot_keys(counts: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
-    """The most frequent keys of a table: at most ``MAX_HOT_KEYS``, each with more than ``hot_rows`` rows.
+def _complete(keys: Sequence[str]) -> Column:
+    return reduce(and_, [F.col(k).isNotNull() for k in keys])
 
-    A key left out by the limit has fewer than 1 / MAX_HOT_KEYS of the rows, so it needs no salt. The order
-    is total: every evaluation gives the same keys.
-    """
-    order = [F.col("_n").desc(), *keys]
-    return counts.where(F.col("_n") > hot_rows).orderBy(*order).limit(MAX_HOT_KEYS).select(*keys)
 
+def _salts(left: DataFrame, right: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
+    """(keys, _nl, _nr): over how many salts the two sides of a hot key are dealt, from its counts.
 
-def _flag(df: DataFrame, hot: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    return df.join(F.broadcast(hot.withColumn(name, F.lit(True))), list(keys), "left").withColumn(
-        name, F.coalesce(name, F.lit(False))
-    )
+    A key is hot if either side, or the pairs of both, exceed ``hot_rows``; then no task gets more than that.
+    """
+    both = _key_counts(left, keys).withColumnRenamed("_n", "_cl").join(_key_counts(right, keys).withColumnRenamed("_n", "_cr"), list(keys), "full")
+    l, r = F.coalesce("_cl", F.lit(0)).cast("double"), F.coalesce("_cr", F.lit(0)).cast("double")
+    paired = (l > 0) & (r > 0)
+    # Equal shares of the root on both sides bound the pairs; a side without partner is only cut.
+    share = F.when(paired, F.sqrt(F.lit(float(hot_rows)))).otherwise(F.lit(float(hot_rows)))
+    hot = F.greatest(l, r, l * r) > hot_rows
+    return both.where(hot).select(*keys, *[F.greatest(F.lit(1), F.ceil(n / share)).cast("int").alias(name) for n, name in ((l, "_nl"), (r, "_nr"))])
 
 
-def full_join(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], hot_left: DataFrame, hot_right: DataFrame, salts: int = SALTS
-) -> DataFrame:
-    """Full outer join whose hot keys are spread over several tasks.
+def full_join(left: DataFrame, right: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Full outer join whose hot keys are spread over several tasks; the keys come first.
 
-    Spark cannot split a skewed full outer join. Here the rows of a key that is hot on one side get a salt,
-    and the other side's rows of that key are repeated once per salt. A repeated row that meets no partner
-    under its salt is dropped: its key is known to exist on the hot side, so the row has its partners under
-    other salts. The result is the plain full outer join.
+    Spark cannot split a skewed full outer join. Here the rows of a hot key get a salt, and the other side's rows of that key are repeated
+    once per salt. A repeated row that meets no partner under its salt is dropped if its key exists on the other side at all, because it has its
+    partners under other salts. The result is the plain full outer join. Rows whose key has a NULL never match: they stay out of the join.
 
     The salt is a hash of the row, so a task that runs again draws the same one. Identical copies would share
     it; they are counted before the shuffle, cut into pieces of at most ``COPIES`` and multiplied out again
     after the join.
     """
     keys = list(keys)
-    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
+    salts = _salts(left.where(_complete(keys)), right.where(_complete(keys)), keys, hot_rows)
 
     def side(df: DataFrame, own: str, other: str) -> DataFrame:
         pieces = F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / COPIES).cast("int"))
-        counted = _key_counts(df, df.columns).withColumn("_piece", F.explode(pieces))
-        flagged = _flag(_flag(counted, hot_left, keys, "_hotl"), hot_right, keys, "_hotr")
-        one_salt = F.pmod(F.xxhash64(*df.columns, "_piece"), F.lit(salts)).cast("int")
-        repeated = F.when(F.col(f"_hot{other}"), every_salt).otherwise(F.array(F.lit(0)))
+        counted = _key_counts(df.where(_complete(keys)), df.columns).withColumn("_piece", F.explode(pieces))
+        dealt = counted.join(salts, keys, "left").na.fill(1, ["_nl", "_nr"])
         return (
-            flagged.withColumn(f"_s{own}", F.when(F.col(f"_hot{own}"), one_salt).otherwise(0))
-            .withColumn(f"_s{other}", F.explode(repeated))
+            dealt.withColumn(f"_s{own}", F.pmod(F.xxhash64(*df.columns, "_piece"), F.col(f"_n{own}")).cast("int"))
+            .withColumn(f"_s{other}", F.explode(F.sequence(F.lit(0), F.col(f"_n{other}") - 1)))
             .withColumn(f"_copies{own}", F.least(F.lit(COPIES), F.col("_n") - F.col("_piece") * COPIES))
-            .withColumnRenamed(f"_hot{other}", f"_repeated{own}")
-            .drop(f"_hot{own}", "_n", "_piece")
+            .withColumn(f"_repeated{own}", F.col(f"_n{other}") > 1)
+            .drop("_nl", "_nr", "_n", "_piece")
         )
 
     joined = side(left, "l", "r").join(side(right, "r", "l"), [*keys, "_sl", "_sr"], "full")
@@ -101,15 +97,18 @@ def full_join(
     whole = joined.where(~(F.coalesce(lonely_left, F.lit(False)) | F.coalesce(lonely_right, F.lit(False))))
     for copies in ("_copiesl", "_copiesr"):
         whole = whole.withColumn(copies, F.explode(F.sequence(F.lit(1), F.coalesce(copies, F.lit(1)))))
-    return whole.select(*left.columns, *[c for c in right.columns if c not in keys])
+    out = whole.select(*keys, *[c for df in (left, right) for c in df.columns if c not in keys])
+    for df in (left, right):
+        out = out.unionByName(df.where(~_complete(keys)), allowMissingColumns=True)
+    return out
 
 
 def merge_statements(*tables: DataFrame, sort: bool = True, hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """Full outer merge of statement tables on (ts_code, f_ann_date, end_date).
+    """Full outer merge of statement tables on (ts_code, f_ann_date, end_date), which come first.
 
     Fields that occur in several tables get the suffix ``_2``, ``_3``, ... of their table's place. No table,
-    or an empty one among several, gives ``None``. One job counts the rows per key of all tables first;
-    without hot keys the plain join is used.
+    or an empty one among several, gives ``None``. One job counts the rows per key of all tables first; if no key
+    pairs more rows than ``hot_rows``, the plain join does the same.
     """
     if not tables:
         return None
@@ -121,20 +120,17 @@ def merge_statements(*tables: DataFrame, sort: bool = True, hot_rows: int = HOT_
         table = table.withColumnsRenamed({c: f"{c}_{place}" for c in table.columns if c not in KEYS and c in seen})
         seen |= set(table.columns) - set(KEYS)
         prepared.append(table)
-    counts = [_key_counts(table, KEYS) for table in prepared]
-    tagged = [c.select(F.lit(place).alias("place"), "_n") for place, c in enumerate(counts)]
-    sizes = reduce(DataFrame.unionByName, tagged).groupBy("place").agg(F.max("_n").alias("hottest")).collect()
-    hottest = {r.place: r.hottest for r in sizes}
-    if len(hottest) < len(prepared):
+    places = range(len(prepared))
+    tagged = [table.select(*KEYS, F.lit(place).alias("place")) for place, table in enumerate(prepared)]
+    counts = reduce(DataFrame.unionByName, tagged).groupBy(*KEYS).agg(*[F.count_if(F.col("place") == p).alias(f"n{p}") for p in places])
+    pairs = reduce(mul, [F.greatest(F.col(f"n{p}"), F.lit(1)).cast("double") for p in places])
+    # Rows without a complete key are as many as they are: they meet no partner.
+    most = F.max(F.when(_complete(KEYS), pairs).otherwise(F.greatest(*[F.col(f"n{p}") for p in places]).cast("double")))
+    found = counts.agg(most.alias("most"), *[F.sum(f"n{p}").alias(f"n{p}") for p in places]).first()
+    if not all(found[f"n{p}"] for p in places):
         return None
-    hot = [_hot_keys(c, KEYS, hot_rows) if hottest[place] > hot_rows else None for place, c in enumerate(counts)]
-    merged, merged_hot = prepared[0], hot[0]
-    for table, table_hot in zip(prepared[1:], hot[1:]):
-        if merged_hot is None and table_hot is None:
-            merged = merged.join(table, KEYS, "full")
-            continue
-        none = table.select(*KEYS).limit(0)
-        merged = full_join(merged, table, KEYS, merged_hot or none, table_hot or none)
-        # A key that is hot in one of the inputs is hot in the merge.
-        merged_hot = (merged_hot or none).unionByName(table_hot or none).distinct()
+    merged = prepared[0]
+    for table in prepared[1:]:
+        merged = full_join(merged, table, KEYS, hot_rows) if found["most"] > hot_rows else merged.join(table, KEYS, "full")
+    merged = merged.select(*KEYS, *[c for c in merged.columns if c not in KEYS])
     return merged.orderBy(*KEYS) if sort else merged

@@ -4,6 +4,10 @@ from __future__ import annotations
 
 import re
 
+from barspan.functions.predicates import EXCLUDED_CONCEPTS
+
+_EXCLUDED = ", ".join(f"'{code}'" for code in EXCLUDED_CONCEPTS)
+
 # Derived tables, in dependency order.
 DERIVED = {
     "ticks": """SELECT CAST(user_id AS VARCHAR) AS symbol, ts AS dt, value AS last_price, event_type, event_id FROM events""",
@@ -20,6 +24,7 @@ DERIVED = {
         CAST(dt AS DATE) AS trade_date FROM states""",
     "quotes": """SELECT symbol, dt, last_price, last_price * 2 AS bid_price1, CAST(1 AS BIGINT) AS volume
         FROM ticks WHERE event_type <> 'signup'""",
+    "all_quotes": """SELECT symbol, dt, last_price, last_price * 2 AS bid_price1, CAST(1 AS BIGINT) AS volume FROM ticks""",
     "factors": """SELECT symbol, dt AS tradedate, 1 + last_price / 1000 AS adjust_factor FROM ticks
         WHERE event_type = 'signup'""",
     "interval_bars": """SELECT symbol, date_trunc('hour', dt) AS dt, arg_min(last_price, dt) AS open, max(last_price) AS high,
@@ -142,10 +147,11 @@ BODIES = {
     "doc_find": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate FROM orders
         WHERE o_orderstatus = 'O' AND o_totalprice >= 100000 AND o_orderkey > 10
         ORDER BY o_totalprice DESC, o_orderkey LIMIT 250""",
-    "last_n_per_symbol": """SELECT * FROM quotes QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY dt DESC) <= 5""",
-    "first_n_per_symbol": """SELECT * FROM quotes QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY dt) <= 5""",
-    "last_n_table": f"""SELECT symbol, last_price FROM quotes WHERE dt <= {_HI} ORDER BY dt DESC, symbol DESC LIMIT 1000""",
-    "capped_range": f"""SELECT * FROM quotes WHERE dt >= {_LO} AND dt < {_HI}
+    "last_n_per_symbol": """SELECT * FROM all_quotes QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY dt DESC) <= 5""",
+    "first_n_per_symbol": """SELECT * FROM all_quotes QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY dt) <= 5""",
+    "last_n_table": f"""SELECT symbol, last_price FROM all_quotes WHERE dt <= {_HI} ORDER BY dt DESC, symbol DESC LIMIT 1000""",
+    "capped_range_from": f"""SELECT * FROM all_quotes WHERE dt >= {_LO} QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY dt) <= 3""",
+    "capped_range": f"""SELECT * FROM all_quotes WHERE dt >= {_LO} AND dt < {_HI}
         QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY dt DESC) <= 7""",
     "first_n_days": f"""SELECT {_BAR}, trade_date FROM bars WHERE trade_date IN (SELECT DISTINCT trade_date FROM bars
         WHERE trade_date >= DATE '2024-01-14' ORDER BY 1 LIMIT 10)""",
@@ -181,6 +187,20 @@ BODIES = {
         FROM (SELECT * FROM interval_bars WHERE dt <= {_HI}
             QUALIFY row_number() OVER (PARTITION BY symbol, interval ORDER BY dt DESC) <= 5) b
         ASOF LEFT JOIN factors f ON b.symbol = f.symbol AND b.dt >= f.tradedate""",
+    "klines_of_symbols": f"""SELECT b.symbol, b.dt, b.interval, round(open * coalesce(adjust_factor - 0.5::DOUBLE, 1), 8) AS open,
+            round(high * coalesce(adjust_factor - 0.5::DOUBLE, 1), 8) AS high, round(low * coalesce(adjust_factor - 0.5::DOUBLE, 1), 8) AS low,
+            round(close * coalesce(adjust_factor - 0.5::DOUBLE, 1), 8) AS close, volume
+        FROM (SELECT * FROM interval_bars WHERE interval = '1d' AND dt >= {_LO} AND CAST(symbol AS BIGINT) BETWEEN 0 AND 59
+            QUALIFY row_number() OVER (PARTITION BY symbol, interval ORDER BY dt) <= 4) b
+        ASOF LEFT JOIN factors f ON b.symbol = f.symbol AND b.dt >= f.tradedate""",
+    "resample_nan": """SELECT symbol, date_trunc('week', dt)::TIMESTAMP AS dt, round(max(CASE WHEN volume % 2 <> 0 THEN high END), 8) AS high,
+        round(min(low), 8) AS low, CAST(sum(volume) AS BIGINT) AS volume FROM bars GROUP BY 1, 2""",
+    "market_breadth_nan": """SELECT dt, round(avg(CASE WHEN volume % 2 <> 0 AND (close - preclose) / nullif(preclose, 0) > 0.5
+            THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 8) AS ratio_of_perctg_gt
+        FROM bars WHERE name NOT LIKE '%ST%' AND name NOT LIKE '%退%' GROUP BY dt""",
+    "day_merge_flat": """SELECT symbol, dt, open, high, low, round(CASE WHEN trade_date = DATE '2024-01-15' THEN close * 2 ELSE close END, 8) AS close,
+        volume, trade_date, CASE WHEN trade_date = DATE '2024-01-15' THEN round(high - low, 8) END AS spread FROM bars
+        WHERE trade_date IN (DATE '2024-01-15', DATE '2024-01-16')""",
     "resample_week": _resample("1w", "week"),
     "resample_month": _resample("1mo", "month"),
     "bars_5min": _tick_bars("5 minutes"),
@@ -213,8 +233,7 @@ BODIES = {
             SELECT symbol, rank() OVER (PARTITION BY dt ORDER BY pct DESC) AS place FROM (
                 SELECT '88' || CAST(5300 + CAST(symbol AS BIGINT) AS VARCHAR) || '.TI' AS symbol, dt,
                     (close - preclose) / nullif(preclose, 0) AS pct FROM bars
-                WHERE dt <= {_HI} AND 5300 + CAST(symbol AS BIGINT) NOT IN (5338, 5472, 5487, 5514, 5520, 5521, 5587, 5591, 5598,
-                    5617, 5694, 5699, 5701, 5729, 5734, 5739, 5742, 5796, 5849, 5855, 5867, 5873, 5905, 5906, 5907)
+                WHERE dt <= {_HI} AND '88' || CAST(5300 + CAST(symbol AS BIGINT) AS VARCHAR) || '.TI' NOT IN ({_EXCLUDED})
                 QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY dt DESC) <= 12)
             WHERE pct IS NOT NULL) WHERE place <= 3""",
     "hot_list": """SELECT CAST(CAST(dt AS DATE) AS TIMESTAMP) AS date, symbol, CAST(1000000 - round(sum(last_price) * 100) AS INTEGER) AS "order"
@@ -313,6 +332,10 @@ BODIES = {
 }
 
 
+BODIES["statements_merge_salted"] = BODIES["statements_merge"]
+BODIES["limitup_concepts_days"] = f"SELECT * FROM ({BODIES['limitup_concepts']}) WHERE dt::DATE IN ('2024-01-10', '2024-01-16', '2024-01-17')"
+
+
 def _with_derived(body: str) -> str:
     """Prepend the derived tables the text uses, directly or through each other."""
     needed: list[str] = []

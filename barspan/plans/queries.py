@@ -78,23 +78,28 @@ def doc_find(spark, sf):
 
 @query
 def last_n_per_symbol(spark, sf):
-    return reads.last_rows(data.quotes(spark, sf), 5)
+    return reads.last_rows(data.all_quotes(spark, sf), 5)
 
 
 @query
 def first_n_per_symbol(spark, sf):
-    return reads.first_rows(data.quotes(spark, sf), 5)
+    return reads.first_rows(data.all_quotes(spark, sf), 5)
 
 
 @query
 def last_n_table(spark, sf):
-    q = data.quotes(spark, sf)
+    q = data.all_quotes(spark, sf)
     return reads.last_rows_of_table(q, 1000, ["symbol", "last_price"], RANGE[1], order=("dt", "symbol"))
 
 
 @query
 def capped_range(spark, sf):
-    return reads.capped_range(data.quotes(spark, sf), *RANGE, max_count=7, side="left")
+    return reads.capped_range(data.all_quotes(spark, sf), *RANGE, max_count=7, side="left")
+
+
+@query
+def capped_range_from(spark, sf):
+    return reads.capped_range(data.all_quotes(spark, sf), RANGE[0], max_count=3)
 
 
 @query
@@ -221,6 +226,17 @@ def klines(spark, sf):
     return rounded(out, "open", "high", "low", "close")
 
 
+@query
+def klines_of_symbols(spark, sf):
+    """A range with a start, and two factors of each time of which the later one counts."""
+    bars = data.interval_bars(spark, sf).select(*BAR_COLUMNS, "interval")
+    factors = data.factors(spark, sf)
+    again = factors.withColumns({"adjust_factor": F.col("adjust_factor") - 0.5, "seq": F.col("seq") + 1_000_000_000})
+    symbols = [str(i) for i in range(60)]
+    out = reads.klines(bars, symbols, ["1d"], 4, start=RANGE[0], factors=factors.unionByName(again), sequence="seq")
+    return rounded(out, "open", "high", "low", "close")
+
+
 def _resampled(freq: str) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         out = resample.resample_adjusted(data.daily_bars(spark, sf), freq)
@@ -295,6 +311,22 @@ def market_breadth(spark, sf):
     return rounded(out, "ratio_of_perctg_gt")
 
 
+@query
+def market_breadth_nan(spark, sf):
+    """NaN closes are unknown returns."""
+    bars = data.daily_bars(spark, sf)
+    bars = bars.withColumn("close", F.when(F.col("volume") % 2 == 0, F.lit(float("nan"))).otherwise(F.col("close")))
+    return rounded(breadth.market_breadth(bars, 0.5), "ratio_of_perctg_gt")
+
+
+@query
+def resample_nan(spark, sf):
+    """Weekly bars of daily bars with NaN prices, which are no high and no low."""
+    bars = data.daily_bars(spark, sf)
+    bars = bars.withColumn("high", F.when(F.col("volume") % 2 == 0, F.lit(float("nan"))).otherwise(F.col("high")))
+    return rounded(resample.resample(bars, "1w").select("symbol", "dt", "high", "low", "volume"), "high", "low")
+
+
 @query
 def recent_limit_up(spark, sf):
     return breadth.recent_limit_up(data.daily_bars(spark, sf), 10)
@@ -307,6 +339,13 @@ def limitup_concepts(spark, sf):
     )
 
 
+@query
+def limitup_concepts_days(spark, sf):
+    days = ["2024-01-10", "2024-01-16", "2024-01-17"]
+    log, info = data.recent_membership_log(spark, sf), data.basic_info(spark, sf)
+    return breadth.limit_up_concepts(data.daily_bars(spark, sf), log, m=5, n=3, days=days, basic_info=info)
+
+
 @query
 def top_rank_concepts(spark, sf):
     return breadth.top_rank_concepts(data.index_bars(spark, sf), top_n=3, m=12, until=RANGE[1])
@@ -468,13 +507,22 @@ def statements_clean(spark, sf):
 
 @query
 def statements_merge(spark, sf):
+    return statements.merge_statements(*_statement_tables(spark, sf))
+
+
+@query
+def statements_merge_salted(spark, sf):
+    """The way taken when a key pairs very many rows."""
+    return statements.merge_statements(*_statement_tables(spark, sf), hot_rows=1)
+
+
+def _statement_tables(spark: SparkSession, sf: str) -> list[DataFrame]:
     s = data.statements(spark, sf)
     income = s.select("ts_code", "f_ann_date", "end_date", "amount", F.col("report_id").alias("income_id"))
     urgent = F.col("priority").isin("1-URGENT", "2-HIGH")
     balance = s.where(urgent).select(*statements.KEYS, "amount", F.col("report_id").alias("balance_id"))
     cashflow = s.where(F.col("status") != "F").select(*statements.KEYS, "status")
-    tables = [statements.clean_statements(t) for t in (income, balance, cashflow)]
-    return statements.merge_statements(*tables)
+    return [statements.clean_statements(t) for t in (income, balance, cashflow)]
 
 
 # Ingest and maintenance: datasets are written below the shared scratch folder
@@ -566,6 +614,19 @@ def day_merge(spark, sf):
     return rounded(maintenance.read_dataset(spark, path), "spread")
 
 
+@query
+def day_merge_flat(spark, sf):
+    """The same on a store of one file per day; the other days are copied as they are."""
+    path = scratch_dir(spark, "flat")
+    bars = data.daily_bars(spark, sf).select(*BAR_COLUMNS, "trade_date")
+    for day in ("2024-01-15", "2024-01-16"):
+        bars.where(F.col("trade_date") == F.lit(day).cast("date")).drop("trade_date").write.parquet(f"{path}/{day}.parquet")
+    one = day_files.read_at(spark, path, "2024-01-15")
+    extra = one.select("symbol", (F.col("close") * 2).alias("close"), (F.col("high") - F.col("low")).alias("spread"))
+    maintenance.merge_columns(spark, path, "2024-01-15", extra, replace_origin=True)
+    return rounded(maintenance.read_dataset(spark, path), "close", "spread")
+
+
 @query
 def upsert(spark, sf):
     bars = data.daily_bars(spark, sf).select(*BAR_COLUMNS, "trade_date")

@@ -63,6 +63,10 @@ def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select("symbol", "dt", "last_price", (F.col("last_price") * 2).alias("bid_price1"), "volume")
 
 
+def all_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ticks(spark, sf_dir).select("symbol", "dt", "last_price", (F.col("last_price") * 2).alias("bid_price1"), "volume")
+
+
 def factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = ticks(spark, sf_dir).where(F.col("event_type") == "signup")
     return t.select(

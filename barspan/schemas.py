@@ -15,6 +15,7 @@ free_shares bigint, total_shares bigint, maxupordown tinyint, maxupordown_at_ope
 lb_down_count smallint, close double, open double, high double, low double
 """
 
+# The same of the tick CSV layout.
 _TICK_COLUMNS = """
 dt timestamp_ntz, last_price double, volume bigint, amount bigint, open_interest bigint, bid_price1 double,
 ask_price1 double, bid_volume1 bigint, ask_volume1 bigint
@@ -29,11 +30,3 @@ DAILY = _schema(_DAILY_COLUMNS)
 DAILY_WITH_SYMBOL = _schema("symbol string, " + _DAILY_COLUMNS)
 TICKS = _schema(_TICK_COLUMNS)
 TICKS_WITH_SYMBOL = _schema("symbol string, " + _TICK_COLUMNS)
-CALENDAR = _schema("day timestamp_ntz, status tinyint")
-BASIC_INFO = _schema(
-    """symbol string, name string, area string, industry string, fullname string, enname string, cnspell string,
-    market string, exchange string, curr_type string, list_date date, delist_date date, status string, is_hs string"""
-)
-MEMBERSHIP = _schema("index_code string, stock_code string, tradedate timestamp_ntz, op int, seq bigint")
-HOT_LIST = _schema("date timestamp_ntz, symbol string, order int")
-FACTORS = _schema("symbol string, tradedate timestamp_ntz, adjust_factor double")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -39,10 +42,17 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
 
     Executors on any node must see what another one wrote, so the folder named by
     ``spark.checkpoint.dir`` is used. Only where it is unset (tests, one machine)
-    is a local folder made, once per process.
+    is a local folder made, once per process, and removed when the process ends; a cluster without the
+    setting is an error, because its machines would not see each other's files.
     """
     global _local_root
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if not root:
-        _local_root = root = _local_root or tempfile.mkdtemp(prefix="barspan-")
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors share (the master is {master})")
+        if _local_root is None:
+            _local_root = tempfile.mkdtemp(prefix="barspan-")
+            atexit.register(shutil.rmtree, _local_root, ignore_errors=True)
+        root = _local_root
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

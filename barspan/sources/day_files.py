@@ -7,6 +7,7 @@ bounded by the number of trading days; only the chosen days are opened.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from datetime import date, datetime
 
@@ -29,16 +30,25 @@ def _day_text(day: date | datetime | str) -> str:
 
 
 def _units(spark: SparkSession, path: str) -> dict[str, str]:
-    """Day -> entry name, in day order."""
+    """Day -> entry name, in day order. Entries that name no day (rows without one, other folders) are passed over."""
     found = {}
     for name in list_names(spark, path):
-        if name.startswith(_PREFIX):
-            found[name[len(_PREFIX) :]] = name
-        elif name.endswith(_SUFFIX):
-            found[name[: -len(_SUFFIX)]] = name
+        day = name[len(_PREFIX) :] if name.startswith(_PREFIX) else name.removesuffix(_SUFFIX) if name.endswith(_SUFFIX) else ""
+        if re.fullmatch(r"\d{4}-\d{2}-\d{2}", day):
+            found[day] = name
     return dict(sorted(found.items()))
 
 
+def day_units(spark: SparkSession, path: str) -> dict[str, str]:
+    """Day -> name of the folder or file that holds it."""
+    return _units(spark, path)
+
+
+def is_flat(name: str) -> bool:
+    """Whether a unit is of the ``YYYY-MM-DD.parquet`` layout."""
+    return name.endswith(_SUFFIX)
+
+
 def list_days(spark: SparkSession, path: str) -> list[str]:
     return list(_units(spark, path))
 

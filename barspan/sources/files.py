@@ -26,3 +26,14 @@ def exists(spark: SparkSession, path: str) -> bool:
 def remove(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _fs(spark, path)
     fs.delete(hadoop_path, True)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    fs, hadoop_path = _fs(spark, source)
+    if not fs.rename(hadoop_path, spark._jvm.org.apache.hadoop.fs.Path(target)):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _fs(spark, path)
+    fs.mkdirs(hadoop_path)

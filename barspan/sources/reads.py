@@ -6,15 +6,31 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barspan.functions.predicates import as_literal, in_range, time_literal
 from barspan.operators.adjust import asof_adjust
 from barspan.operators.chunks import with_position
 
-# Spark limits row_number() <= n before the shuffle only up to this n (spark.sql.optimizer.windowGroupLimitThreshold).
-_MAP_SIDE_LIMIT = 1000
+_SHARES = 64
+
+
+def map_side_limit(spark: SparkSession) -> int:
+    """The largest n up to which Spark limits ``row_number() <= n`` before the shuffle."""
+    return int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+
+
+def best_rows(df: DataFrame, n: int, by: str, *order: Column) -> DataFrame:
+    """The first ``n`` rows of every ``by`` group in a total ``order``.
+
+    Beyond the map-side limit each group is ranked in shares first, so no task has to take a whole one.
+    """
+    rank = lambda *keys: F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    if n > map_side_limit(df.sparkSession):
+        shares = df.withColumn("_share", F.pmod(F.xxhash64(*df.columns), F.lit(_SHARES)))
+        df = shares.withColumn("_rank", rank(by, "_share")).where(F.col("_rank") <= n).drop("_share", "_rank")
+    return df.withColumn("_rank", rank(by)).where(F.col("_rank") <= n).drop("_rank")
 
 
 def project(df: DataFrame, fields: Sequence[str] | None = None, exclude: Sequence[str] = ()) -> DataFrame:
@@ -70,7 +86,7 @@ def first_rows(
 
 
 def _edge_rows(df, n, keys, order, chunk_seconds, newest) -> DataFrame:
-    if n > _MAP_SIDE_LIMIT:
+    if n > map_side_limit(df.sparkSession):
         ranked = with_position(df, keys, order, "_rank", chunk_seconds, newest_first=newest)
     else:
         direction = [F.col(c).desc() if newest else F.col(c).asc() for c in order]
@@ -93,10 +109,12 @@ def capped_range(
 def klines(
     bars: DataFrame, symbols: Sequence[str] | None = None, intervals: Sequence[str] | None = None,
     max_count: int | None = None, start: Any = None, end: Any = None, factors: DataFrame | None = None,
-    method: str = "multiply",
+    method: str = "multiply", sequence: str | None = None,
 ) -> DataFrame:
     """Bars of symbols and intervals in one plan: range, cap per (symbol, interval), then adjustment.
 
+    Of several factors of one time the one with the highest ``sequence`` counts; without a sequence they are an error.
+
     The cap comes first: adjustment works row by row, so it only has to see the rows that stay.
     """
     if symbols is not None:
@@ -104,7 +122,7 @@ def klines(
     if intervals is not None:
         bars = bars.where(F.col("interval").isin(list(intervals)))
     bars = capped_range(bars, start, end, max_count, keys=("symbol", "interval"))
-    return bars if factors is None else asof_adjust(bars, factors, method)
+    return bars if factors is None else asof_adjust(bars, factors, method, sequence)
 
 
 def cross_section(

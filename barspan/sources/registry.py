@@ -40,6 +40,8 @@ def register_sources(spark: SparkSession, config: Mapping[str, Any], service: st
             if "schema" in source:
                 reader = reader.schema(source["schema"])
             view = uri.rstrip("/").rsplit("/", 1)[-1].split(".", 1)[0].replace("-", "_")
+            if view in views:
+                raise ValueError(f"two sources would be the view {view}")
             reader.load(uri).createOrReplaceTempView(view)
             views.append(view)
     return views

@@ -172,7 +172,7 @@ def test_broadcast_limit_per_key(spark, monkeypatch):
 @pytest.mark.parametrize("n", [1, 5, 1500])
 @pytest.mark.parametrize("newest", [True, False])
 def test_edge_rows(bars, n, newest, monkeypatch):
-    monkeypatch.setattr(reads, "_MAP_SIDE_LIMIT", 4)
+    monkeypatch.setattr(reads, "map_side_limit", lambda spark: 4)
     want = set()
     for symbol, rows in _series().items():
         want |= {(symbol, r[1]) for r in (rows[-n:] if newest else rows[:n])}

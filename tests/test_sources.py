@@ -112,6 +112,7 @@ def test_resample(daily, freq, periods):
     assert bars[0].dt.weekday() == 0 if freq == "1w" else bars[0].dt.day == 1
 
 
+# The header of the published sample.
 CSV_HEADER = (
     "symbol,dt,name,_open,_high,_low,_close,volume,amount,preclose,net_profit_ttm,cashflow_ttm,equity,asset,debt,debttoasset,"
     "net_profit_q,pe_ttm,pb,mkt_cap,mkt_cap_ashare,vip_buy_amt,vip_sell_amt,inst_buy_amt,inst_sell_amt,mid_buy_amt,mid_sell_amt,"
