@@ -131,3 +131,42 @@ def op6_repeated_bytes(spark, sf):
 @query
 def op1_fingerprints(spark, sf):
     return fingerprints.compare_with_next(table(spark, sf, "documents"))
+
+
+# The same results in DuckDB's SQL. A-Z are folded and words and lines are cut at \x20 and \x09 to \x0D.
+_FOLDED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+SQL["op4_warc"] = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+h AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS name FROM p),
+b AS (SELECT *, CAST(unhex(name) AS BIT)::VARCHAR AS bits, min(page_id) OVER (PARTITION BY name) AS first FROM h)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+    list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        CAST(list_sum(list_transform(range(0, 5), lambda j: CAST(substr(bits, 5 * i + j + 1, 1) AS INTEGER) * (1 << (4 - j)))) AS INTEGER) + 1, 1)),
+        'string_agg', '') AS payload_digest,
+    CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN page_id > first THEN first END AS refers_to
+FROM b"""
+
+SQL["op7_line_dedup"] = f"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM d),
+k AS (SELECT *, {_FOLDED.format(f"trim(line, {_SPACES})")} AS key FROM l),
+c AS (SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+m AS (SELECT k.*, coalesce(doc_id <> keeper, false) AS gone FROM k LEFT JOIN c USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id"""
+
+SQL["op8_near_dedup"] = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_FOLDED.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS words FROM documents),
+x AS (SELECT doc_id, CASE WHEN len(words) >= 3 THEN list_transform(range(1, len(words) - 1), lambda i: array_to_string(words[i:i + 2], ' '))
+    WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END AS shingles FROM w),
+s AS (SELECT DISTINCT doc_id, unnest(shingles) AS shingle FROM x),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT p.a, p.b FROM p JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p.b WHERE 100 * p.n >= 85 * (x.n + y.n - p.n)),
+r AS (SELECT doc_id, doc_id AS root FROM documents UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.doc_id),
+c AS (SELECT doc_id, min(root) AS component_id FROM r GROUP BY doc_id)
+SELECT c.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, c.doc_id = component_id AS kept FROM c LEFT JOIN n USING (doc_id)"""
