@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from barspan.functions.predicates import as_literal, in_range
 
+_SHARES = 32
+
 
 def _one(column: Column, selector: Any) -> Column:
     if isinstance(selector, slice):
@@ -47,13 +49,17 @@ def dense_grid(df: DataFrame) -> DataFrame:
     """Every (symbol, dt) of the two axes; cells without a row are NULL.
 
     Each symbol is expanded over the months of the time axis and then joined to the times of each
-    month, so neither a cross join nor the whole time axis in one value is needed.
+    month, so neither a cross join nor the whole time axis in one value is needed. Symbols are dealt into
+    shares and the times, few next to the grid, repeated for each, so a busy month is spread over tasks.
     """
     times = df.select("dt").distinct().withColumn("_month", F.trunc("dt", "month"))
     span = times.agg(F.min("_month").alias("lo"), F.max("_month").alias("hi")).select(F.struct("*")).scalar()
     months = F.sequence(span["lo"], span["hi"], F.expr("interval 1 month"))
     cells = (
-        df.select("symbol").distinct().withColumn("_month", F.explode(months)).join(times, "_month").drop("_month")
+        df.select("symbol").distinct()
+        .withColumns({"_month": F.explode(months), "_share": F.pmod(F.xxhash64("symbol"), F.lit(_SHARES)).cast("int")})
+        .join(times.withColumn("_share", F.explode(F.sequence(F.lit(0), F.lit(_SHARES - 1)))), ["_month", "_share"])
+        .drop("_month", "_share")
     )
     return cells.join(df, ["symbol", "dt"], "left")
 

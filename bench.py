@@ -1,7 +1,8 @@
 """Time the headline queries and print one JSON line.
 
 Environment: BENCH_SF_DIR (tables), BENCH_CPUS (local threads), BENCH_QUERIES (comma-separated names).
-Each query writes all its rows to Spark's no-op sink; the better of two runs counts.
+Each query writes all its rows to Spark's no-op sink; the better of two runs counts. ``rows_per_second`` times reads of stored
+bars of 48 columns (the shape of the published single-symbol reads): all columns, three columns, and all columns of one symbol.
 """
 
 from __future__ import annotations
@@ -10,8 +11,11 @@ import json
 import os
 import time
 
+from pyspark.sql import functions as F
+
 from barspan import build_session
 from barspan.plans.queries import QUERIES
+from barspan.session import scratch_dir
 
 HEADLINE = [
     # Reads
@@ -25,7 +29,7 @@ HEADLINE = [
     # Calendar, times, statements
     "align_to_calendar", "calendar_dimension", "normalise_timestamps", "statements_clean", "statements_merge",
     # Ingest and maintenance
-    "csv_ingest", "upsert", "delete", "schema_evolution",
+    "csv_ingest", "upsert", "delete", "schema_evolution", "day_merge", "limitup_concepts_days", "statements_merge_salted",
 ]
 
 
@@ -35,6 +39,28 @@ def timed(spark, name: str, sf_dir: str) -> float:
     return time.perf_counter() - start
 
 
+def _seconds(df) -> float:
+    best = float("inf")
+    for _ in range(3):
+        start = time.perf_counter()
+        df.write.format("noop").mode("overwrite").save()
+        best = min(best, time.perf_counter() - start)
+    return best
+
+
+def stored_reads(spark, sf_dir: str) -> dict[str, int]:
+    """Rows per second of reads from a table of 48 columns made from the order lines, laid out by symbol and time."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    values = [F.round(F.col("l_extendedprice") * (1 + F.lit(i) / 97), 2).alias(f"c{i}") for i in range(46)]
+    bars = lines.select(F.col("l_suppkey").cast("string").alias("symbol"), F.col("l_shipdate").cast("timestamp_ntz").alias("dt"), *values)
+    path = scratch_dir(spark, "bench")
+    bars.repartitionByRange("symbol", "dt").sortWithinPartitions("symbol", "dt").write.parquet(path)
+    stored = spark.read.schema(bars.schema).parquet(path)
+    one = stored.where(F.col("symbol") == stored.agg(F.min("symbol")).first()[0])
+    reads = {"wide": stored, "narrow": stored.select("dt", "c0", "c1"), "one_symbol_wide": one}
+    return {name: round(df.count() / _seconds(df)) for name, df in reads.items()}
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -48,7 +74,7 @@ def main() -> None:
     print(
         json.dumps(
             {"metric": "total_query_time", "value": round(sum(seconds.values()), 4), "unit": "sec", "queries": seconds,
-             "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")}
+             "rows_per_second": stored_reads(spark, sf_dir), "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")}
         )
     )
     spark.stop()
