@@ -30,47 +30,22 @@ def last_and_next_open(calendar: DataFrame, at: Any) -> DataFrame:
 def align_to_calendar(df: DataFrame, calendar: DataFrame, time: str = "dt") -> DataFrame:
     """Attach ``prev_day`` (<= time) and ``next_day`` (> time) to every row.
 
-    Every calendar date gets its two neighbours once (a window over the calendar alone, one row per
-    date), so the rows need only an equi-join on their date. Rows outside the calendar get the edges.
+    Each open day holds until the next one. These spans are laid out by date once (a window over the open days alone, one row
+    each), so the rows need only an equi-join on their date. Rows before the first or after the last open day get the edges.
     """
-    dates = calendar.groupBy(F.to_date("day").alias("_date")).agg(
-        F.max(F.when(F.col("status") == OPEN, F.to_date("day"))).alias("_open")
-    )
-    edge = dates.agg(
-        F.min("_date").alias("lo"), F.max("_date").alias("hi"), F.min("_open").alias("first"), F.max("_open").alias("last")
-    )
-    # Calendars may skip closed dates: fill the gaps, then look both ways within each year and across years.
-    every = edge.select(F.explode(F.sequence("lo", "hi")).alias("_date"))
-    by_date = _neighbours(every.join(dates, "_date", "left"))
+    opens = calendar.where(F.col("status") == OPEN).select(F.to_date("day").alias("_prev")).distinct()
+    spans = opens.withColumn("_next", F.lead("_prev").over(Window.orderBy("_prev")))
+    until = F.coalesce(F.date_sub("_next", 1), "_prev")
+    by_date = spans.withColumn("_date", F.explode(F.sequence("_prev", until)))
+    edge = opens.agg(F.min("_prev").alias("first"), F.max("_prev").alias("last")).select(F.struct("*")).scalar()
     joined = df.withColumn("_date", F.to_date(time)).join(by_date, "_date", "left")
-    bounds = edge.select(F.struct("*")).scalar()
-    prev_day = F.when(F.col("_date") > bounds["hi"], bounds["last"]).otherwise(F.col("_prev"))
-    next_day = F.when(F.col("_date") < bounds["lo"], bounds["first"]).otherwise(F.col("_next"))
+    prev_day = F.when(F.col("_date") > edge["last"], edge["last"]).otherwise(F.col("_prev"))
+    next_day = F.when(F.col("_date") < edge["first"], edge["first"]).otherwise(F.col("_next"))
     return joined.withColumns(
         {"prev_day": prev_day.cast("timestamp_ntz"), "next_day": next_day.cast("timestamp_ntz")}
     ).drop("_date", "_prev", "_next")
 
 
-def _neighbours(dates: DataFrame) -> DataFrame:
-    year = F.year("_date")
-    per_year = dates.groupBy(year.alias("_year")).agg(F.min("_open").alias("_min"), F.max("_open").alias("_max"))
-    # One row per year of the calendar.
-    back = Window.partitionBy(F.lit(0)).orderBy("_year").rowsBetween(Window.unboundedPreceding, -1)
-    ahead = Window.partitionBy(F.lit(0)).orderBy("_year").rowsBetween(1, Window.unboundedFollowing)
-    years = per_year.select(
-        "_year", F.max("_max").over(back).alias("_earlier"), F.min("_min").over(ahead).alias("_later")
-    )
-    to_here = Window.partitionBy("_year").orderBy("_date").rowsBetween(Window.unboundedPreceding, 0)
-    # Read from the newest date, so the frame grows instead of shrinking.
-    from_here = Window.partitionBy("_year").orderBy(F.col("_date").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        dates.withColumn("_year", year)
-        .withColumns({"_p": F.max("_open").over(to_here), "_n": F.min("_open").over(from_here)})
-        .join(years, "_year")
-        .select("_date", F.coalesce("_p", "_earlier").alias("_prev"), F.coalesce("_n", "_later").alias("_next"))
-    )
-
-
 def iso_year(day: Column) -> Column:
     return F.extract(F.lit("YEAROFWEEK"), day)
 
