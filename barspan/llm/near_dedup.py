@@ -1,20 +1,23 @@
 """MinHash near-dedup: an inverted join over signature coordinates, exact confirmation, components.
 
 1. Rows with the same shingle set form a class; its smallest id stands for it. Copies never meet pairwise.
-2. Each class gets a signature of COORDINATES minimum hashes and is posted under its (coordinate, value) pairs.
-   Classes that agree in at least MATCHES coordinates must share one of the COORDINATES - MATCHES + 1 rarest pairs of either, so
+2. Each class gets a signature of COORDINATES minimum hashes and is posted under its (coordinate, value) pairs. Linked classes agree in at
+   least ``least_matches`` coordinates (all but one in 10^9), so they share one of the rarest COORDINATES - least_matches + 1 pairs of either:
    only that prefix is posted, and pairs that one class has alone are skipped.
-3. Star rounds: each posting list links its members to its most central one (whose pairs are the most shared of all). These
-   links, linear in the lists, are confirmed on the full sets and contracted. A group of near copies falls into one component here.
-4. Closing round: classes of one list that are still in different components are counted pair by pair; those with MATCHES
-   agreeing coordinates are confirmed. Pairs inside a component can't change it, so no component is lost by leaving them out.
-
-A pair at the least similarity 0.8 (0.85) has fewer than 24 of 64 agreeing coordinates with a probability below 1e-13 (1e-17).
+3. Star rounds: each posting list links its members to its most central one (whose pairs are the most shared of all), in later rounds to the
+   most central one left over. Pairs are kept if enough coordinates agree, confirmed on the full sets, and contracted to
+   components. A group of near copies mostly falls into one component here, with links linear in its size.
+4. Closing round: lists whose members are still in several components leave their classes open. Two open classes can be linked only if they
+   share a shingle near the front of both sets, rarest first, with enough shingles behind it; so pairs whose common part is just what
+   a whole group has in common are skipped without being formed. Enough coordinates must agree, and the full sets decide.
+
+Pairs inside a component can't change it, so no component is lost by leaving them out.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -26,15 +29,25 @@ from barspan.llm.components import min_labels
 from barspan.session import scratch_dir
 
 COORDINATES = 64
-MATCHES = 30
 STAR_ROUNDS = 2
-
-#: 64-bit words of the bitmap that keeps texts without a partner out of the shuffle.
-FILTER_WORDS = 1 << 16
+#: Chance that a link has fewer agreeing coordinates than are asked for.
+MISS = 1e-9
+#: Slots of the table of shingle counts that orders shingles by rarity (4 MB).
+COUNT_SLOTS = 1 << 20
 
 _SIGNED = "doc_id long, hash long, n_shingles long, set_a long, set_b long, signature array<int>"
 
 
+def least_matches(percent: int) -> int:
+    """The most agreeing coordinates that a pair at the least similarity reaches with a chance of 1 - MISS."""
+    p, below = percent / 100, 0.0
+    for n in range(COORDINATES):
+        below += comb(COORDINATES, n) * p**n * (1 - p) ** (COORDINATES - n)
+        if below > MISS:
+            return n
+    return COORDINATES
+
+
 def _i64(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
@@ -54,7 +67,7 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
             sums = [tx.per_text(tx.mix(found.hashes + s), found.offsets, np.add, 0) for s in tx.seeds(2, 3)]
             flat = pa.array(signature.reshape(-1).view(np.int32))
             ends = np.arange(len(signature) + 1, dtype=np.int32) * COORDINATES
-            lists = pa.ListArray.from_arrays(pa.array(ends, mask=np.append(found.counts == 0, False)), flat)
+            lists = pa.ListArray.from_arrays(pa.array(ends), flat, mask=pa.array(found.counts == 0))
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), part.column("hash"), pa.array(found.counts), _i64(sums[0]), _i64(sums[1]), lists],
                 ["doc_id", "hash", "n_shingles", "set_a", "set_b", "signature"],
@@ -73,28 +86,16 @@ def _shared(classes: DataFrame) -> DataFrame:
     )
 
 
-def _postings(held: DataFrame) -> DataFrame:
-    """(doc_id, centre, at, value) for the prefix of each class: its COORDINATES - MATCHES + 1 rarest pairs.
+def _postings(held: DataFrame, matches: int) -> DataFrame:
+    """(doc_id, centre, at, value) for the prefix of each class: its COORDINATES - matches + 1 rarest pairs.
 
     Pairs that occur once are the rarest, so they use up the prefix first; they can't meet another class and are left out.
     """
-    free = F.lit(COORDINATES - MATCHES + 1) - (COORDINATES - F.size("pairs"))
+    free = F.lit(COORDINATES - matches + 1) - (COORDINATES - F.size("pairs"))
     prefix = F.slice("pairs", F.lit(1), F.greatest(free, F.lit(0)))
     return held.select("doc_id", "centre", F.explode(prefix).alias("p")).select("doc_id", "centre", "p.at", "p.value")
 
 
-def _among(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows that may have one of the ids: a filter by a bitmap of hashed ids, at most FILTER_WORDS rows of 64 bits.
-
-    The bitmap is broadcast, being of bounded size whatever the number of ids; rows it lets through wrongly fall out in later joins.
-    """
-    spot = F.pmod(F.xxhash64("doc_id"), F.lit(64 * FILTER_WORDS))
-    word, bit = (spot / 64).cast("int"), F.call_function("shiftleft", F.lit(1).cast("long"), (spot % 64).cast("int"))
-    bitmap = ids.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits"))
-    met = docs.withColumns({"word": word, "bit": bit}).join(F.broadcast(bitmap), "word")
-    return met.where(F.col("bits").bitwiseAND(F.col("bit")) != 0).select(*docs.columns)
-
-
 def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """Of the pairs (a, b) those whose full shingle sets have 100 * intersection >= percent * union."""
 
@@ -143,19 +144,20 @@ def near_duplicates(
     first = F.min(F.struct("doc_id", "hash", "signature")).alias("c")
     classes = stored(signed.where("n_shingles > 0").groupBy(*by_set).agg(first).select("c.*", *by_set), "classes")
     held = stored(_shared(classes), "held")
-    postings = stored(_postings(held), "postings")
-    # Only classes with MATCHES shared coordinates can be in a pair; their texts are taken aside once.
-    possible = held.where(F.size("pairs") >= MATCHES).select("doc_id").join(classes.select("doc_id", "hash"), "doc_id")
-    texts = _among(rows, possible).join(possible, ["doc_id", "hash"]).dropDuplicates(["doc_id", "hash"])
+    matches = least_matches(percent)
+    postings = stored(_postings(held, matches), "postings")
+    # Only classes with enough shared coordinates can be in a pair; their texts are taken aside once.
+    possible = held.where(F.size("pairs") >= matches).select("doc_id").join(classes.select("doc_id", "hash"), "doc_id")
+    texts = tx.among(rows, possible, "doc_id").join(possible, ["doc_id", "hash"]).dropDuplicates(["doc_id", "hash"])
     texts = stored(texts.select("doc_id", "text"), "texts")
 
     labels = classes.select("doc_id", F.col("doc_id").alias("label"))
     tried = links = None
     for i in range(STAR_ROUNDS + 1):
         placed = postings.join(labels, "doc_id")
-        pairs = _stars(placed) if i < STAR_ROUNDS else _closing(placed)
+        pairs = _stars(placed, i > 0) if i < STAR_ROUNDS else _closing(placed, texts, k, percent)
         pairs = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = stored(_agreeing(pairs, classes), f"pairs{i}")
+        pairs = stored(_agreeing(pairs, classes, matches), f"pairs{i}")
         tried = pairs if tried is None else tried.unionByName(pairs)
         found = stored(_confirmed(pairs, texts, k, percent), f"links{i}")
         links = found if links is None else links.unionByName(found)
@@ -171,15 +173,24 @@ def near_duplicates(
     )
 
 
-def _agreeing(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (a, b) that agree in at least MATCHES coordinates."""
+def _agreeing(pairs: DataFrame, classes: DataFrame, matches: int) -> DataFrame:
+    """The pairs (a, b) that agree in enough coordinates."""
     side = lambda name: classes.select(F.col("doc_id").alias(name), F.col("signature").alias(f"s{name}"))
     agree = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
-    return pairs.join(side("a"), "a").join(side("b"), "b").where(agree >= MATCHES).select("a", "b")
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(agree >= matches).select("a", "b")
+
+
+def _main(members: DataFrame, *by: str) -> DataFrame:
+    """(by, main): the largest component of each list that has members of several."""
+    sizes = members.groupBy(*by, "label").agg(F.count("*").alias("n"))
+    most = sizes.groupBy(*by).agg(F.max(F.struct("n", "label")).alias("m"), F.count("*").alias("labels"))
+    return most.where("labels > 1").select(*by, F.col("m.label").alias("main"))
 
 
-def _stars(placed: DataFrame) -> DataFrame:
-    """Pairs of each list's members with its most central member, where that is of another component."""
+def _stars(placed: DataFrame, again: bool) -> DataFrame:
+    """Pairs of each list's members with its most central member; ``again``, only among those outside the list's main component."""
+    if again:
+        placed = placed.join(_main(placed, "at", "value"), ["at", "value"]).where("label <> main")
     rank = F.struct("centre", (-F.col("doc_id")).alias("id"), "label")
     best = placed.groupBy("at", "value").agg(F.max(rank).alias("r"), F.min("label").alias("low"), F.max("label").alias("high"))
     best = best.where("low < high").select("at", "value", (-F.col("r.id")).alias("hub"), F.col("r.label").alias("hub_label"))
@@ -187,16 +198,58 @@ def _stars(placed: DataFrame) -> DataFrame:
     return met.select(F.least("hub", "doc_id").alias("a"), F.greatest("hub", "doc_id").alias("b")).distinct()
 
 
-def _closing(placed: DataFrame) -> DataFrame:
-    """All pairs of a list's members in different components.
+def _closing(placed: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Pairs of open classes in different components that the order of their shingles leaves possible.
 
-    One side leaves out the list's largest component, so a list of many members that all but a few are joined gives few pairs.
+    Shingles are ordered by a table of counts (of hash slots, so of bounded size) and then by hash; any fixed order would be right.
+    Sets of n and m shingles are linked only if they share o = ceil(percent * (n + m) / (100 + percent)) of them; so
+    of their first common shingle, at places i and j, n - i >= o and m - j >= o.
     """
-    sizes = placed.groupBy("at", "value", "label").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("at", "value").agg(F.max(F.struct("n", "label")).alias("m"), F.count("*").alias("labels"))
-    main = main.where("labels > 1").select("at", "value", F.col("m.label").alias("main"))
-    open_ = placed.join(main, ["at", "value"]).select("at", "value", "doc_id", "label", "main")
-    left = open_.where("label <> main").select("at", "value", F.col("doc_id").alias("x"), F.col("label").alias("lx"), "main")
-    right = open_.select("at", "value", F.col("doc_id").alias("y"), F.col("label").alias("ly"))
-    met = left.join(right, ["at", "value"]).where("lx <> ly AND (ly = main OR x < y)")
-    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    spark = texts.sparkSession
+    open_ = placed.join(_main(placed, "at", "value"), ["at", "value"]).groupBy("doc_id").agg(F.min("label").alias("label"))
+    rows = open_.join(texts, "doc_id").select("doc_id", "label", "text")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(COUNT_SLOTS, np.int64)
+        for part in tx.slices(batches, "text"):
+            shingles = tx.Shingles(tx.Texts(part.column("text")), k)
+            np.add.at(sums, (shingles.hashes % np.uint64(COUNT_SLOTS)).astype(np.int64), 1)
+        slot = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(slot, pa.int32()), pa.array(sums[slot])], ["slot", "n"])
+
+    got = rows.select("text").mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()  # at most COUNT_SLOTS rows
+    counts = np.zeros(COUNT_SLOTS, np.int64)
+    counts[got["slot"].to_numpy()] = got["n"].to_numpy()
+    counts = spark.sparkContext.broadcast(np.minimum(counts, np.iinfo(np.int32).max).astype(np.int32))
+    kinds = "shingle long, doc_id long, label long, n int, i int"
+
+    def fronts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in tx.slices(batches, "text"):
+            shingles = tx.Shingles(tx.Texts(part.column("text")), k)
+            rarity = counts.value[(shingles.hashes % np.uint64(COUNT_SLOTS)).astype(np.int64)]
+            taken, places, owner = [], [], []
+            for d, (low, high) in enumerate(zip(shingles.offsets[:-1], shingles.offsets[1:])):
+                n = high - low
+                front = n - (percent * n + 99) // 100 + 1
+                order = np.lexsort((shingles.hashes[low:high], rarity[low:high]))[:front]
+                taken.append(shingles.hashes[low:high][order])
+                places.append(np.arange(len(order)))
+                owner.append(np.full(len(order), d))
+            owner = np.concatenate(owner)
+            columns = [
+                _i64(np.concatenate(taken)), part.column("doc_id").take(pa.array(owner)), part.column("label").take(pa.array(owner)),
+                pa.array(shingles.counts[owner].astype(np.int32)), pa.array(np.concatenate(places).astype(np.int32)),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in kinds.split(", ")])
+
+    posted = rows.mapInArrow(fronts, kinds)
+    met = posted.join(_main(posted, "shingle"), "shingle")
+    side = lambda name: [F.col(c).alias(f"{c}_{name}") for c in ("doc_id", "label", "n", "i")]
+    # One side leaves out the list's main component, so a list that is one but for a few members is short there.
+    left = met.where("label <> main").select("shingle", "main", *side("x"))
+    right = met.select("shingle", *side("y"))
+    common = F.ceil(percent * (F.col("n_x") + F.col("n_y")) / F.lit(100 + percent))
+    possible = (F.col("n_x") - F.col("i_x") >= common) & (F.col("n_y") - F.col("i_y") >= common)
+    other = (F.col("label_x") != F.col("label_y")) & ((F.col("label_y") == F.col("main")) | (F.col("doc_id_x") < F.col("doc_id_y")))
+    pairs = left.join(right, "shingle").where(possible & other)
+    return pairs.select(F.least("doc_id_x", "doc_id_y").alias("a"), F.greatest("doc_id_x", "doc_id_y").alias("b")).distinct()
