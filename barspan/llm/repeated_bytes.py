@@ -8,7 +8,7 @@
    Like common anchors the range bounds may cut: the first and last anchor of a task are settled over tasks.
 3. Only undecided blocks fetch their bytes. Blocks of one anchor meet in one task and their windows are sorted as suffixes (see
    ``suffix_sort``), in classes by anchor and its offset in the window. Blocks of an anchor with very many different surroundings are first cut into
-   windows, which meet by their own hash, so such an anchor is spread too.
+   parts by that offset, or beyond that into windows which meet by their own hash, so such an anchor is spread too.
 
 Restricting 3 to first blocks loses nothing: a window in a later block of the same bytes occurs at the same place of the first.
 """
@@ -28,8 +28,9 @@ from barspan.session import scratch_dir
 
 LENGTH = 100
 GRAM = 40
-#: An anchor with more undecided blocks is spread by windows.
-CROWDED = 20_000
+#: An anchor with more undecided blocks is spread by offsets, PART_OFFSETS together; with more than the second number, by windows.
+CROWDED = 20_000, 160_000
+PART_OFFSETS = 8
 #: Bytes of blocks sorted together.
 SORT_BYTES = 1 << 20
 
@@ -155,12 +156,34 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield out(first_row, _OPEN)
 
 
-def _undecided_bytes(rows: DataFrame, undecided: DataFrame, length: int) -> DataFrame:
-    """(key, anchor, doc, place, n, bytes) of undecided blocks; those of crowded anchors come window by window."""
-    crowded = undecided.groupBy("anchor").agg(F.count("*").alias("blocks")).where(F.col("blocks") > CROWDED).select("anchor", F.lit(True).alias("crowded"))
+def _offsets(prefix: np.ndarray, at: np.ndarray, anchors: np.ndarray, gram: int) -> np.ndarray:
+    """How far behind each window start its anchor lies; ``anchors`` tells the anchor at each byte."""
+    begins = np.arange(len(prefix) - gram)
+    places = np.flatnonzero(tx.span_hashes(prefix, begins, begins + gram).view(np.int64) == anchors[: len(begins)])
+    return places[np.searchsorted(places, at)] - at
+
+
+def _parts(piece: bytes, n: int, anchor: int, length: int, gram: int, level: int) -> list[tuple[int, int, int]]:
+    """(first start, number of starts, key) of a crowded anchor's block, cut so that equal windows still share a key."""
+    prefix = tx.prefix_hashes(np.frombuffer(piece, np.uint8))
+    starts = np.arange(n)
+    if level > 1:
+        keys = tx.span_hashes(prefix, starts, starts + length)
+        cuts = starts
+    else:
+        part = _offsets(prefix, starts, np.full(len(piece), anchor, np.int64), gram) // PART_OFFSETS
+        keys = tx.mix(np.full(n, anchor, np.int64).view(np.uint64) + (part + 1).astype(np.uint64) * np.uint64(tx.BASE))
+        cuts = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+    return list(zip(cuts.tolist(), np.diff(np.append(cuts, n)).tolist(), keys[cuts].view(np.int64).tolist()))
+
+
+def _undecided_bytes(rows: DataFrame, undecided: DataFrame, length: int, gram: int) -> DataFrame:
+    """(key, anchor, doc, place, n, bytes) of undecided blocks; those of crowded anchors come in parts."""
+    level = F.when(F.col("blocks") > CROWDED[1], 2).otherwise(1)
+    crowded = undecided.groupBy("anchor").agg(F.count("*").alias("blocks")).where(F.col("blocks") > CROWDED[0]).select("anchor", level.alias("crowded"))
     marked = undecided.join(crowded, "anchor", "left")
     version = F.shiftright("place", _PLACE_BITS)
-    block = F.struct("anchor", "place", F.abs("n").alias("n"), F.coalesce("crowded", F.lit(False)).alias("crowded"))
+    block = F.struct("anchor", "place", F.abs("n").alias("n"), F.coalesce("crowded", F.lit(0)).alias("crowded"))
     # A document's undecided blocks are no more than its text has.
     wanted = marked.groupBy("doc", version.cast("long").alias("version")).agg(F.collect_list(block).alias("blocks"))
     texts = tx.among(rows, wanted, "doc").dropDuplicates(["doc", "version"])
@@ -177,10 +200,8 @@ def _undecided_bytes(rows: DataFrame, undecided: DataFrame, length: int) -> Data
                     if not b["crowded"]:
                         out.append((b["anchor"], b["anchor"], doc, b["place"], b["n"], piece))
                         continue
-                    prefix = tx.prefix_hashes(np.frombuffer(piece, np.uint8))
-                    begins = np.arange(b["n"])
-                    keys = tx.span_hashes(prefix, begins, begins + length).view(np.int64).tolist()
-                    out += [(k, b["anchor"], doc, b["place"] + i, 1, piece[i : i + length]) for i, k in enumerate(keys)]
+                    for i, n, key in _parts(piece, b["n"], b["anchor"], length, gram, b["crowded"]):
+                        out.append((key, b["anchor"], doc, b["place"] + i, n, piece[i : i + n - 1 + length]))
             types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
             columns = list(zip(*out)) if out else [[]] * len(types)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], [k.split()[0] for k in kinds.split(", ")])
@@ -200,12 +221,8 @@ def _sorted_repeats(blocks: DataFrame, length: int, gram: int) -> DataFrame:
         inner = np.arange(len(block)) - np.repeat(np.cumsum(counts) - counts, counts)
         at = base[block] + inner
         # Equal windows have their anchor at the same offset.
-        prefix = tx.prefix_hashes(data)
-        begins = np.arange(len(data) - gram + 1)
-        anchors = np.array([r[1] for r in rows], np.int64)
-        of = np.repeat(np.arange(len(rows)), sizes)[: len(begins)]
-        places = np.flatnonzero(tx.span_hashes(prefix, begins, begins + gram).view(np.int64) == anchors[of])
-        offset = places[np.searchsorted(places, at)] - at
+        anchors = np.repeat(np.array([r[1] for r in rows], np.int64), sizes)
+        offset = _offsets(tx.prefix_hashes(data), at, anchors, gram)
         keys = np.array([r[0] for r in rows], np.int64)
         group = np.cumsum(np.append(0, keys[1:] != keys[:-1]))[block]
         by_class = group * (length + 1) + offset
@@ -273,7 +290,7 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_
     again = settled.where(~is_first).select("doc", "place", F.abs("n").alias("n"))
     unsure = settled.where(is_first & (F.col("mixed") | (F.col("n") < 0))).select("anchor", "doc", "place", "n")
     undecided = judged.where(F.col("verdict") == _UNDECIDED).select("anchor", "doc", "place", "n").unionByName(unsure).distinct()
-    blocks = _undecided_bytes(rows, undecided, length)
+    blocks = _undecided_bytes(rows, undecided, length, gram)
     found = judged.where(F.col("verdict") == _REPEAT).select("doc", "place", F.abs("n").alias("n")).unionByName(again)
     found = found.unionByName(_sorted_repeats(blocks, length, gram))
     at = F.col("place").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))

@@ -144,8 +144,9 @@ def test_repeated_bytes(spark, docs, length):
     assert sorted(got, key=repr) == sorted(brute.repeated_bytes(docs, length), key=repr)
 
 
-def test_repeated_bytes_of_crowded_anchors_and_rows_given_twice(spark, docs, monkeypatch):
-    monkeypatch.setattr(repeated_bytes, "CROWDED", 1)
+@pytest.mark.parametrize("crowded", [(1, 10_000), (1, 2), (0, 0)])
+def test_repeated_bytes_of_crowded_anchors_and_rows_given_twice(spark, docs, monkeypatch, crowded):
+    monkeypatch.setattr(repeated_bytes, "CROWDED", crowded)
     want = {r[0]: r for r in brute.repeated_bytes(docs)}
     twice = [d for d in docs if d[0] in (201, 503)]
     found = query_on(frame(spark, docs + twice), "op6_repeated_bytes", spark, monkeypatch).collect()
