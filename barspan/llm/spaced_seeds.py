@@ -10,7 +10,7 @@ inside the tasks; whatever it lets through goes to the join, which decides.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +24,14 @@ from barspan.session import scratch_dir
 #: (tests go through all cases).
 MASKS = ("110100111", "110101011", "110010111", "111100011")
 SPAN = 9
+#: More masks for items of just so many words: in them the masks above have few places, and not every permitted set of replaced words
+#: leaves one of those free (tests go through all cases; 13 and 14 words need none).
+SHORT_MASKS = {
+    9: ("1111111",),
+    10: ("1111011", "1011111", "11101101"),
+    11: ("1111111", "11111011", "101111011"),
+    12: ("11101111",),
+}
 #: A window of this many words counts if this many of them agree. Items with fewer words are compared whole, in proportion;
 #: those shorter than the masks must agree in all words.
 WINDOW, AGREE = 15, 12
@@ -44,7 +52,7 @@ def _word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.searchsorted(starts, texts.offsets)
 
 
-def _seeds(hashes: np.ndarray, offsets: np.ndarray, masks: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def _seeds(hashes: np.ndarray, offsets: np.ndarray, masks: Iterable[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For each mask: its number, the positions where it lies inside one text, and the hashes there."""
     owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     for number, mask in enumerate(masks):
@@ -59,9 +67,14 @@ def _seeds(hashes: np.ndarray, offsets: np.ndarray, masks: list[str]) -> Iterato
         yield number, inside, tx.mix(code[inside] + np.uint64(number))
 
 
-def _masks(lengths: list[int]) -> list[str]:
-    """The masks, and for items shorter than they are one full mask per length that occurs."""
-    return [*MASKS, *["1" * n for n in sorted(lengths)]]
+def _masks(lengths: list[int]) -> dict[str, set[int]]:
+    """The masks, and those for short items of the lengths that occur: a full mask below SPAN, else SHORT_MASKS. With each mask the
+    lengths of the items that it is for; none are named with masks for all items."""
+    masks = {mask: set() for mask in MASKS}
+    for n in sorted(lengths):
+        for mask in ("1" * n,) if n < SPAN else SHORT_MASKS.get(n, ()):
+            masks.setdefault(mask, set()).add(n)
+    return masks
 
 
 def _spots(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -73,8 +86,9 @@ def _has(bits: np.ndarray, spot: np.ndarray) -> np.ndarray:
     return (bits[(spot >> np.uint64(3)).astype(np.int64)] >> (spot & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def _item_seeds(items: DataFrame, masks: list[str]) -> DataFrame:
-    """(hash, item_id, item_at) of all items. A full mask is only for items of just its length."""
+def _item_seeds(items: DataFrame, masks: dict[str, set[int]]) -> DataFrame:
+    """(hash, item_id, item_at) of all items. A mask that names lengths is only for items of these."""
+    only = [np.array(sorted(lengths), np.int64) for lengths in masks.values()]
 
     def seed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in tx.slices(batches, "text"):
@@ -83,8 +97,9 @@ def _item_seeds(items: DataFrame, masks: list[str]) -> DataFrame:
             owner = np.repeat(np.arange(len(lengths)), lengths)
             ids = part.column("item_id").to_numpy()
             for number, at, code in _seeds(hashes, offsets, masks):
-                keep = (lengths[owner[at]] == len(masks[number])) | (number < len(MASKS))
-                at, code = at[keep], code[keep]
+                if len(only[number]):
+                    keep = np.isin(lengths[owner[at]], only[number])
+                    at, code = at[keep], code[keep]
                 columns = [pa.array(code.view(np.int64)), pa.array(ids[owner[at]]), pa.array((at - offsets[owner[at]]).astype(np.int32))]
                 yield pa.RecordBatch.from_arrays(columns, ["hash", "item_id", "item_at"])
 
@@ -103,7 +118,7 @@ def _item_words(items: DataFrame) -> DataFrame:
     return items.select("item_id", "text").mapInArrow(words, "item_id long, item_words array<int>")
 
 
-def _hit_stretches(rows: DataFrame, masks: list[str], bitmap) -> DataFrame:
+def _hit_stretches(rows: DataFrame, masks: Iterable[str], bitmap) -> DataFrame:
     """Stretches of texts with seeds that the bitmap has: (doc_id, stretch, first, words, hits).
 
     ``words`` are 32-bit word hashes of the stretch and its margins, beginning at word ``first``; ``hits`` are (at, hash).
@@ -186,7 +201,7 @@ def contaminated(
     items = items.where(F.col("n") >= LEAST_WORDS)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id IS NOT NULL")
 
-    short = [r["n"] for r in items.where(F.col("n") < SPAN).select("n").distinct().collect()]  # at most SPAN - LEAST_WORDS values
+    short = [r["n"] for r in items.where(F.col("n") <= max(SHORT_MASKS)).select("n").distinct().collect()]  # at most max(SHORT_MASKS) values
     masks = _masks(short)
     tests = _item_seeds(items, masks)
     # FILTER_BITS divides 2^64, so the signed hash has the same remainder as the unsigned one.

@@ -1,5 +1,6 @@
 """Operators on small tables with awkward rows, against brute force."""
 
+import itertools
 import random
 
 import brute
@@ -215,6 +216,22 @@ def test_contaminated(spark, docs, pool):
     assert {(r.doc_id, r.item_id) for r in found} == brute.contaminated(some, items)
 
 
+def test_contaminated_short_items(spark, pool):
+    """Items of 6 to 15 words, with every set of replaced words that the rule permits and some that it doesn't."""
+    rng = random.Random(8)
+    items, some = [], []
+    for n in range(6, 16):
+        item = [f"{rng.choice(pool)}{n}x{i}" for i in range(n)]
+        items.append((n, " ".join(item)))
+        for k in range(4 if n < 13 else 2):
+            for gone in itertools.combinations(range(n), k):
+                part = ["replaced" if i in gone else w for i, w in enumerate(item)]
+                some.append((len(some), f"{words(rng, 3, pool)} {' '.join(part)} {words(rng, 2, pool)}"))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = spaced_seeds.contaminated(frame(spark, some), benchmark).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == brute.contaminated(some, items)
+
+
 def test_mix(spark, docs, pool):
     rng = random.Random(4)
     levels = ["domain", "lang", "source"]

@@ -106,6 +106,18 @@ def test_masks_hit_every_window_with_three_replaced_words():
     assert all(len(m) == spaced_seeds.SPAN for m in spaced_seeds.MASKS)
 
 
+def test_masks_hit_short_items_with_every_permitted_replacement():
+    for n in range(spaced_seeds.SPAN, spaced_seeds.WINDOW + 1):
+        allowed = n - -(-n * spaced_seeds.AGREE // spaced_seeds.WINDOW)
+        masks = spaced_seeds._masks([n])
+        for gone in itertools.chain(*(itertools.combinations(range(n), k) for k in range(allowed + 1))):
+            assert any(
+                all(at + j not in gone for j, used in enumerate(mask) if used == "1")
+                for mask in masks
+                for at in range(n - len(mask) + 1)
+            ), (n, gone)
+
+
 def _archive(compressed):
     parts = [warc.record_bytes(i, f"http://x/{i}", f"payload {i} ".encode() * 50, None) for i in range(6)]
     if compressed:
