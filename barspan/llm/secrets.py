@@ -4,8 +4,9 @@ Spark's regular expressions return matched strings, not places. Places come from
 the same matches: the pieces between them and the matches alternate, so running sums of their lengths are the offsets. Only texts
 that a pattern occurs in are cut.
 
-Candidates are runs of token characters with a letter and a digit. A candidate's class gives the window length and the entropy that a
-window must reach. The counts of the characters in the window are kept in an array and changed by the one that enters and the one that
+Candidates are runs of token characters with a letter and a digit. As a key's name or a path may be joined to a key by a sign, the pieces
+between '=' and those between all signs are judged too, as if they stood alone. A piece's class gives the window length and the entropy that a
+window must reach; a piece shorter than the window is one window, with the bound in proportion to the logarithm of its length. The counts of the characters in the window are kept in an array and changed by the one that enters and the one that
 leaves; so is the sum of c * log2(c), from which the window's entropy is log2(n) - sum / n.
 """
 
@@ -24,12 +25,14 @@ KINDS = (
 )
 #: A run of 20 or more token characters that has a letter and a digit.
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[0-9+/_=-]*[A-Za-z])(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{20,}"
+#: Pieces of a run that are judged like runs: without '=', and without any sign.
+PIECES = (r"[A-Za-z0-9+/_-]{20,}", r"[A-Za-z0-9]{20,}")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 
 
 @dataclass(frozen=True)
 class CharacterClass:
-    """Candidates that match ``pattern``, the window's length, and the least entropy in bits per character."""
+    """Candidates that match ``pattern``, the window's length, and the least entropy of a full window in bits per character."""
 
     pattern: str
     window: int
@@ -81,12 +84,33 @@ def _log_term(count: Column) -> Column:
     return F.when(count > 1, count * F.log2(count)).otherwise(0.0)
 
 
+def _pieces(run: Column) -> Column:
+    """array<struct<at, value>>: the run and its pieces that have a letter and a digit, each once."""
+    kind = "array<struct<at:int,value:string>>"
+    parts = [F.transform(_places(run, p, 0), lambda x: F.struct(x["start"].alias("at"), x["value"].alias("value"))).cast(kind) for p in PIECES]
+    parts = F.concat(F.array(F.struct(F.lit(0).alias("at"), run.alias("value"))).cast(kind), *parts)
+    return F.array_distinct(F.filter(parts, lambda x: F.regexp(x["value"], F.lit("[A-Za-z]")) & F.regexp(x["value"], F.lit("[0-9]"))))
+
+
+def _merged(spans: Column, kind: str) -> Column:
+    """Spans by start, those that overlap as one."""
+
+    def add(out: Column, x: Column) -> Column:
+        last = F.get(out, F.size(out) - 1)
+        both = F.struct(last["start"].alias("start"), last["rank"].alias("rank"), F.greatest(last["end"], x["end"]).alias("end"))
+        return F.when(last["end"] > x["start"], F.concat(F.slice(out, 1, F.size(out) - 1), F.array(both))).otherwise(F.concat(out, F.array(x)))
+
+    return F.aggregate(F.array_sort(spans), F.array().cast(kind), add)
+
+
 def _dense_span(value: Column) -> Column:
     """struct<first, last>: the first and the end of the last window whose entropy reaches its class's bound, null if none does."""
     matches = [F.regexp(value, F.lit(c.pattern)) for c in CLASSES]
     chosen = F.lit(None).cast("struct<window:int,entropy:double>")
     for c, m in reversed(list(zip(CLASSES, matches))):
-        chosen = F.when(m, F.struct(F.lit(c.window).alias("window"), F.lit(c.entropy).alias("entropy"))).otherwise(chosen)
+        window = F.least(F.lit(c.window), F.length(value))
+        bound = F.lit(c.entropy) * (F.log2(window) / F.log2(F.lit(c.window)))
+        chosen = F.when(m, F.struct(window.alias("window"), bound.alias("entropy"))).otherwise(chosen)
     places = F.transform(F.filter(F.split(value, ""), lambda ch: ch != ""), lambda ch: F.instr(F.lit(ALPHABET), ch))
     start = F.struct(
         F.array_repeat(F.lit(0), len(ALPHABET)).alias("counts"), F.lit(0.0).alias("sum"), F.lit(0).alias("i"),
@@ -114,10 +138,14 @@ def _dense_span(value: Column) -> Column:
         )
 
     found = F.aggregate(places, start, step, lambda s: F.struct(s["first"].alias("first"), s["last"].alias("last")))
+    return F.when(~_allowed(value), found)
+
+
+def _allowed(value: Column) -> Column:
     allowed = F.lit(False)
     for pattern in ALLOW:
         allowed = allowed | F.regexp(value, F.lit(pattern))
-    return F.when(~allowed, found)
+    return allowed
 
 
 def _joined(spans: Column, names: list[str]) -> Column:
@@ -130,7 +158,8 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """Per row: doc_id, the number of each kind, ``base`` (spans of the patterns) and ``spans`` (with those of high entropy).
 
     Spans read kind:start:end in code points, end exclusive, comma-joined by start and then kind. Matches of a kind don't overlap; a match
-    that is too short is dropped, and the search goes on behind it. A span of high entropy inside a pattern's span is not told again.
+    that is too short is dropped, and the search goes on behind it. Spans of high entropy that overlap are one; inside a pattern's span they are
+    not told again.
     Null and empty texts have none, repeated rows get a row each, other columns are ignored.
     """
     names = [*[k[0] for k in KINDS], "entropy"]
@@ -149,13 +178,19 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         rows = rows.withColumn(name, F.transform(fit, spanned(rank)).cast(kind))
     rows = rows.withColumn("runs", _places(F.col("text"), CANDIDATE, 0)).drop("text")
     base = F.concat(*[F.col(n) for n in names[:-1]])
-    dense = F.transform(F.col("runs"), lambda x: F.struct(x["start"].alias("at"), _dense_span(x["value"]).alias("w")))
+    runs = F.filter(F.col("runs"), lambda x: ~_allowed(x["value"]))
+    pieces = F.flatten(
+        F.transform(
+            runs, lambda x: F.transform(_pieces(x["value"]), lambda y: F.struct((x["start"] + y["at"]).alias("at"), y["value"].alias("value")))
+        )
+    )
+    dense = F.transform(pieces, lambda x: F.struct(x["at"].alias("at"), _dense_span(x["value"]).alias("w")))
     dense = F.filter(dense, lambda x: x["w"]["first"].isNotNull())
     dense = F.transform(
         dense, lambda x: F.struct((x["at"] + x["w"]["first"]).alias("start"), F.lit(len(names)).alias("rank"), (x["at"] + x["w"]["last"]).alias("end"))
     ).cast(kind)
     rows = rows.select("doc_id", *names[:-1], base.alias("found"), F.when(F.size("runs") > 0, dense).otherwise(F.array().cast(kind)).alias("dense"))
-    told = F.filter("dense", lambda x: ~F.exists("found", lambda y: (y["start"] <= x["start"]) & (x["end"] <= y["end"])))
+    told = F.filter(_merged(F.col("dense"), kind), lambda x: ~F.exists("found", lambda y: (y["start"] <= x["start"]) & (x["end"] <= y["end"])))
     return rows.select(
         "doc_id", *[F.size(n).cast("long").alias(f"n_{n}") for n in names[:-1]],
         _joined(F.col("found"), names).alias("base"), _joined(F.concat("found", told), names).alias("spans"),

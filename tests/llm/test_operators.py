@@ -279,6 +279,35 @@ def test_entropy_spans(spark):
     assert found == {1: "entropy:6:27", 2: "", 3: "", 4: "", 5: "", 6: "entropy:0:24", 7: "assign:0:30"}
 
 
+def spans_of(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [r.spans for r in secrets.find_secrets(df).orderBy("doc_id").collect()]
+
+
+def test_entropy_spans_of_short_candidates_with_signs(spark):
+    """Shorter than the window of their class: the bound is in proportion to log2 of the length."""
+    texts = ["é q7Zk1XvB9-mT4sLw8RyGc2 end", "q7Zk1XvB9-mT4sLw8RyG", "q7Zk1XvB9/mT4sLw8RyGc2+", "aaaa1aaa-aaaaaaaaaaaaa", "k=q7Zk1XvB9-mT4sLw8RyGc2"]
+    assert spans_of(spark, texts) == ["entropy:2:24", "entropy:0:20", "entropy:0:23", "", "entropy:0:24"]
+
+
+def test_entropy_spans_of_keys_joined_to_names(spark):
+    """What is found alone is found behind a name and a sign, and nothing else is."""
+    rng = random.Random(6)
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    sets = [("0123456789ABCDEF", 32), (upper + "0123456789", 25), (lower + "0123456789", 20), (upper + lower + "0123456789", 22)]
+    keys = ["".join(rng.choice(chars) for _ in range(n)) for chars, n in sets for _ in range(40)] + ["A1" * 16, "xy12" * 6]
+    alone = spans_of(spark, keys)
+    assert sum(x != "" for x in alone) > 140 and alone[-2:] == ["", ""]
+    for name in ("k=", "id/", "a_b-", "+"):
+        glued = spans_of(spark, [name + k for k in keys])
+        for key, one, two in zip(keys, alone, glued):
+            if one:
+                (_, a, b), (_, c, d) = one.split(":"), two.split(":")
+                assert int(c) <= int(a) + len(name) and int(b) + len(name) <= int(d), (name + key, one, two)
+        assert glued[-2:] == ["", ""]
+    assert spans_of(spark, [f"a={keys[0]}/b={keys[1]}", "id=123e4567-e89b-12d3-a456-426614174000"]) == ["entropy:2:34,entropy:37:69", ""]
+
+
 def test_language_id(spark):
     rng = random.Random(6)
     made = {"en": ["the", "of", "with", "house"], "de": ["der", "über", "und", "schön"], "fr": ["été", "leçon", "où", "le"]}
