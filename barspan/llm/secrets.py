@@ -46,10 +46,10 @@ CLASSES = (
     CharacterClass("^[A-Za-z0-9]+$", 20, 3.7),
     CharacterClass("^[A-Za-z0-9+/_=-]+$", 24, 3.9),
 )
-#: A candidate that matches one of these is no secret: placeholders, counting runs, UUIDs, words joined by signs.
+#: A part between signs that has one of these is no secret, and a run is cut there: placeholders, counting runs.
+ALLOW_PARTS = r"(?<![A-Za-z0-9])[A-Za-z0-9]*?(?:(?i:example|placeholder|changeme|dummy|sample|xxxx)|0123456789|(?i:abcdefgh))[A-Za-z0-9]*[+/_=-]*"
+#: A candidate or piece that matches one of these is no secret: UUIDs, words joined by signs.
 ALLOW = (
-    "(?i)example|placeholder|changeme|dummy|sample|xxxx",
-    "0123456789|(?i:abcdefgh)",
     "(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$",
     "^([A-Za-z]+|[0-9]+)([/_=+-]+([A-Za-z]+|[0-9]+))*[/_=+-]*$",
 )
@@ -84,6 +84,13 @@ def _log_term(count: Column) -> Column:
     return F.when(count > 1, count * F.log2(count)).otherwise(0.0)
 
 
+def _stretches(run: Column) -> Column:
+    """array<struct<at, value>>: what lies between the run's allowed parts, if it has 20 characters or more."""
+    starts = F.concat(F.array(F.lit(0)), F.transform(_places(run, ALLOW_PARTS, 0), lambda x: x["end"]))
+    found = F.arrays_zip(starts.alias("at"), F.split(run, ALLOW_PARTS, -1).alias("value"))
+    return F.filter(found, lambda x: F.length(x["value"]) >= 20)
+
+
 def _pieces(run: Column) -> Column:
     """array<struct<at, value>>: the run and its pieces that have a letter and a digit, each once."""
     kind = "array<struct<at:int,value:string>>"
@@ -138,14 +145,10 @@ def _dense_span(value: Column) -> Column:
         )
 
     found = F.aggregate(places, start, step, lambda s: F.struct(s["first"].alias("first"), s["last"].alias("last")))
-    return F.when(~_allowed(value), found)
-
-
-def _allowed(value: Column) -> Column:
     allowed = F.lit(False)
     for pattern in ALLOW:
         allowed = allowed | F.regexp(value, F.lit(pattern))
-    return allowed
+    return F.when(~allowed, found)
 
 
 def _joined(spans: Column, names: list[str]) -> Column:
@@ -178,12 +181,16 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         rows = rows.withColumn(name, F.transform(fit, spanned(rank)).cast(kind))
     rows = rows.withColumn("runs", _places(F.col("text"), CANDIDATE, 0)).drop("text")
     base = F.concat(*[F.col(n) for n in names[:-1]])
-    runs = F.filter(F.col("runs"), lambda x: ~_allowed(x["value"]))
-    pieces = F.flatten(
-        F.transform(
-            runs, lambda x: F.transform(_pieces(x["value"]), lambda y: F.struct((x["start"] + y["at"]).alias("at"), y["value"].alias("value")))
-        )
-    )
+
+    def cut(runs: Column, into) -> Column:
+        return F.flatten(
+            F.transform(
+                runs, lambda x: F.transform(into(x["value"]), lambda y: F.struct((x["at"] + y["at"]).alias("at"), y["value"].alias("value")))
+            )
+        )
+
+    runs = F.transform("runs", lambda x: F.struct(x["start"].alias("at"), x["value"].alias("value")))
+    pieces = cut(cut(runs, _stretches), _pieces)
     dense = F.transform(pieces, lambda x: F.struct(x["at"].alias("at"), _dense_span(x["value"]).alias("w")))
     dense = F.filter(dense, lambda x: x["w"]["first"].isNotNull())
     dense = F.transform(

@@ -308,6 +308,18 @@ def test_entropy_spans_of_keys_joined_to_names(spark):
     assert spans_of(spark, [f"a={keys[0]}/b={keys[1]}", "id=123e4567-e89b-12d3-a456-426614174000"]) == ["entropy:2:34,entropy:37:69", ""]
 
 
+def test_allow_list_holds_for_its_part_only(spark):
+    key = "q7Zk1XvB9mT4sLw8RyGc2"
+    texts = [
+        f"sample={key}", f"example/{key}", f"{key}_dummy", f"a {key}/xXxX/{key}", "sample=q7Zk1XvB9-mT4sLw8RyGc2",
+        f"example{key}", f"{key}0123456789", "sample=one/two_2024-three-four-five", "example/123e4567-e89b-12d3-a456-426614174000",
+        "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+    ]
+    # A sign that follows a key may be padding and belongs to its span.
+    found = ["entropy:7:28", "entropy:8:29", "entropy:0:22", "entropy:2:24,entropy:29:50", "entropy:7:29", "", "", "", "", ""]
+    assert spans_of(spark, texts) == found
+
+
 def test_language_id(spark):
     rng = random.Random(6)
     made = {"en": ["the", "of", "with", "house"], "de": ["der", "über", "und", "schön"], "fr": ["été", "leçon", "où", "le"]}
