@@ -122,7 +122,8 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> Data
 def near_duplicates(
     docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """Per id: n_shingles, class_id, component_id and n_links (confirmed links of its class to others).
+    """Per id: n_shingles, class_id, component_id and n_links (confirmed links of its class to others, of those that were tried:
+    pairs inside a component are not formed, so this is no count of all links, and it depends on which members became hubs).
 
     Two texts are linked if 100 * |A and B| >= percent * |A or B| over their sets of distinct k-word shingles; component_id is the
     smallest id reachable. Null, empty and wordless texts have no shingles and no link. Null ids are left out; of rows
