@@ -21,9 +21,9 @@ from barspan.llm import texts as tx
 UNKNOWN = "und"
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3)
-#: Bound on the training rows: beyond it the rows with the smallest hashes of their text are used.
+#: Bound on the training rows: beyond it rare languages keep all rows, and of the others those with the smallest hashes of their text are used.
 TRAIN_ROWS = 2_000_000
-#: Languages beyond this number (the rarest) can't be learned; keeps matrix and counts small.
+#: More languages than this are an error; keeps matrix and counts small.
 MAX_LANGUAGES = 256
 
 _RANGES = 0x110000
@@ -91,22 +91,27 @@ class Model:
 def fit(docs: DataFrame, train: Column, lang_col: str = "lang", text_col: str = "text", train_rows: int = TRAIN_ROWS) -> Model:
     """Learn from the rows where ``train`` holds and language and text are not null.
 
-    Other columns are never read. At most about ``train_rows`` rows are used (by the smallest text hashes, so equal rows are in or
-    out together); a table without such rows gives a model that answers UNKNOWN.
+    Other columns are never read. At most about ``train_rows`` rows are used: all of a language that has no more than an equal share of
+    them, of the others those with the smallest text hashes, so equal rows are in or out together. More than MAX_LANGUAGES languages are
+    an error; a table without such rows gives a model that answers UNKNOWN.
     """
     spark = docs.sparkSession
     tx.small_batches(spark)
     rows = docs.where(train & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     rows = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     # Counting rows per language reads no texts.
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES + 1).collect()
+    if len(sizes) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages to learn")
     if not sizes:
         return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0))
     sizes = dict(sorted((r["lang"], r["count"]) for r in sizes))
     languages, total = list(sizes), sum(sizes.values())
     if total > train_rows:
         top = (1 << 63) - 1
-        rows = rows.where(F.xxhash64("text").bitwiseAND(F.lit(top)) <= F.lit(int(train_rows / total * top)))
+        rare = {lang: n for lang, n in sizes.items() if n * len(sizes) <= train_rows}
+        part = (train_rows - sum(rare.values())) / (total - sum(rare.values()))
+        rows = rows.where(F.col("lang").isin(list(rare)) | (F.xxhash64("text").bitwiseAND(F.lit(top)) <= F.lit(int(part * top))))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((len(languages), BUCKETS), np.int64)

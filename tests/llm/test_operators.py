@@ -337,6 +337,19 @@ def test_language_id(spark):
     assert {r.language.lang for r in language_id.classify(df, none).collect()} == {"und"}
 
 
+def test_language_id_loses_no_language(spark, monkeypatch, pool):
+    rng = random.Random(9)
+    some = [(i, words(rng, 9, pool), "en") for i in range(400)] + [(500 + i, f"qoph zayin {i}a", "xx") for i in range(4)]
+    df = spark.createDataFrame(some, "doc_id long, text string, lang string")
+    whole, part = (language_id.fit(df, train=F.lit(True), train_rows=n) for n in (1000, 40))
+    assert whole.languages == part.languages == ["en", "xx"] and (whole.log_prior == part.log_prior).all()
+    assert (whole.log_probability[:, 1] == part.log_probability[:, 1]).all()
+    assert (whole.log_probability[:, 0] != part.log_probability[:, 0]).any()
+    monkeypatch.setattr(language_id, "MAX_LANGUAGES", 1)
+    with pytest.raises(ValueError, match="languages"):
+        language_id.fit(df, train=F.lit(True))
+
+
 def test_empty_tables(spark, monkeypatch):
     docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
     pages = spark.createDataFrame([], "page_id long, url string, html string")
