@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barspan.llm import fingerprints, language_id, line_dedup, mixing, near_dedup, repeated_bytes, secrets, spaced_seeds, token_output, warc
+from barspan.llm import compression_quality, fingerprints, language_id, line_dedup, mixing, near_dedup, repeated_bytes, secrets, spaced_seeds, token_output, warc
 from barspan.llm.texts import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -133,6 +133,18 @@ def op1_fingerprints(spark, sf):
     return fingerprints.compare_with_next(table(spark, sf, "documents"))
 
 
+QUALITY_THRESHOLD = 0.3
+
+
+@query
+def op13_quality(spark, sf):
+    docs, held = table(spark, sf, "documents"), F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    model = compression_quality.fit(docs, table(spark, sf, "labels"), train=~held)
+    score = F.col("quality_score")
+    found = compression_quality.classify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held.alias("held_out"), score.alias("score"), (score >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
+
+
 # The same results in DuckDB's SQL. A-Z are folded and words and lines are cut at \x20 and \x09 to \x0D.
 _FOLDED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
