@@ -82,7 +82,10 @@ def fit_curve(x: np.ndarray, good: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(1), np.full(1, 0.5)
     order = np.argsort(x, kind="stable")
     blocks: list[list[float]] = []  # sum of x, texts, good ones
-    for part in np.array_split(order, min(BINS, max(1, len(x) // _BIN_TEXTS))):
+    bins = min(BINS, max(1, len(x) // _BIN_TEXTS))
+    # Equal values stay in one bin.
+    bounds = np.unique(np.searchsorted(x[order], x[order[[len(x) * i // bins for i in range(1, bins)]]]))
+    for part in np.split(order, bounds[bounds > 0]):
         blocks.append([float(x[part].sum()), len(part), int(good[part].sum())])
         while len(blocks) > 1 and blocks[-2][2] * blocks[-1][1] >= blocks[-1][2] * blocks[-2][1]:
             last = blocks.pop()

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barspan.llm import compression_quality, fingerprints, language_id, line_dedup, mixing, near_dedup, repeated_bytes, secrets, spaced_seeds, token_output, warc
+from barspan.llm import compression_quality, fingerprints, importance_sampling, language_id, line_dedup, mixing, near_dedup, repeated_bytes, secrets, spaced_seeds, token_output, warc
 from barspan.llm.texts import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -133,6 +133,12 @@ def op1_fingerprints(spark, sf):
     return fingerprints.compare_with_next(table(spark, sf, "documents"))
 
 
+@query
+def op11_resample(spark, sf):
+    found = importance_sampling.resample(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUALITY_THRESHOLD = 0.3
 
 

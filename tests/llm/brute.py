@@ -209,3 +209,35 @@ def mixture(docs, leaf_of, weights, levels, share, seed, max_epochs):
             if n:
                 taken[i] = n
     return taken
+
+
+LOWER_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def feature_list(text):
+    found = LOWER_WORD.findall((text or "").translate(FOLD))
+    return found, [" ".join(found[i : i + j]) for i in range(len(found)) for j in (1, 2, 3) if i + j <= len(found)]
+
+
+def resample(docs, target, percent=5, least=20, seed=42):
+    import math
+
+    def totals(texts):
+        out = [0] * 10000
+        for text in texts:
+            for f in feature_list(text)[1]:
+                out[zlib.crc32(f.encode()) % 10000] += 1
+        return out
+
+    s, t = totals(x for _, x in docs), totals(target)
+    gain = [math.floor(1000 * math.log((b + 1) * (sum(s) + 10000) / ((a + 1) * (sum(t) + 10000)))) for a, b in zip(s, t)]
+    rows = []
+    for doc_id, text in docs:
+        found, features = feature_list(text)
+        weight = sum(gain[zlib.crc32(f.encode()) % 10000] for f in features)
+        h = int(sha256(f"{seed}:{'' if doc_id is None else doc_id}")[:8], 16)
+        rows.append([doc_id, len(features), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296))), None, len(found)])
+    eligible = sorted((r for r in rows if r[5] >= least), key=lambda r: (-r[3], r[0] is not None, r[0] or 0, r[2]))
+    for i, r in enumerate(eligible[: percent * len(eligible) // 100]):
+        r[4] = i + 1
+    return [tuple(r[:5]) for r in rows]
