@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -92,9 +93,9 @@ def _judge(batches: Iterator[pa.RecordBatch], least_docs: int) -> Iterator[pa.Re
                 continue
             if was < least_docs:
                 for h in held:
-                    yield out(h.filter(pa.compute.not_equal(h.column("doc"), docs[0])), _DROP)
+                    yield out(h.filter(pc.not_equal(h.column("doc"), docs[0])), _DROP)
                 held = []
-            yield out(part.filter(pa.compute.not_equal(part.column("doc"), docs[0])), _DROP)
+            yield out(part.filter(pc.not_equal(part.column("doc"), docs[0])), _DROP)
     if key is not None and key != first:
         for h in held:
             yield out(h, _OPEN)
@@ -141,7 +142,7 @@ def keep_bitmaps(
                 keep = np.ones(n, bool)
                 keep[lines[i].values.to_numpy()] = False
                 maps.append(zlib.compress(np.packbits(keep).tobytes(), 1))
-            columns = [*(batch.column(c) for c in ("doc", "version", "n_lines")), pa.compute.list_value_length(lines), pa.array(maps, pa.binary())]
+            columns = [*(batch.column(c) for c in ("doc", "version", "n_lines")), pc.list_value_length(lines), pa.array(maps, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["doc", "version", "n_lines", "n_dropped", "keep"])
 
     found = by_doc.mapInArrow(bitmaps, "doc long, version long, n_lines int, n_dropped int, keep binary")

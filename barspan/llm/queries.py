@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barspan.llm import compression_quality, fingerprints, importance_sampling, language_id, line_dedup, mixing, near_dedup, repeated_bytes, secrets, spaced_seeds, token_output, warc
+from barspan.llm import compression_quality, conversations, fingerprints, importance_sampling, language_id, line_dedup, mixing, near_dedup, repeated_bytes, secrets, spaced_seeds, token_output, warc
 from barspan.llm.texts import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -139,6 +139,19 @@ def op11_resample(spark, sf):
     return found.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+@query
+def op12_conversations(spark, sf):
+    rows = table(spark, sf, "conversations")
+    lines = conversations.digests(conversations.repair(conversations.damaged(rows))).withColumnRenamed("conv", "_conv")
+    every = rows.select("conv_id").distinct()
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    # A conversation that lost all its rows has no line.
+    return every.join(lines, F.col("conv_id").eqNullSafe(F.col("_conv")), "left").select(
+        "conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts], F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.lit(hashlib.sha256(b"").hexdigest())).alias("repaired_sha256"),
+    )
+
+
 QUALITY_THRESHOLD = 0.3
 
 

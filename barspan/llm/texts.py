@@ -12,6 +12,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -141,7 +142,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BY
         if not batch.num_rows:
             continue
         sizes = batch.column(column).cast(pa.large_binary())
-        ends = np.cumsum(np.asarray(pa.compute.fill_null(pa.compute.binary_length(sizes), 0)))
+        ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(sizes), 0)))
         start = 0
         while start < batch.num_rows:
             before = ends[start - 1] if start else 0

@@ -241,3 +241,61 @@ def resample(docs, target, percent=5, least=20, seed=42):
     for i, r in enumerate(eligible[: percent * len(eligible) // 100]):
         r[4] = i + 1
     return [tuple(r[:5]) for r in rows]
+
+
+def conversations(rows):
+    """Per conversation: conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256. Paths are searched by cost, then by audit."""
+    groups = defaultdict(list)
+    for conv, turn, role, text in rows:
+        groups[conv]
+        spaced = lambda x: " " if x is None else x
+        fault = zlib.crc32(f"{spaced(conv)}:{spaced(turn)}".encode()) % 20
+        role, text = spaced(role), spaced(text)
+        if fault == 1:
+            text = ""
+        elif fault == 2:
+            text = re.sub("[.!?]", "", text)
+        elif fault == 4:
+            role = "user"
+        if fault:
+            groups[conv] += [(turn, role, text)] * (2 if fault == 3 else 1)
+    return [(conv, *repaired(turns)) for conv, turns in groups.items()]
+
+
+def repaired(turns):
+    import heapq
+
+    digest = lambda r: hashlib.sha256(f"{len(r[1])}:{r[1]}{r[2]}".encode()).digest()
+    turns = sorted(turns, key=lambda r: (r[0] is not None, r[0] or 0, r[1], digest(r)))
+    faults, seen = [], set()
+    for _, role, text in turns:
+        bare = text.strip(SPACE)
+        faults.append("blank" if not bare else "duplicate" if (role, text) in seen else "truncated" if bare[-1] not in ".!?" else "")
+        seen.add((role, text))
+    known = [t for t, _, _ in turns if t is not None]
+    gaps = max(known) - min(known) + 1 - len(set(known)) if known else 0
+    pairs = zip(turns[:-1], turns[1:])
+    illegal = sum((a[1][:1] + b[1][:1]) not in ("su", "ua", "au") for a, b in pairs)
+    follow = {"": {"s": "s", "u": "u"}, "s": {"u": "u"}, "u": {"a": "a"}, "a": {"u": "u"}}
+    heap, done = [(0, "", 0, "", ())], set()
+    while heap:
+        cost, audit, at, state, out = heapq.heappop(heap)
+        if at == len(turns) and state in ("", "a"):
+            counts = [faults.count(k) for k in ("blank", "duplicate", "truncated")]
+            return gaps, *counts, illegal, cost, audit, sha256("\n".join(out))
+        if (at, state) in done:
+            continue
+        done.add((at, state))
+        for role in ("user", "assistant"):
+            if role[0] in follow[state]:
+                heapq.heappush(heap, (cost + 5, audit + "I", at, role[0], (*out, f"{role}:")))
+        if at < len(turns):
+            _, role, text = turns[at]
+            heapq.heappush(heap, (cost + 2, audit + "D", at + 1, state, out))
+            if faults[at] not in ("blank", "duplicate"):
+                more = 5 if faults[at] else 0
+                if role[:1] in follow[state]:
+                    heapq.heappush(heap, (cost + more, audit + "K", at + 1, role[:1], (*out, f"{role}:{text}")))
+                for new in ("user", "assistant"):
+                    if new[0] in follow[state]:
+                        heapq.heappush(heap, (cost + 1 + more, audit + "R", at + 1, new[0], (*out, f"{new}:{text}")))
