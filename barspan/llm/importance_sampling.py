@@ -214,8 +214,28 @@ def feature_buckets(words: Words, head: Head) -> tuple[np.ndarray, np.ndarray]:
     return buckets[valid], counts
 
 
+def _most_frequent(counted: DataFrame, value: str, limit: int) -> list:
+    """The values counted most often, at most ``limit``: all from a count on that is found from a histogram with eight bins an octave.
+
+    So the driver gets the histogram and the chosen values, however many tasks there are.
+    """
+    folder = scratch_dir(counted.sparkSession, "counted")
+    counted.write.mode("overwrite").parquet(folder)
+    counted = counted.sparkSession.read.schema(counted.schema).parquet(folder)
+    level = F.floor(F.log2("n") * 8).cast("int")
+    total, least = 0, None
+    for r in sorted(counted.groupBy(level.alias("level")).count().collect(), key=lambda r: -r["level"]):
+        total += r["count"]
+        if total > limit:
+            break
+        least = r["level"]
+    if least is None:
+        return []
+    return [r[value] for r in sorted(counted.where(level >= least).collect(), key=lambda r: (-r["n"], r[value]))]
+
+
 def _frequent_words(texts: DataFrame) -> list[str]:
-    """The HEAD_WORDS most frequent words of at most HEAD_BYTES bytes, counted over all texts."""
+    """The most frequent words of at most HEAD_BYTES bytes, HEAD_WORDS at most, counted over all texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -245,11 +265,11 @@ def _frequent_words(texts: DataFrame) -> list[str]:
             yield told()
 
     counted = texts.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [r["word"] for r in counted.orderBy(F.desc("n"), "word").limit(HEAD_WORDS).collect()]
+    return _most_frequent(counted, "word", HEAD_WORDS)
 
 
 def _frequent_pairs(texts: DataFrame, words: list[str]) -> list[tuple[int, int]]:
-    """The HEAD_PAIRS most frequent pairs among the first PAIR_WORDS words; a task counts in an array of fixed size."""
+    """The most frequent pairs of the first PAIR_WORDS words, HEAD_PAIRS at most; a task counts in an array of fixed size."""
     head = texts.sparkSession.sparkContext.broadcast(make_head(words[:PAIR_WORDS], []))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,7 +284,7 @@ def _frequent_pairs(texts: DataFrame, words: list[str]) -> list[tuple[int, int]]
         yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(sums[code])], ["code", "n"])
 
     counted = texts.mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-    return [divmod(r["code"], PAIR_WORDS) for r in counted.orderBy(F.desc("n"), "code").limit(HEAD_PAIRS).collect()]
+    return [divmod(code, PAIR_WORDS) for code in _most_frequent(counted, "code", HEAD_PAIRS)]
 
 
 def learn_head(docs: DataFrame, text_col: str = "text") -> Head:
