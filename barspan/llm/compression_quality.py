@@ -8,13 +8,14 @@ probability. The curve is fitted on labelled texts that gave no piece to the dic
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barspan.llm import texts as tx
@@ -24,8 +25,8 @@ from barspan.session import scratch_dir
 PIECE = 1024
 DICTIONARY_BYTES = 131_072
 LEVEL = 3
-#: Bounds on what is learned from, of each label: documents, and pieces for its dictionary. Those with the smallest hashes are taken.
-TRAIN_ROWS = 200_000
+#: Bounds on what is learned from, of each label: about so many documents, and pieces for its dictionary. Those with the smallest hashes are taken.
+TRAIN_ROWS = 100_000
 SAMPLE_PIECES = 20_000
 #: Bins of the curve, and the least texts of a bin.
 BINS, _BIN_TEXTS = 200, 10
@@ -95,15 +96,27 @@ def fit_curve(x: np.ndarray, good: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return sums / n, np.maximum.accumulate((hits + 0.5) / (n + 1))
 
 
+def _smallest(counts: dict, limit: int, key: str, by: str) -> Column:
+    """Whether a row is among about ``limit`` of each value of ``by``, of which there are ``counts``: its hash is in the lowest part of the range.
+
+    A bound on the hash needs no sorting, and no task sends more than its share.
+    """
+    top = (1 << 63) - 1
+    bounds = F.lit(None).cast("long")
+    for value, n in counts.items():
+        bounds = F.when(F.col(by) == value, F.lit(top if n <= limit else top // n * limit)).otherwise(bounds)
+    return F.xxhash64(key, F.lit(2)).bitwiseAND(F.lit(top)) <= bounds
+
+
 def _labelled(docs: DataFrame, labels: DataFrame, label: str, train: Column, id_col: str, text_col: str) -> DataFrame:
     """(text, good) of the training rows with one known label, written once; ids that are null or have both labels are left out."""
     known = labels.where(F.col(id_col).isNotNull() & F.col(label).isin(0, 1)).groupBy(F.col(id_col).alias("_id"))
-    known = known.agg(F.min(label).alias("_good"), F.max(label).alias("_high")).where(F.col("_good") == F.col("_high"))
-    # Limited on the map side: no task sends more than the bound.
-    place = F.row_number().over(Window.partitionBy("_good").orderBy(F.xxhash64("_id"), "_id"))
-    known = known.withColumn("_n", place).where(F.col("_n") <= TRAIN_ROWS).select("_id", "_good")
+    known = known.agg(F.min(label).alias("_good"), F.max(label).alias("_high")).where(F.col("_good") == F.col("_high")).select("_id", "_good")
+    counts = {r["_good"]: r["count"] for r in known.groupBy("_good").count().collect()}
+    known = known.where(_smallest(counts, TRAIN_ROWS, "_id", "_good"))
     rows = docs.where(train).select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = tx.among(rows, known, "_id").join(known, "_id").select("text", (F.col("_good") == 1).alias("good"))
+    # At most about 2 * TRAIN_ROWS ids, so they may be broadcast whatever the tables' size.
+    rows = rows.join(F.broadcast(known), "_id").select("text", (F.col("_good") == 1).alias("good"))
     folder = scratch_dir(docs.sparkSession, "labelled")
     rows.write.mode("overwrite").parquet(folder)
     return docs.sparkSession.read.schema(rows.schema).parquet(folder)
@@ -114,9 +127,9 @@ def fit(
 ) -> Model:
     """Learn from the documents where ``train`` holds and whose ``label`` in ``labels`` is 1 (good) or 0 (bad).
 
-    At most TRAIN_ROWS labelled ids of each label are used. Half of their texts, chosen by a hash of the text, gives pieces to the dictionaries,
-    the other half fits the curve; equal texts fall in one half. The driver gets SAMPLE_PIECES
-    pieces and TRAIN_ROWS numbers a label at most. Without rows of one label there is nothing to compare: the score of every text is then the smoothed share of good ones.
+    About TRAIN_ROWS labelled ids of each label are used at most. Half of their texts, chosen by a hash of the text, gives pieces to the dictionaries,
+    the other half fits the curve; equal texts fall in one half. The driver gets about SAMPLE_PIECES pieces and TRAIN_ROWS numbers a label at
+    most. Without rows of one label there is nothing to compare: the score of every text is then the smoothed share of good ones.
     """
     tx.small_batches(docs.sparkSession)
     rows = _labelled(docs, labels, label, train, id_col, text_col)
@@ -129,11 +142,16 @@ def fit(
                 [pa.array([g for g, _ in found], pa.bool_()), pa.array([p for _, p in found], pa.binary())], ["good", "piece"]
             )
 
-    cuts = rows.where(half == 0).select("text", "good").mapInArrow(cut, "good boolean, piece binary").withColumn("_hash", F.xxhash64("piece"))
-    ranked = cuts.withColumn("_n", F.row_number().over(Window.partitionBy("good").orderBy("_hash", "piece"))).where(F.col("_n") <= SAMPLE_PIECES)
+    ours = rows.where(half == 0)
+    size = F.ceil(F.octet_length("text") / PIECE)
+    counts = {r["good"]: r["n"] for r in ours.where("text <> ''").groupBy("good").agg(F.sum(size).alias("n")).collect()}
+    cuts = ours.select("text", "good").mapInArrow(cut, "good boolean, piece binary").where(_smallest(counts, SAMPLE_PIECES, "piece", "good"))
+    # Copies of one piece share a hash: they come once.
+    cuts = cuts.dropDuplicates(["good", "piece"])
     samples: dict[bool, list[bytes]] = {True: [], False: []}
-    for r in ranked.orderBy("good", "_n").select("good", "piece").toArrow().to_pylist():
+    for r in cuts.toArrow().to_pylist():
         samples[r["good"]].append(r["piece"])
+    samples = {good: sorted(found, key=lambda p: (zlib.crc32(p), p)) for good, found in samples.items()}
     counts = {r["good"]: r["count"] for r in rows.groupBy("good").count().collect()}
     if not (samples[True] and samples[False]):
         share = (counts.get(True, 0) + 1) / (sum(counts.values()) + 2)
