@@ -190,7 +190,8 @@ BODIES = {
     "klines_of_symbols": f"""SELECT b.symbol, b.dt, b.interval, round(open * coalesce(adjust_factor - 0.5::DOUBLE, 1), 8) AS open,
             round(high * coalesce(adjust_factor - 0.5::DOUBLE, 1), 8) AS high, round(low * coalesce(adjust_factor - 0.5::DOUBLE, 1), 8) AS low,
             round(close * coalesce(adjust_factor - 0.5::DOUBLE, 1), 8) AS close, volume
-        FROM (SELECT * FROM interval_bars WHERE interval = '1d' AND dt >= {_LO} AND CAST(symbol AS BIGINT) BETWEEN 0 AND 59
+        FROM (SELECT * FROM interval_bars WHERE interval = '1d' AND dt >= {_LO}
+                AND symbol IN (SELECT symbol FROM info WHERE status = 'L')
             QUALIFY row_number() OVER (PARTITION BY symbol, interval ORDER BY dt) <= 4) b
         ASOF LEFT JOIN factors f ON b.symbol = f.symbol AND b.dt >= f.tradedate""",
     "resample_nan": """SELECT symbol, date_trunc('week', dt)::TIMESTAMP AS dt, round(max(CASE WHEN volume % 2 <> 0 THEN high END), 8) AS high,
@@ -199,8 +200,16 @@ BODIES = {
             THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 8) AS ratio_of_perctg_gt
         FROM bars WHERE name NOT LIKE '%ST%' AND name NOT LIKE '%退%' GROUP BY dt""",
     "day_merge_flat": """SELECT symbol, dt, open, high, low, round(CASE WHEN trade_date = DATE '2024-01-15' THEN close * 2 ELSE close END, 8) AS close,
-        volume, trade_date, CASE WHEN trade_date = DATE '2024-01-15' THEN round(high - low, 8) END AS spread FROM bars
-        WHERE trade_date IN (DATE '2024-01-15', DATE '2024-01-16')""",
+        volume, trade_date, CASE WHEN trade_date = DATE '2024-01-15' THEN round(high - low, 8) END AS spread FROM bars""",
+    "append_flat": f"SELECT {_BAR}, CASE WHEN dt < TIMESTAMP '2024-01-16' AND volume <= 2 THEN maxupordown END AS maxupordown, trade_date FROM bars",
+    "drop_fields_flat": "SELECT symbol, dt, open, high, low, close, maxupordown, trade_date FROM bars",
+    "undo_upsert": """SELECT symbol, dt, open, CASE WHEN volume < 2 THEN high END AS high, low,
+            round(CASE WHEN volume >= 4 THEN close + 3 WHEN volume >= 2 THEN close + 1 ELSE close END, 8) AS close, volume, trade_date,
+            CAST(CASE WHEN volume >= 4 THEN 4 WHEN volume >= 2 THEN 2 ELSE 1 END AS BIGINT) AS batch_id FROM bars""",
+    "versions_as_of": """SELECT symbol, dt, open, high, low, round(close + CASE WHEN volume >= 2 THEN 2 ELSE 0 END, 8) AS close, volume, trade_date,
+            CAST(CASE WHEN volume >= 2 THEN 2 ELSE 1 END AS BIGINT) AS batch_id, 'early' AS part FROM bars
+        UNION ALL SELECT symbol, dt, open, high, low, round(close + CASE WHEN volume >= 3 THEN 3 WHEN volume >= 2 THEN 2 ELSE 0 END, 8), volume, trade_date,
+            CAST(CASE WHEN volume >= 3 THEN 3 WHEN volume >= 2 THEN 2 ELSE 1 END AS BIGINT), 'late' FROM bars""",
     "resample_week": _resample("1w", "week"),
     "resample_month": _resample("1mo", "month"),
     "bars_5min": _tick_bars("5 minutes"),

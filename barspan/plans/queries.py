@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 
 from barspan.functions import bar_columns, timestamps
 from barspan.functions.predicates import legacy_table_name
-from barspan.operators import adjust, breadth, chunks, maintenance, membership, resample, series, statements
+from barspan.operators import adjust, breadth, chunks, maintenance, membership, resample, series, statements, versions
 from barspan.operators import trading_calendar as cal
 from barspan.plans import standins as data
 from barspan.schemas import DAILY_WITH_SYMBOL, TICKS_WITH_SYMBOL
@@ -228,12 +228,12 @@ def klines(spark, sf):
 
 @query
 def klines_of_symbols(spark, sf):
-    """A range with a start, and two factors of each time of which the later one counts."""
+    """The listed symbols in a range with a start, and two factors of each time of which the later one counts."""
     bars = data.interval_bars(spark, sf).select(*BAR_COLUMNS, "interval")
     factors = data.factors(spark, sf)
     again = factors.withColumns({"adjust_factor": F.col("adjust_factor") - 0.5, "seq": F.col("seq") + 1_000_000_000})
-    symbols = [str(i) for i in range(60)]
-    out = reads.klines(bars, symbols, ["1d"], 4, start=RANGE[0], factors=factors.unionByName(again), sequence="seq")
+    listed = breadth.listed_only(bars, data.listed_info(spark, sf))
+    out = reads.klines(listed, None, ["1d"], 4, start=RANGE[0], factors=factors.unionByName(again), sequence="seq")
     return rounded(out, "open", "high", "low", "close")
 
 
@@ -614,19 +614,74 @@ def day_merge(spark, sf):
     return rounded(maintenance.read_dataset(spark, path), "spread")
 
 
+def _flat_dataset(spark: SparkSession, sf: str, label: str, *columns: str) -> tuple[str, DataFrame]:
+    """A store of one file per trading day."""
+    path = scratch_dir(spark, label)
+    bars = data.daily_bars(spark, sf).select(*BAR_COLUMNS, *columns)
+    maintenance.create_flat(bars, path)
+    return path, bars
+
+
 @query
 def day_merge_flat(spark, sf):
-    """The same on a store of one file per day; the other days are copied as they are."""
-    path = scratch_dir(spark, "flat")
-    bars = data.daily_bars(spark, sf).select(*BAR_COLUMNS, "trade_date")
-    for day in ("2024-01-15", "2024-01-16"):
-        bars.where(F.col("trade_date") == F.lit(day).cast("date")).drop("trade_date").write.parquet(f"{path}/{day}.parquet")
+    """The same on a store of one file per day; the other days are neither read nor written."""
+    path, _ = _flat_dataset(spark, sf, "flat")
     one = day_files.read_at(spark, path, "2024-01-15")
     extra = one.select("symbol", (F.col("close") * 2).alias("close"), (F.col("high") - F.col("low")).alias("spread"))
     maintenance.merge_columns(spark, path, "2024-01-15", extra, replace_origin=True)
     return rounded(maintenance.read_dataset(spark, path), "close", "spread")
 
 
+@query
+def append_flat(spark, sf):
+    """Rows for days that have a file and for new ones; each day stays one file."""
+    path = scratch_dir(spark, "flat")
+    bars = data.daily_bars(spark, sf).select(*BAR_COLUMNS, "maxupordown")
+    maintenance.create_flat(bars.where("dt < '2024-01-16' AND volume <= 2"), path)
+    maintenance.append(bars.drop("maxupordown"), path, where="dt >= '2024-01-16' OR volume > 2")
+    return maintenance.read_dataset(spark, path)
+
+
+@query
+def drop_fields_flat(spark, sf):
+    path, _ = _flat_dataset(spark, sf, "flat", "maxupordown", "name")
+    maintenance.drop_fields(spark, path, ["name", "volume"])
+    return maintenance.read_dataset(spark, path)
+
+
+@query
+def undo_upsert(spark, sf):
+    """Four batches of cells, of which two are undone: what they had replaced is back, and later batches stay."""
+    bars = data.daily_bars(spark, sf).select(*BAR_COLUMNS, "trade_date")
+    path, _ = _dataset(spark, sf, "versions", bars.withColumn("batch_id", F.lit(1).cast("bigint")))
+    cell = lambda where, **new: bars.where(where).select("symbol", "dt", *[c.alias(n) for n, c in new.items()])
+    versions.write_batch(cell("volume >= 2", close=F.col("close") + 1, high=F.lit(None).cast("double")), path, 2)
+    versions.write_batch(cell("volume >= 3", close=F.col("close") + 2), path, 3)
+    versions.write_batch(cell("volume >= 4", close=F.col("close") + 3), path, 4)
+    new = cell("volume = 1", close=F.col("close")).withColumn("symbol", F.concat(F.lit("N"), "symbol"))
+    versions.write_batch(new, path, 5)
+    maintenance.undo_batches(spark, path, 3, 3)
+    maintenance.undo_batches(spark, path, 5, 9)
+    return rounded(versions.read_versions(spark, path), "close")
+
+
+@query
+def versions_as_of(spark, sf):
+    """The same cells after the first of three batches, from a store whose history up to the second was folded elsewhere."""
+    bars = data.daily_bars(spark, sf).select(*BAR_COLUMNS, "trade_date")
+    path, _ = _dataset(spark, sf, "versions", bars.withColumn("batch_id", F.lit(1).cast("bigint")))
+    for batch, least in ((2, 2), (3, 3), (4, 4)):
+        versions.write_batch(bars.where(F.col("volume") >= least).select("symbol", "dt", (F.col("close") + batch).alias("close")), path, batch)
+    early = versions.read_versions(spark, path, until=2)
+    # Written before the store is folded up to batch 3.
+    folder = scratch_dir(spark, "early")
+    early.write.parquet(folder)
+    versions.settle(spark, path, until=3)
+    late = versions.read_versions(spark, path, until=3)
+    both = spark.read.parquet(folder).withColumn("part", F.lit("early")).unionByName(late.withColumn("part", F.lit("late")))
+    return rounded(both, "close")
+
+
 @query
 def upsert(spark, sf):
     bars = data.daily_bars(spark, sf).select(*BAR_COLUMNS, "trade_date")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
 from barspan.operators.adjust import forward_adjust
+from barspan.sources.exchange import recover
 from barspan.sources.files import list_names
 
 DAY_COLUMN = "trade_date"
@@ -30,7 +31,11 @@ def _day_text(day: date | datetime | str) -> str:
 
 
 def _units(spark: SparkSession, path: str) -> dict[str, str]:
-    """Day -> entry name, in day order. Entries that name no day (rows without one, other folders) are passed over."""
+    """Day -> entry name, in day order. Entries that name no day (rows without one, other folders) are passed over.
+
+    A change of the store that broke off is finished first.
+    """
+    recover(spark, path)
     found = {}
     for name in list_names(spark, path):
         day = name[len(_PREFIX) :] if name.startswith(_PREFIX) else name.removesuffix(_SUFFIX) if name.endswith(_SUFFIX) else ""
@@ -179,6 +184,12 @@ def has_all_columns(df: DataFrame, fields: Sequence[str]) -> bool:
     return all(has_columns(df, fields))
 
 
+def with_unit_day(df: DataFrame, name: str = DAY_COLUMN) -> DataFrame:
+    """Add the day that the name of each row's flat unit says, unless the rows have that column."""
+    named = F.regexp_extract("_metadata.file_path", r"(\d{4}-\d{2}-\d{2})\.parquet", 1)
+    return df if name in df.columns else df.withColumn(name, F.to_date(named))
+
+
 def with_day_column(df: DataFrame, time: str = "dt") -> DataFrame:
     """Add the trading day of each row, unless it is there already."""
     return df if DAY_COLUMN in df.columns else df.withColumn(DAY_COLUMN, F.to_date(time))

@@ -37,3 +37,31 @@ def move(spark: SparkSession, source: str, target: str) -> None:
 def make_folder(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _fs(spark, path)
     fs.mkdirs(hadoop_path)
+
+
+def list_sizes(spark: SparkSession, path: str) -> dict[str, int]:
+    """Name -> bytes of the files of one folder, without hidden ones."""
+    fs, hadoop_path = _fs(spark, path)
+    found = fs.listStatus(hadoop_path) if fs.exists(hadoop_path) else []
+    return {s.getPath().getName(): s.getLen() for s in found if s.isFile() and not s.getPath().getName().startswith(("_", "."))}
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file so that it appears whole or not at all: under another name first, then renamed."""
+    fs, _ = _fs(spark, path)
+    part = f"{path}.part"
+    out = fs.create(spark._jvm.org.apache.hadoop.fs.Path(part), True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    move(spark, part, path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, hadoop_path = _fs(spark, path)
+    stream = fs.open(hadoop_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
