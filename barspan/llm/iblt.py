@@ -40,7 +40,7 @@ class Digests:
             begin, end, owner = starts[first], ends[last], owner[first]
         else:
             begin = end = owner = np.zeros(0, np.int64)
-        hashes = tx.span_hashes(prefix, begin, end)
+        hashes = tx.content_hashes(texts.data, prefix, begin, end)
         order = np.lexsort((hashes, owner))
         hashes, owner = hashes[order], owner[order]
         # How often the same piece came before in its text.

@@ -46,7 +46,7 @@ def _keys(rows: DataFrame, least_points: int) -> DataFrame:
             some, low, high = some[keep], low[keep], high[keep]
             firsts = np.searchsorted(owner, np.arange(len(texts) + 1))
             folded = tx.LOWER[texts.data]
-            hashes = [tx.span_hashes(tx.prefix_hashes(folded, f), low, high).view(np.int64) for f in (0, 1)]
+            hashes = [tx.content_hashes(folded, tx.prefix_hashes(folded, f), low, high, f).view(np.int64) for f in (0, 1)]
             doc = owner[some]
             yield pa.RecordBatch.from_arrays(
                 [

@@ -14,6 +14,9 @@ by counting tokens per slot of the order key, then ordering only the slot where
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +31,11 @@ def word_count(text_col: str = "text") -> Column:
     return F.coalesce(F.regexp_count(text_col, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
+def path_of(values: list[Column]) -> Column:
+    """Values joined by '/', nulls as empty ones; a '/' or '\\' inside a value gets a '\\' before it, so different values have different paths."""
+    return F.concat_ws("/", *[F.regexp_replace(F.coalesce(v.cast("string"), F.lit("")), r"([/\\])", r"\\$1") for v in values])
+
+
 def _dealt(nodes: DataFrame, parent: list[str]) -> DataFrame:
     """Nodes (capacity, weight, given: the parent's budget) with their own ``budget``, in whole tokens."""
     by = Window.partitionBy(*parent) if parent else Window.partitionBy(F.lit(0))
@@ -50,17 +58,23 @@ def _dealt(nodes: DataFrame, parent: list[str]) -> DataFrame:
 def leaf_budgets(sizes: DataFrame, levels: list[str], weights: DataFrame, budget: int, max_epochs: int) -> DataFrame:
     """Leaves (levels, tokens) with their ``budget``. ``weights`` has (level, path, weight); a node without a line weighs 1.
 
-    A path is the values of the levels down to that node, joined by '/'; a null value reads as an empty one.
+    A path is the values of the levels down to that node as ``path_of`` joins them. What a node can take is what its leaves can
+    take: tokens below a node of weight 0 or less count nowhere above it, so their share goes to others.
     """
-    path = lambda n: F.concat_ws("/", *[F.coalesce(F.col(c), F.lit("")) for c in levels[:n]])
+    path = lambda n: path_of([F.col(c) for c in levels[:n]])
     tree = sizes.withColumns({f"path_{n}": path(n) for n in range(1, len(levels) + 1)})
     tree = tree.groupBy(*[f"path_{n}" for n in range(1, len(levels) + 1)]).agg(F.sum("tokens").alias("tokens"))
+    for n, level in enumerate(levels, 1):
+        known = weights.where(F.col("level") == level).select(F.col("path").alias(f"path_{n}"), F.col("weight").alias(f"weight_{n}"))
+        tree = tree.join(known, f"path_{n}", "left").withColumn(f"weight_{n}", F.coalesce(f"weight_{n}", F.lit(1.0)))
     given: DataFrame | None = None
     for n in range(1, len(levels) + 1):
         up = [f"path_{i}" for i in range(1, n)]
-        nodes = tree.groupBy(*up, f"path_{n}").agg((F.sum("tokens") * max_epochs).alias("capacity"), F.sum("tokens").alias("tokens"))
-        known = weights.where(F.col("level") == levels[n - 1]).select(F.col("path").alias(f"path_{n}"), "weight")
-        nodes = nodes.join(known, f"path_{n}", "left").withColumn("weight", F.coalesce("weight", F.lit(1.0)))
+        below = [F.col(f"weight_{i}") > 0 for i in range(n + 1, len(levels) + 1)]
+        usable = F.when(reduce(and_, below, F.lit(True)), F.col("tokens")).otherwise(0)
+        nodes = tree.groupBy(*up, f"path_{n}", F.col(f"weight_{n}").alias("weight")).agg(
+            (F.sum(usable) * max_epochs).alias("capacity"), F.sum("tokens").alias("tokens")
+        )
         nodes = nodes.withColumn("node", F.col(f"path_{n}"))
         nodes = nodes.withColumn("given", F.lit(budget)) if given is None else nodes.join(given.select(*up, "given"), up)
         given = _dealt(nodes, up[-1:]).select(*up, f"path_{n}", "tokens", "capacity", "weight", F.col("budget").alias("given"))
@@ -82,7 +96,7 @@ def mix(
     names = list(levels)
     docs = docs.drop("mix")
     text_tokens = word_count(text_col) if tokens is None else tokens
-    leaf = F.concat_ws("/", *[F.coalesce(c.cast("string"), F.lit("")) for c in levels.values()])
+    leaf = path_of(list(levels.values()))
     place = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
     # Texts are counted once; all planning reads these narrow rows.
     folder = scratch_dir(spark, "mix")

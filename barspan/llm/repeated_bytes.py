@@ -34,7 +34,7 @@ PART_OFFSETS = 8
 #: Bytes of blocks sorted together.
 SORT_BYTES = 1 << 20
 
-#: A place is a text's version (20 bits) and a byte position in it.
+#: A place is a text's version (19 bits) and a byte position in it.
 _PLACE_BITS = 43
 _NO_ID = -(1 << 63)
 
@@ -85,7 +85,7 @@ def _blocks_of(texts: tx.Texts, length: int, gram: int) -> tuple[np.ndarray, ...
     twice = np.append(0, np.cumsum(hashes[anchors[1:]] == hashes[anchors[:-1]]))
     low, high = np.searchsorted(anchors, first), np.searchsorted(anchors, first + count - 1 + grams)
     within = twice[np.maximum(high - 1, 0)] > twice[np.minimum(low, len(twice) - 1)]
-    content = tx.span_hashes(prefix, first, first + count - 1 + length)
+    content = tx.content_hashes(texts.data, prefix, first, first + count - 1 + length)
     return lowest[first], content, owner[first], first - texts.offsets[owner[first]], np.where(within, -count, count)
 
 

@@ -48,7 +48,8 @@ def _word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words (letters a-z folded) and the offsets of each text's words."""
     texts = tx.Texts(column)
     starts, ends = texts.words()
-    hashes = tx.span_hashes(tx.prefix_hashes(tx.LOWER[texts.data]), starts, ends)
+    folded = tx.LOWER[texts.data]
+    hashes = tx.content_hashes(folded, tx.prefix_hashes(folded), starts, ends)
     return hashes, np.searchsorted(starts, texts.offsets)
 
 

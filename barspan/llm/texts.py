@@ -13,6 +13,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +33,9 @@ SPACES[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 
+#: Substrings of more bytes are hashed one by one.
+LONG_SPAN = 256
+
 _powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
 
@@ -73,7 +77,7 @@ _coefficients = [seeds(256, 11), seeds(256, 12)]
 def prefix_hashes(data: np.ndarray, family: int = 0) -> np.ndarray:
     """P with P[i] = sum of c(data[j]) * BASE^j over j < i, so any substring's hash takes two look-ups.
 
-    The two families differ in the numbers c that stand for the bytes; both together make a 128-bit hash.
+    The two families differ in the numbers c that stand for the bytes. See ``content_hashes`` for long substrings.
     """
     up, _ = powers(len(data))
     out = np.zeros(len(data) + 1, np.uint64)
@@ -87,6 +91,21 @@ def span_hashes(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nd
     return mix((prefix[end] - prefix[start]) * down[start] + (end - start).astype(np.uint64))
 
 
+def content_hashes(data: np.ndarray, prefix: np.ndarray, start: np.ndarray, end: np.ndarray, family: int = 0) -> np.ndarray:
+    """Hashes of the substrings [start, end) that also tell long ones apart.
+
+    Sums modulo 2^64 agree for some long texts of a special pattern, whatever the base and the numbers for the bytes; it takes several hundred
+    bytes to cancel 64 bits. Longer substrings are hashed from their bytes by another function. Which way is taken depends on the
+    length alone, so equal substrings have equal hashes.
+    """
+    out = span_hashes(prefix, start, end)
+    long = np.flatnonzero(end - start > LONG_SPAN)
+    if len(long):
+        view = memoryview(np.ascontiguousarray(data))
+        out[long] = [xxhash.xxh3_64_intdigest(view[a:b], family + 1) for a, b in zip(start[long].tolist(), end[long].tolist())]
+    return out
+
+
 class Texts:
     """The texts of one Arrow column: ``data`` holds all bytes, text i is data[offsets[i]:offsets[i + 1]]."""
 
@@ -160,7 +179,8 @@ class Shingles:
 
     def __init__(self, texts: Texts, k: int):
         starts, ends = texts.words()
-        hashed = span_hashes(prefix_hashes(LOWER[texts.data]), starts, ends)
+        folded = LOWER[texts.data]
+        hashed = content_hashes(folded, prefix_hashes(folded), starts, ends)
         bounds = np.searchsorted(starts, texts.offsets)
         factors = seeds(k, 7)
         total = np.zeros(max(len(hashed) - k + 1, 0), np.uint64)

@@ -167,14 +167,24 @@ def mixture(docs, leaf_of, weights, levels, share, seed, max_epochs):
     budget = int(sum(size.values()) * share)
     given = {}
 
+    def weight_of(path):
+        escaped = [x.replace("\\", "\\\\").replace("/", "\\/") for x in path]
+        return max(weights.get((levels[len(path) - 1], "/".join(escaped)), 1.0), 0.0)
+
+    def capacity(path):
+        """Tokens that the leaves below can take: none below a node without weight."""
+        if len(path) == len(levels):
+            return size[path]
+        return sum(capacity(c) for c in {leaf[: len(path) + 1] for leaf in size if leaf[: len(path)] == path} if weight_of(c) > 0)
+
     def deal(path, amount):
         depth = len(path)
         if depth == len(levels):
             given[path] = amount
             return
         children = sorted({leaf[: depth + 1] for leaf in size if leaf[:depth] == path})
-        room = {c: max_epochs * sum(n for leaf, n in size.items() if leaf[: depth + 1] == c) for c in children}
-        weight = {c: max(weights.get((levels[depth], "/".join(c)), 1.0), 0.0) for c in children}
+        weight = {c: weight_of(c) for c in children}
+        room = {c: max_epochs * capacity(c) for c in children}
         out, open_, left = dict.fromkeys(children, 0), [c for c in children if weight[c] > 0], amount
         while open_:
             total = sum(weight[c] for c in open_)

@@ -248,6 +248,36 @@ def test_mix(spark, docs, pool):
         assert got == want
 
 
+def test_mix_passes_on_what_no_leaf_can_take(spark):
+    """A's English has no weight: what A can't take goes to B, and values with a slash in them are no other path."""
+    rows = [(i, "w " * 10, "A", "en") for i in range(100)] + [(100, "w " * 10, "A", "de")] + [(200 + i, "w " * 10, "B", "en") for i in range(100)]
+    rows += [(300, "w " * 10, "B/en", "x"), (301, "w " * 10, "B", "en/x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, domain string, lang string")
+    weights = {("domain", "A"): 1.0, ("domain", "B"): 1.0, ("lang", "A/en"): 0.0, ("domain", r"B\/en"): 0.0, ("lang", r"B/en\/x"): 0.0}
+    table = spark.createDataFrame([(a, b, w) for (a, b), w in weights.items()], "level string, path string, weight double")
+    taken = mixing.mix(df, {"domain": F.col("domain"), "lang": F.col("lang")}, table, budget=1000)
+    got = {r.doc_id: r.mix.epochs for r in taken.collect()}
+    assert 100 in got and sum(i >= 200 for i in got) == 99 and len(got) == 100
+    plain = brute.mixture([(i, t, (d, x)) for i, t, d, x in rows], lambda r: r, weights, ["domain", "lang"], 1000 / 2030, 17, 1)
+    assert got == plain
+
+
+def thue_morse(n, letters="ab"):
+    return "".join(letters[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_texts_of_one_polynomial_hash(spark, monkeypatch):
+    """Two texts whose sums agree modulo 2^64 for any base: as lines, as blocks of bytes, and as words."""
+    a, b = thue_morse(4096), thue_morse(4096, "ba")
+    lines = [(i, x) for i, x in enumerate([a, a, a, b, b, b])]
+    assert rows(query_on(frame(spark, lines), "op7_line_dedup", spark, monkeypatch).select("doc_id", "n_dropped")) == [(i, 0) for i in range(6)]
+    some = [(1, "x" * 150 + a + "y" * 150), (2, "x" * 150 + b + "y" * 150), (3, "x" * 150 + a + "y" * 150)]
+    found = query_on(frame(spark, some), "op6_repeated_bytes", spark, monkeypatch)
+    assert rows(found) == sorted(brute.repeated_bytes(some), key=repr)
+    near = query_on(frame(spark, [(1, f"{a} one two"), (2, f"{b} one two"), (3, f"{a} one two")]), "op8_near_dedup", spark, monkeypatch)
+    assert [r.component_id for r in near.orderBy("doc_id").collect()] == [1, 2, 1]
+
+
 def test_secrets(spark, docs, monkeypatch):
     some = docs + EXTRA + [
         (800, "password = abcdefghijkl token: secret: abcdefghijklmnop API_KEY='Zm9vYmFyMTIzNDU2Nzg5' PassWd=\"short\""),
