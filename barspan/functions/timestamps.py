@@ -23,9 +23,22 @@ def _unit(unit: str) -> int:
     return _UNIT_MICROS[unit]
 
 
+# Seconds from 1970 to the first moments of the years 1 and 10000.
+_FIRST_SECOND, _BEYOND_SECOND = -62_135_596_800, 253_402_300_800
+
+
+def epoch_fits(value: Column, unit: str = "us") -> Column:
+    """Whether an epoch number is a time of the years 1 to 9999; false for NULL."""
+    per_second = _NANOS if unit == "ns" else 1_000_000 // _unit(unit)
+    first, last = (max(min(x, (1 << 63) - 1), -(1 << 63)) for x in (_FIRST_SECOND * per_second, _BEYOND_SECOND * per_second - 1))
+    return F.coalesce(value.cast("bigint").between(first, last), F.lit(False))
+
+
 def from_epoch(value: Column, unit: str = "us") -> Column:
-    """Epoch number to a naive timestamp; nanoseconds are floored to microseconds."""
-    micros = _floor_div(value, 1000) if unit == "ns" else (value * F.lit(_unit(unit)).cast("bigint")).cast("bigint")
+    """Epoch number to a naive timestamp; nanoseconds are floored to microseconds. NULL for times outside the years 1 to 9999."""
+    whole = value.cast("bigint")
+    # The product is only formed where it fits.
+    micros = F.when(epoch_fits(value, unit), _floor_div(whole, 1000) if unit == "ns" else whole * F.lit(_unit(unit)).cast("bigint"))
     # Day and rest are added to a naive origin, so the session time zone plays no part.
     rest = F.pmod(micros, F.lit(_DAY_MICROS)).cast("decimal(18,0)") / F.lit(1_000_000).cast("decimal(7,0)")
     origin = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
@@ -41,7 +54,9 @@ def from_parts(year: Column, month: Column, day: Column, hour: Column, minute: C
 
 def _floor_div(value: Column, by: int) -> Column:
     """Integer division rounding down, exact for the whole bigint range."""
-    return F.call_function("div", value - F.pmod(value, F.lit(by)), F.lit(by))
+    value = value.cast("bigint")
+    rest = F.pmod(value, F.lit(by))
+    return F.call_function("div", value, F.lit(by)) - F.when((rest != 0) & (value < 0), 1).otherwise(0)
 
 
 def to_epoch(at: Column, unit: str = "us") -> Column:
@@ -81,6 +96,12 @@ def micros_between(start: Column, end: Column) -> Column:
     return to_epoch(end) - to_epoch(start)
 
 
+def split_epochs(df: DataFrame, epoch: str, unit: str = "us", name: str = "dt") -> tuple[DataFrame, DataFrame]:
+    """Rows whose epoch is a time of the years 1 to 9999 (as ``name``), and the rejected rows as they came; a NULL epoch is rejected."""
+    fits = epoch_fits(F.col(epoch), unit)
+    return df.where(fits).withColumn(name, from_epoch(F.col(epoch), unit)), df.where(~fits)
+
+
 def split_parsed(df: DataFrame, text: str, name: str = "dt") -> tuple[DataFrame, DataFrame]:
     """Rows whose text parses (with the time as ``name``), and the rejected rows as they came."""
     parsed = df.withColumn(name, parse_strict(F.col(text)))

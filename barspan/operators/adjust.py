@@ -9,7 +9,9 @@ from operator import and_
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barspan.operators.chunks import CARRIED, CHUNK, WHOLE, asof_merge, at, chunk_window, fitting_width, time_chunk, with_next_time
+from barspan.operators.chunks import (
+    CARRIED, CHUNK, TIE, WHOLE, asof_merge, at, chunk_window, fitting_width, time_chunk, with_next_time, with_tie,
+)
 
 OHLC = ["open", "high", "low", "close"]
 # The columns an adjustment table applies to.
@@ -21,10 +23,12 @@ BROADCAST_ROWS_PER_KEY = 512
 
 
 def forward_adjust(
-    df: DataFrame, keys: Sequence[str] = ("symbol",), time: str = "dt", chunk_seconds: int | None = None
+    df: DataFrame, keys: Sequence[str] = ("symbol",), time: str = "dt", chunk_seconds: int | None = None, sequence: str | None = None
 ) -> DataFrame:
     """Add ``adjust_factor`` and ``adj_*`` prices, anchored to the last row of each symbol in ``df``.
 
+    Rows of equal time are ordered by ``sequence``, then by a hash of the row.
+
     The factor of a row is the product of preclose / previous close over all later rows; the last row
     has 1. A row whose next ratio is unknown has no factor; unknown ratios are skipped inside products.
 
@@ -34,7 +38,8 @@ def forward_adjust(
     keys = list(keys)
     if chunk_seconds is None:
         chunk_seconds = fitting_width(df, keys, time)
-    newest_first = chunk_window(keys, F.col(CARRIED).desc(), F.col(time).desc())
+    tied = with_tie(df, sequence)
+    newest_first = chunk_window(keys, F.col(CARRIED).desc(), F.col(time).desc(), F.col(TIE).desc())
     # lead() over a descending window is the previous row, so ratios and products share one sort.
     ratio = F.try_divide(F.col("preclose"), F.lead("close").over(newest_first))
 
@@ -44,12 +49,12 @@ def forward_adjust(
     def later_chunks() -> DataFrame:
         """Per chunk: the product of all later ratios, and whether the next row's ratio is known."""
         ends = (
-            chunked(df.select(*keys, time, "close", "preclose"))
+            chunked(tied.select(*keys, time, TIE, "close", "preclose"))
             .withColumn("_ratio", ratio)
             .groupBy(*keys, CHUNK)
             .agg(
-                F.min_by("preclose", at(time)).alias("_first_preclose"),
-                F.max_by("close", at(time)).alias("_last_close"),
+                F.min_by(F.struct("preclose"), at(time, TIE))["preclose"].alias("_first_preclose"),
+                F.max_by(F.struct("close"), at(time, TIE))["close"].alias("_last_close"),
                 F.product("_ratio").alias("_inner"),
             )
         )
@@ -70,7 +75,7 @@ def forward_adjust(
             .withColumn(CARRIED, F.lit(True))
         )
 
-    rows = chunked(df)
+    rows = chunked(tied)
     if chunk_seconds == WHOLE:
         rows = rows.withColumn("_ratio", ratio).withColumn("_known", F.col("_ratio").isNotNull())
     else:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barspan.functions.predicates import EXCLUDED_CONCEPTS, price_return, regular_name, time_literal
-from barspan.operators.chunks import rolling_max
+from barspan.operators.chunks import rolling_max, run_lengths
 from barspan.operators.membership import members_at_rows, membership_spans
 from barspan.sources.reads import best_rows, last_rows
 
@@ -39,6 +39,22 @@ def recent_limit_up(bars: DataFrame, n: int = 10, chunk_seconds: int | None = No
     return flagged.where(F.col("_max") > 0).select("symbol", "dt")
 
 
+# Limit states of the daily-bar schema.
+LIMIT_UP, ONE_PRICE_UP = 1, 2
+LIMIT_DOWN, ONE_PRICE_DOWN = -1, -2
+
+
+def limit_streaks(bars: DataFrame, chunk_seconds: int | None = None, sequence: str | None = None) -> DataFrame:
+    """The bars with ``lb_up_count`` and ``lb_down_count`` from ``maxupordown``: on which limit-up (limit-down) in a row a stock is, 0 without one.
+
+    A bar with an unknown state ends a streak; days without a bar do not. One-price limits count.
+    """
+    state = F.col("maxupordown")
+    runs = {"lb_up_count": state.isin(LIMIT_UP, ONE_PRICE_UP), "lb_down_count": state.isin(LIMIT_DOWN, ONE_PRICE_DOWN)}
+    out = run_lengths(bars.drop(*runs), ["symbol"], "dt", runs, chunk_seconds, sequence)
+    return out.withColumns({n: F.col(n).cast("int") for n in runs})
+
+
 def limit_up_concepts(
     bars: DataFrame, log: DataFrame, m: int, n: int = 10, days: Sequence[Any] | None = None,
     basic_info: DataFrame | None = None, excluded: Sequence[str] = EXCLUDED_CONCEPTS,
@@ -101,11 +117,6 @@ def hot_list(ranked: DataFrame, top_n: int, date: Any = None) -> DataFrame:
     return best_rows(ranked, top_n, "date", F.col("order"), F.col("symbol"))
 
 
-# Limit states of the daily-bar schema.
-LIMIT_UP, ONE_PRICE_UP = 1, 2
-LIMIT_DOWN, ONE_PRICE_DOWN = -1, -2
-
-
 def market_stats(bars: DataFrame) -> DataFrame:
     """Per day, without special-treatment names: limit-up/down counts and ratios, and the ``lb`` ladder.
 

@@ -38,10 +38,20 @@ CARRIED = "_carried"
 _NO_TIME = -(1 << 62)
 
 
-def at(time: str) -> Column:
-    """The order of a time column in ``max_by`` and ``min_by``, which skip rows whose order is NULL: a struct isn't, and a NULL
+TIE = "_tie"
+
+
+def at(*order: str) -> Column:
+    """The order of rows in ``max_by`` and ``min_by``, which skip rows whose order is NULL: a struct isn't, and a NULL
     time inside it sorts first, as it does in a window."""
-    return F.struct(time)
+    return F.struct(*order)
+
+
+def with_tie(df: DataFrame, sequence: str | None = None) -> DataFrame:
+    """Add what orders rows of equal time: ``sequence``, then a hash of the whole row. Only rows equal in all columns stay tied, so
+    any plan orders them alike."""
+    rest = F.xxhash64(*df.columns)
+    return df.withColumn(TIE, F.struct(F.col(sequence).alias("sequence"), rest.alias("rest")) if sequence else F.struct(rest.alias("rest")))
 
 
 def time_chunk(time: Column, seconds: int) -> Column:
@@ -96,10 +106,10 @@ def with_preceding_rows(
     if seconds == WHOLE or n == 0:
         return rows
     needed = list(dict.fromkeys([*keys, CHUNK, *order, *columns]))
-    if n == 1 and len(order) == 1:
-        # A hash aggregate, combined on the map side.
-        picked = [F.max_by(c, at(order[0])).alias(c) for c in needed if c not in (*keys, CHUNK, order[0])]
-        tails = rows.groupBy(*keys, CHUNK).agg(F.max(order[0]).alias(order[0]), *picked)
+    if n == 1:
+        # Combined on the map side. One struct, so that all columns are of one row.
+        last = F.max_by(F.struct(*[c for c in needed if c not in (*keys, CHUNK)]), at(*order))
+        tails = rows.groupBy(*keys, CHUNK).agg(last.alias("_last")).select(*keys, CHUNK, "_last.*")
     else:
         newest_first = chunk_window(keys, *[F.col(c).desc() for c in order])
         # row_number() <= n is limited on the map side already, so a hot chunk ships n rows per task.
@@ -147,14 +157,73 @@ def with_next_time(df: DataFrame, keys: Sequence[str], time: str, name: str, sec
 
 
 def rolling_max(
-    df: DataFrame, keys: Sequence[str], time: str, column: str, n: int, name: str, seconds: int | None = None
-) -> DataFrame:
-    """Maximum of the last ``n`` rows; NULL until all ``n`` values are present."""
+    df: DataFrame, keys: Sequence[str], time: str, column: str, n: int, name: str, seconds: int | None = None, sequence: str | None = None,
+) -> DataFrame:
+    """Maximum of the last ``n`` rows; NULL until all ``n`` values are present. Rows of equal time are ordered by ``sequence``, then by a hash."""
     seconds = fitting_width(df, keys, time) if seconds is None else seconds
-    rows = with_preceding_rows(df, keys, [time], [column], n - 1, seconds)
-    w = chunk_window(keys, F.col(time)).rowsBetween(1 - n, 0)
+    rows = with_preceding_rows(with_tie(df, sequence), keys, [time, TIE], [column], n - 1, seconds)
+    w = chunk_window(keys, F.col(time).asc_nulls_first(), F.col(TIE).asc_nulls_first()).rowsBetween(1 - n, 0)
     full = F.when(F.count(column).over(w) == n, F.max(column).over(w))
-    return rows.withColumn(name, full).where(~F.col(CARRIED)).drop(CHUNK, CARRIED)
+    return rows.withColumn(name, full).where(~F.col(CARRIED)).drop(CHUNK, CARRIED, TIE)
+
+
+def run_lengths(
+    df: DataFrame, keys: Sequence[str], time: str, runs: dict[str, Column], seconds: int | None = None, sequence: str | None = None
+) -> DataFrame:
+    """For every ``{new name: condition}``: how many rows in a row, up to and including each one, fulfil the condition (0 where it doesn't, or is NULL).
+
+    Within a chunk a row's run began after the last row that breaks it. If there is none the run reaches back into earlier chunks: what
+    they leave comes from a summary with one line per (key, chunk), the rows of the chunk and of the run at its end, and enters
+    the chunk as its oldest row. Rows of equal time are ordered by ``sequence``, then by a hash of the row.
+    """
+    seconds = fitting_width(df, keys, time) if seconds is None else seconds
+    names = list(runs)
+    rows = with_tie(df, sequence).withColumns({CHUNK: time_chunk(F.col(time), seconds), CARRIED: F.lit(False)})
+    rows = rows.withColumns({f"_hit_{n}": F.coalesce(c, F.lit(False)) for n, c in runs.items()})
+    w = chunk_window(keys, F.col(CARRIED).desc(), F.col(time).asc_nulls_first(), F.col(TIE).asc_nulls_first())
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+
+    merged = rows
+    if seconds != WHOLE:
+        order = at(time, TIE)
+        ends = rows.groupBy(*keys, CHUNK).agg(
+            F.count(F.lit(1)).alias("_rows"), *[F.max(F.when(~F.col(f"_hit_{n}"), order)).alias(f"_break_{n}") for n in names]
+        )
+        # Rows behind the chunk's last break: counted against it, by (key, chunk) again.
+        breaks = ends.select(*[F.col(k).alias(f"_k_{k}") for k in [*keys, CHUNK]], *[f"_break_{n}" for n in names])
+        cond = F.lit(True)
+        for k in [*keys, CHUNK]:
+            cond = cond & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+        behind = rows.select(*keys, CHUNK, order.alias("_at")).join(breaks, cond)
+        tails = behind.groupBy(*keys, CHUNK).agg(
+            F.count(F.lit(1)).alias("_rows"),
+            *[F.count_if(F.col(f"_break_{n}").isNull() | (F.col("_at") > F.col(f"_break_{n}"))).alias(f"_tail_{n}") for n in names],
+        )
+        per_key = Window.partitionBy(*keys).orderBy(CHUNK)
+        before = per_key.rowsBetween(Window.unboundedPreceding, -1)
+        all_rows = F.sum("_rows").over(per_key.rowsBetween(Window.unboundedPreceding, 0))
+        tails = tails.withColumn("_upto", all_rows)
+        # A chunk that breaks the run leaves its tail; later whole chunks add their rows to it.
+        left = {
+            f"_left_{n}": F.coalesce(F.last(F.when(F.col(f"_tail_{n}") < F.col("_rows"), F.col(f"_tail_{n}") - F.col("_upto")), ignorenulls=True).over(before), F.lit(0))
+            + F.col("_upto") - F.col("_rows")
+            for n in names
+        }
+        carried = tails.select(*keys, CHUNK, *[c.alias(n) for n, c in left.items()]).withColumn(CARRIED, F.lit(True))
+        merged = rows.unionByName(carried, allowMissingColumns=True)
+    else:
+        merged = rows.withColumns({f"_left_{n}": F.lit(None).cast("bigint") for n in names})
+    place = F.count_if(~F.col(CARRIED)).over(upto)
+    # A row's place grows, so the last break is the one with the largest place.
+    merged = merged.withColumns({f"_break_{n}": F.when(~F.col(CARRIED) & ~F.col(f"_hit_{n}"), place) for n in names})
+
+    def length(n: str) -> Column:
+        last = F.max(f"_break_{n}").over(upto)
+        reach = F.coalesce(F.first(f"_left_{n}", ignorenulls=True).over(upto), F.lit(0))
+        return F.when(last.isNull(), place + reach).otherwise(place - last).cast("bigint")
+
+    merged = merged.withColumns({n: length(n) for n in names})
+    return merged.where(~F.col(CARRIED)).select(*[c for c in df.columns if c not in names], *names)
 
 
 def with_position(
@@ -226,17 +295,17 @@ def asof_merge(
 
 
 def forward_fill(
-    df: DataFrame, keys: Sequence[str], time: str, column: str, name: str, seconds: int | None = None
+    df: DataFrame, keys: Sequence[str], time: str, column: str, name: str, seconds: int | None = None, sequence: str | None = None
 ) -> DataFrame:
-    """Last non-NULL value of ``column`` up to and including each row."""
+    """Last non-NULL value of ``column`` up to and including each row. Rows of equal time are ordered by ``sequence``, then by a hash."""
     seconds = fitting_width(df, keys, time) if seconds is None else seconds
-    rows = df.withColumn(CHUNK, time_chunk(F.col(time), seconds)).withColumn("_v", F.col(column))
+    rows = with_tie(df, sequence).withColumn(CHUNK, time_chunk(F.col(time), seconds)).withColumn("_v", F.col(column))
     merged = rows.withColumn("_side", F.lit(1))
     if seconds != WHOLE:
-        known = rows.where(F.col("_v").isNotNull()).groupBy(*keys, CHUNK).agg(F.max_by("_v", at(time)).alias("_v"))
+        known = rows.where(F.col("_v").isNotNull()).groupBy(*keys, CHUNK).agg(F.max_by("_v", at(time, TIE)).alias("_v"))
         in_force = _latest_before(rows.select(*keys, CHUNK).distinct(), known, keys, "_v")
         merged = merged.unionByName(in_force.withColumn("_side", F.lit(0)), allowMissingColumns=True)
-    w = chunk_window(keys, F.col("_side"), F.col(time)).rowsBetween(Window.unboundedPreceding, 0)
+    w = chunk_window(keys, F.col("_side"), F.col(time).asc_nulls_first(), F.col(TIE)).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        merged.withColumn(name, F.last("_v", ignorenulls=True).over(w)).where(F.col("_side") == 1).drop(CHUNK, "_v", "_side")
+        merged.withColumn(name, F.last("_v", ignorenulls=True).over(w)).where(F.col("_side") == 1).drop(CHUNK, "_v", "_side", TIE)
     )

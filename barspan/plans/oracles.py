@@ -82,6 +82,15 @@ def _clean(table: str) -> str:
     return f"""SELECT * FROM {table} QUALIFY row_number() OVER {w} = 1 OR end_date >= lag(end_date) OVER {w}"""
 
 
+def _streaks(bars: str) -> str:
+    """Rows since the last one outside the state, by symbol."""
+    length = "CAST(n - coalesce(max(n) FILTER (NOT {0}) OVER w, 0) AS INTEGER)"
+    up, down = "maxupordown > 0", "maxupordown < 0"
+    return f"""SELECT symbol, dt, maxupordown, {length.format(f'({up})')} AS lb_up_count, {length.format(f'({down})')} AS lb_down_count
+        FROM (SELECT symbol, dt, maxupordown, row_number() OVER (PARTITION BY symbol ORDER BY dt) AS n FROM {bars})
+        WINDOW w AS (PARTITION BY symbol ORDER BY dt ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+
+
 def _round(*columns: str) -> str:
     return ", ".join(f"round({c}, 8) AS {c}" for c in columns)
 
@@ -288,7 +297,11 @@ BODIES = {
         strftime(dt, '%Y-%m-%d %H:%M:%S.%f') || '007' AS text_ns, date_trunc('milliseconds', dt) AS dt_ms, dt AS dt_ns,
         date_trunc('second', dt) AS dt_s, epoch_us(dt) - epoch_us(TIMESTAMP '2000-01-01') AS micros_since_2000
         FROM time_parsed WHERE dt IS NOT NULL""",
-    "rejected_timestamps": "SELECT event_id, text FROM time_parsed WHERE dt IS NULL",
+    "rejected_timestamps": """SELECT event_id, text FROM time_parsed WHERE dt IS NULL
+        UNION ALL SELECT event_id, CAST((event_id - 100) * 10000000000000 AS VARCHAR) FROM events
+        WHERE (event_id - 100)::HUGEINT * 10000000000000 NOT BETWEEN -62135596800 AND 253402300799""",
+    "limit_up_streaks": _streaks("bars"),
+    "limit_up_streaks_chunked": _streaks("(SELECT symbol, dt, CAST(abs(maxupordown) AS TINYINT) AS maxupordown FROM bars)"),
     "statements_clean": f"SELECT ts_code, f_ann_date, end_date, amount, report_id FROM ({_clean('statements')})",
     "statements_merge": f"""SELECT ts_code, f_ann_date, end_date, a.amount, a.report_id AS income_id, b.amount AS amount_2,
             b.report_id AS balance_id, c.status

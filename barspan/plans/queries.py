@@ -332,6 +332,18 @@ def recent_limit_up(spark, sf):
     return breadth.recent_limit_up(data.daily_bars(spark, sf), 10)
 
 
+@query
+def limit_up_streaks(spark, sf):
+    return breadth.limit_streaks(data.daily_bars(spark, sf).select("symbol", "dt", "maxupordown"))
+
+
+@query
+def limit_up_streaks_chunked(spark, sf):
+    """The way taken for hot symbols: five days a chunk, and streaks that go on over their bounds."""
+    bars = data.daily_bars(spark, sf).select("symbol", "dt", "maxupordown")
+    return breadth.limit_streaks(bars.withColumn("maxupordown", F.abs("maxupordown").cast("tinyint")), 5 * chunks.DAY)
+
+
 @query
 def limitup_concepts(spark, sf):
     return breadth.limit_up_concepts(
@@ -493,8 +505,13 @@ def normalise_timestamps(spark, sf):
 
 @query
 def rejected_timestamps(spark, sf):
+    """Texts that are no time, and epochs beyond the range of times, as text."""
     _, rejected = timestamps.split_parsed(_time_texts(spark, sf), "text")
-    return rejected
+    # Event numbers scaled up to where some fit and others don't, or not even a 64-bit number of microseconds does.
+    epochs = data.table(spark, sf, "events").select("event_id", ((F.col("event_id") - 100) * 1_000_000_000_000_0).alias("epoch"))
+    _, beyond = timestamps.split_epochs(epochs, "epoch", "s")
+    return rejected.unionByName(beyond.select("event_id", F.col("epoch").cast("string").alias("text")))
+
 
 
 # Statements

@@ -122,3 +122,15 @@ def test_from_parts(spark):
     parts = [F.lit(v) for v in (2024, 12, 17, 5, 18)]
     assert _one(spark, ts.from_parts(*parts, F.lit("21.444").cast("decimal(16,6)"))) == dt.datetime(2024, 12, 17, 5, 18, 21, 444000)
     assert _one(spark, ts.from_parts(*[F.lit(v) for v in (2023, 2, 29, 0, 0, 0)])) is None
+
+
+@pytest.mark.parametrize("unit", ["s", "ms", "us", "ns"])
+def test_epochs_out_of_range(spark, unit):
+    """Huge epochs are rejected and end no job; the edges of the range are times."""
+    per = {"s": 1, "ms": 1_000, "us": 1_000_000, "ns": 1_000_000_000}[unit]
+    edges = [x for x in (-62_135_596_800 * per, 253_402_300_800 * per - 1) if abs(x) < 1 << 63]
+    beyond = [x for x in (-62_135_596_800 * per - 1, 253_402_300_800 * per, 9 * 10**18, -(1 << 63)) if abs(x) <= 1 << 63 and unit != "ns"]
+    df = spark.createDataFrame([(x,) for x in [0, -1, *edges, *beyond, None]], "epoch long")
+    good, bad = ts.split_epochs(df, "epoch", unit)
+    assert sorted(r.epoch for r in bad.collect() if r.epoch is not None) == sorted(beyond)
+    assert good.count() == 2 + len(edges) and good.where("dt IS NULL").count() == 0 and bad.count() == len(beyond) + 1

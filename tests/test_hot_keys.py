@@ -257,3 +257,50 @@ def test_fitting_width(spark, bars):
     width = lambda target: chunks.fitting_width(two_days, ["symbol"], "dt", target)
     assert [width(n) for n in (1200, 1199, 600, 599, 100, 1)] == [chunks.WHOLE, chunks.DAY, chunks.DAY, 21_564, 3_600, 36]
     assert chunks.fitting_width(bars.limit(0), ["symbol"], "dt") == chunks.WHOLE
+
+
+def _tied(spark):
+    """Two symbols, many rows of one time, rows without a time, copies."""
+    rng = random.Random(8)
+    rows = []
+    for s in ("A", "B", None):
+        for i in range(60):
+            day = rng.choice([None, *range(1, 9)])
+            at = None if day is None else dt.datetime(2024, 1, day, rng.choice([0, 9]))
+            rows.append((s, at, i % 23, float(rng.randint(1, 9)), rng.choice([None, 2.0, 4.0]), rng.choice([None, -2, -1, 0, 1, 1, 2])))
+    return spark.createDataFrame(rows + rows[:20], "symbol string, dt timestamp_ntz, seq int, close double, preclose double, maxupordown int").repartition(6)
+
+
+@pytest.mark.parametrize("sequence", [None, "seq"])
+def test_equal_times_in_all_widths(spark, sequence):
+    """Whatever the chunk width, rows of equal time come in one order."""
+    df = _tied(spark)
+    ways = {
+        "streaks": lambda w: breadth.limit_streaks(df, w, sequence),
+        "max": lambda w: chunks.rolling_max(df, ["symbol"], "dt", "maxupordown", 3, "top", w, sequence),
+        "fill": lambda w: chunks.forward_fill(df, ["symbol"], "dt", "preclose", "filled", w, sequence),
+        "adjust": lambda w: adjust.forward_adjust(df, chunk_seconds=w, sequence=sequence).withColumn("adjust_factor", F.round("adjust_factor", 9)).drop("adj_close"),
+    }
+    for name, way in ways.items():
+        found = [sorted(map(tuple, way(w).collect()), key=repr) for w in (chunks.WHOLE, 3 * chunks.DAY, chunks.DAY, chunks.HOUR)]
+        assert all(f == found[0] for f in found), name
+
+
+def test_streaks(spark):
+    """Against a plain loop; a streak goes on over chunks without a break, and an unknown state ends it."""
+    rng = random.Random(3)
+    rows = []
+    for s in "ABC":
+        state = 1
+        for d in range(200):
+            state = rng.choice([-1, 0, 1, 2, None]) if rng.random() < 0.1 else state
+            rows.append((s, dt.datetime(2024, 1, 1) + dt.timedelta(days=d), state))
+    want, run = {}, {}
+    for s, at, state in rows:
+        up, down = run.get(s, (0, 0))
+        run[s] = want[s, at] = (up + 1 if state in (1, 2) else 0, down + 1 if state in (-1, -2) else 0)
+    df = spark.createDataFrame(rows, "symbol string, dt timestamp_ntz, maxupordown int")
+    for width in (chunks.WHOLE, 90 * chunks.DAY, 7 * chunks.DAY, chunks.DAY):
+        got = {(r.symbol, r.dt): (r.lb_up_count, r.lb_down_count) for r in breadth.limit_streaks(df, width).collect()}
+        assert got == want
+    assert breadth.limit_streaks(df.limit(0)).collect() == []
