@@ -7,13 +7,15 @@ Replaying it comes down to the last operation of each (index, stock) pair.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 from typing import Any
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barspan.functions.predicates import EXCLUDED_CONCEPTS, time_literal
 from barspan.operators.chunks import CHUNK, DAY, time_chunk
+from barspan.sources.files import list_names
 
 _PAIR = ["index_code", "stock_code"]
 QUARTER = 92 * DAY
@@ -118,3 +120,66 @@ def members_at_rows(rows: DataFrame, spans: DataFrame, horizon: DataFrame, time:
     )
     # Spark's size estimate does not count what explode() adds, so a broadcast must not be planned from it.
     return keyed.join(laid_out.hint("merge"), cond).drop(CHUNK, "_span_chunk", "_stock", "valid_from", "valid_to")
+
+
+_SNAPSHOT = "snapshot"
+
+
+def write_snapshots(log: DataFrame, path: str, months: int = 3) -> None:
+    """Store a membership log for reads at a time: the log by period of ``months``, and the last operation of every pair before each period.
+
+    ``<path>/log`` is partitioned by the first day of the period, ``<path>/state`` holds for each period what the earlier ones left. A pair has
+    a line in a period's state from its first operation on, so the states grow with pairs times periods, not with operations.
+    """
+    period = _period(F.col("tradedate"), months)
+    rows = log.where(F.col("tradedate").isNotNull()).withColumn(_SNAPSHOT, period)
+    rows.repartitionByRange(_SNAPSHOT, *_PAIR, "tradedate").write.mode("overwrite").partitionBy(_SNAPSHOT).parquet(f"{path}/log")
+    spark = log.sparkSession
+    periods = _stored_periods(spark, path)
+    if periods:
+        states = _states(spark.read.parquet(f"{path}/log"), periods)
+        states.repartitionByRange(_SNAPSHOT, *_PAIR).write.mode("overwrite").partitionBy(_SNAPSHOT).parquet(f"{path}/state")
+
+
+def _stored_periods(spark: SparkSession, path: str) -> list[date]:
+    """From the folders' names: one per period."""
+    return [date.fromisoformat(n.split("=")[1]) for n in list_names(spark, f"{path}/log") if n.startswith(f"{_SNAPSHOT}=")]
+
+
+def _period(time: Column, months: int) -> Column:
+    """First day of the period of a time; periods are counted from 1970."""
+    number = F.floor(((F.year(time) - 1970) * 12 + F.month(time) - 1) / months)
+    return F.add_months(F.lit("1970-01-01").cast("date"), (number * months).cast("int"))
+
+
+def _states(log: DataFrame, periods: Sequence[date]) -> DataFrame:
+    """(pair, tradedate, seq, op, snapshot): the last operation of each pair before each period that has a log.
+
+    Operations of a pair are reduced to the last one of each period; each is the state of the periods behind it up to the next one's.
+    """
+    last = log.groupBy(*_PAIR, _SNAPSHOT).agg(F.max_by(F.struct("tradedate", "seq", "op"), F.struct("tradedate", "seq")).alias("_last"))
+    following = F.lead(_SNAPSHOT).over(Window.partitionBy(*_PAIR).orderBy(_SNAPSHOT))
+    spans = last.select(*_PAIR, "_last.*", F.col(_SNAPSHOT).alias("_own"), following.alias("_next"))
+    every = F.array(*map(F.lit, periods))
+    covered = F.filter(every, lambda p: (p > F.col("_own")) & (F.col("_next").isNull() | (p <= F.col("_next"))))
+    return spans.withColumn(_SNAPSHOT, F.explode(covered)).drop("_own", "_next")
+
+
+def members_from_snapshots(
+    spark: SparkSession, path: str, at: Any, index_codes: Sequence[str] | None = None, stock_codes: Sequence[str] | None = None,
+    excluded: Sequence[str] = (),
+) -> DataFrame:
+    """As ``members``, from a stored log: one period's state and that period's log are read, earlier and later partitions are not opened.
+
+    The period is found among the folders' names. Operations from the period's start up to the time are replayed onto the state.
+    """
+    asked = spark.range(1).select(F.to_date(time_literal(at)).alias("day")).first().day
+    reached = [p for p in _stored_periods(spark, path) if asked is not None and p <= asked]
+    if not reached:
+        return spark.createDataFrame([], "index_code string, stock_code string")
+    log = spark.read.parquet(f"{path}/log")
+    chosen = F.col(_SNAPSHOT) == F.lit(max(reached))
+    rows = log.where(chosen).select(*_PAIR, "tradedate", "op", "seq")
+    if len(reached) > 1:
+        rows = rows.unionByName(spark.read.parquet(f"{path}/state").where(chosen).select(*_PAIR, "tradedate", "op", "seq"))
+    return members(rows, at, index_codes, stock_codes, excluded)

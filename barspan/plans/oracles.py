@@ -300,6 +300,11 @@ BODIES = {
     "rejected_timestamps": """SELECT event_id, text FROM time_parsed WHERE dt IS NULL
         UNION ALL SELECT event_id, CAST((event_id - 100) * 10000000000000 AS VARCHAR) FROM events
         WHERE (event_id - 100)::HUGEINT * 10000000000000 NOT BETWEEN -62135596800 AND 253402300799""",
+    "members_from_snapshots": " UNION ALL ".join(
+        f"""SELECT index_code, stock_code, '{at}' AS at FROM log WHERE tradedate <= TIMESTAMP '{at}'
+        GROUP BY 1, 2 HAVING arg_max(op, {{'t': tradedate, 's': seq}}) = 1"""
+        for at in ("1992-02-01 00:00:00", "1995-07-01 00:00:00", "1998-12-31 00:00:00")
+    ),
     "limit_up_streaks": _streaks("bars"),
     "limit_up_streaks_chunked": _streaks("(SELECT symbol, dt, CAST(abs(maxupordown) AS TINYINT) AS maxupordown FROM bars)"),
     "statements_clean": f"SELECT ts_code, f_ann_date, end_date, amount, report_id FROM ({_clean('statements')})",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,7 @@ QUERIES: dict[str, Query] = {}
 # Points in time used as parameters.
 RANGE = ("2024-01-08 00:00:00", "2024-01-20 00:00:00")
 MEMBERS_AT = "1999-01-01 00:00:00"
+MEMBERS_ATS = ("1992-02-01 00:00:00", "1995-07-01 00:00:00", "1998-12-31 00:00:00")
 BAR_COLUMNS = ["symbol", "dt", "open", "high", "low", "close", "volume"]
 CONCEPTS = ["885503.TI", "885507.TI", "885511.TI", "885514.TI"]
 
@@ -418,6 +420,15 @@ def members_of_index(spark, sf):
     return membership.members(data.membership_log(spark, sf), MEMBERS_AT)
 
 
+@query
+def members_from_snapshots(spark, sf):
+    """Members at three times from a stored log: in its first period, in the middle and at the end."""
+    path = scratch_dir(spark, "membership")
+    membership.write_snapshots(data.membership_log(spark, sf), path, months=6)
+    found = [membership.members_from_snapshots(spark, path, at).withColumn("at", F.lit(at)) for at in MEMBERS_ATS]
+    return reduce(DataFrame.unionByName, found)
+
+
 @query
 def indexes_of_stock(spark, sf):
     return membership.indexes_of_stocks(data.membership_log(spark, sf), MEMBERS_AT)

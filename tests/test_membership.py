@@ -126,3 +126,22 @@ def test_hot_list(spark):
     df = spark.createDataFrame([(x, s, o) for x in d for s, o in [("b", 2), ("a", 2), ("c", 1), ("d", 9)]], 'date timestamp_ntz, symbol string, `order` int')
     assert [r.symbol for r in breadth.hot_list(df, 2, d[0]).collect()] == ["c", "a"]
     assert sorted((r.date, r.symbol) for r in breadth.hot_list(df, 2).collect()) == [(x, s) for x in d for s in ("a", "c")]
+
+
+def test_snapshots_equal_the_replay(spark, tmp_path):
+    """At any time the same members as the whole log; only one period of either table is read."""
+    rng = random.Random(2)
+    rows = [(f"i{rng.randint(0, 4)}", f"s{rng.randint(0, 30)}", dt.datetime(2020, 1, 1) + dt.timedelta(days=rng.randint(0, 900), hours=rng.choice([0, 9])), rng.choice([0, 1, 1]), i) for i in range(3000)]
+    rows += [("i9", "early", dt.datetime(2020, 1, 5), 1, 4000), ("i9", "none", None, 1, 4001)]
+    log = spark.createDataFrame(rows, "index_code string, stock_code string, tradedate timestamp_ntz, op int, seq long")
+    path = str(tmp_path / "members")
+    membership.write_snapshots(log, path)
+    pairs = lambda df: sorted(map(tuple, df.collect()))
+    for at in ("2019-12-31 00:00:00", "2020-01-05 00:00:00", "2020-03-31 10:00:00", "2020-04-01 00:00:00", "2021-07-11 09:00:00", "2030-01-01 00:00:00"):
+        found = membership.members_from_snapshots(spark, path, at)
+        assert pairs(found) == pairs(membership.members(log, at))
+    assert ("i9", "early") in pairs(found)
+    some = membership.members_from_snapshots(spark, path, "2021-07-11 09:00:00", index_codes=["i1", "i2"], excluded=["i2"])
+    assert pairs(some) == pairs(membership.members(log, "2021-07-11 09:00:00", index_codes=["i1"]))
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == plan.count("PartitionFilters: [isnotnull(snapshot") >= 2
