@@ -309,3 +309,43 @@ def repaired(turns):
                 for new in ("user", "assistant"):
                     if new[0] in follow[state]:
                         heapq.heappush(heap, (cost + 1 + more, audit + "R", at + 1, new[0], (*out, f"{new}:{text}")))
+
+
+def language_model(rows):
+    """{lang: {bucket: n}} and rows per language of (text, lang), by character n-grams of one to three in plain integers."""
+    counts, sizes = defaultdict(lambda: defaultdict(int)), defaultdict(int)
+    for text, lang in rows:
+        sizes[lang] += 1
+        for b in ngram_buckets(text):
+            counts[lang][b] += 1
+    return counts, sizes
+
+
+def ngram_buckets(text):
+    mask = (1 << 64) - 1
+    points = [c if c.isalpha() else " " for c in f" {text.lower()} "]
+    for n in (1, 2, 3):
+        for i in range(len(points) - n + 1):
+            gram = points[i : i + n]
+            if any(c != " " for c in gram):
+                code = n
+                for c in gram:
+                    code = (code * 0x9E3779B97F4A7C15 + ord(c)) & mask
+                code = ((code ^ code >> 30) * 0xBF58476D1CE4E5B9) & mask
+                code = ((code ^ code >> 27) * 0x94D049BB133111EB) & mask
+                yield (code ^ code >> 31) % 32768
+
+
+def language(model, text):
+    """Language and posterior."""
+    import math
+
+    counts, sizes = model
+    if not any(c.isalpha() for c in (text or "").lower()):
+        return "und", 0.0
+    sums = {}
+    for lang in sorted(sizes):
+        total = sum(counts[lang].values()) + 0.5 * 32768
+        sums[lang] = math.log(sizes[lang] / sum(sizes.values())) + sum(math.log((counts[lang][b] + 0.5) / total) for b in ngram_buckets(text))
+    best = max(sums, key=sums.get)
+    return best, 1 / sum(math.exp(x - sums[best]) for x in sums.values())
