@@ -76,16 +76,16 @@ def fitting_width(df: DataFrame, keys: Sequence[str], time: str, target_rows: in
     over keys and times alone, combined on the map side. Only speed depends on the answer: give a width to
     save the count, for instance where ``df`` is expensive to compute.
     """
-    if _busiest(df, *keys) <= target_rows:
+    if busiest(df, *keys) <= target_rows:
         return WHOLE
-    busiest_day = _busiest(df, *keys, time_chunk(F.col(time), DAY).alias(CHUNK))
+    busiest_day = busiest(df, *keys, time_chunk(F.col(time), DAY).alias(CHUNK))
     if busiest_day <= target_rows:
         return DAY
     # Trading is uneven within a day.
     return max(1, DAY * target_rows // (busiest_day * _UNEVEN))
 
 
-def _busiest(df: DataFrame, *groups: str | Column) -> int:
+def busiest(df: DataFrame, *groups: str | Column) -> int:
     return df.groupBy(*groups).count().agg(F.max("count")).first()[0] or 0
 
 
