@@ -183,12 +183,9 @@ def run_lengths(
     w = chunk_window(keys, F.col(CARRIED).desc(), F.col(time).asc_nulls_first(), F.col(TIE).asc_nulls_first())
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
 
-    merged = rows
     if seconds != WHOLE:
         order = at(time, TIE)
-        ends = rows.groupBy(*keys, CHUNK).agg(
-            F.count(F.lit(1)).alias("_rows"), *[F.max(F.when(~F.col(f"_hit_{n}"), order)).alias(f"_break_{n}") for n in names]
-        )
+        ends = rows.groupBy(*keys, CHUNK).agg(*[F.max(F.when(~F.col(f"_hit_{n}"), order)).alias(f"_break_{n}") for n in names])
         # Rows behind the chunk's last break: counted against it, by (key, chunk) again.
         breaks = ends.select(*[F.col(k).alias(f"_k_{k}") for k in [*keys, CHUNK]], *[f"_break_{n}" for n in names])
         cond = F.lit(True)
