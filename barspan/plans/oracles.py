@@ -338,6 +338,10 @@ BODIES = {
     "drop_fields": "SELECT report_id, amount FROM documents_",
     "schema_evolution": """SELECT symbol, dt, open, high, low, close, CASE WHEN trade_date < DATE '2024-01-11' THEN volume END AS volume,
         round(preclose, 8) AS preclose, trade_date FROM bars WHERE trade_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-18'""",
+    "day_store_long_adjusted": f"""SELECT dt, symbol, open, close, {_round('preclose', 'adjust_factor')},
+            round(open * adjust_factor, 8) AS adj_open, round(close * adjust_factor, 8) AS adj_close
+        FROM adjusted WHERE CAST(dt AS DATE) IN (SELECT DISTINCT trade_date FROM bars
+            WHERE trade_date <= DATE '2024-01-14' ORDER BY 1 DESC LIMIT 10)""",
     "day_store_adjusted": f"""SELECT dt, symbol, open, close, {_round('preclose', 'adjust_factor')},
             round(open * adjust_factor, 8) AS adj_open, round(close * adjust_factor, 8) AS adj_close, part
         FROM (SELECT *, CASE WHEN lead(dt) OVER w IS NULL THEN 1.0::DOUBLE WHEN lead(ratio) OVER w IS NULL THEN NULL

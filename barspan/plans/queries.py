@@ -16,7 +16,7 @@ from barspan.operators import trading_calendar as cal
 from barspan.plans import standins as data
 from barspan.schemas import DAILY_WITH_SYMBOL, TICKS_WITH_SYMBOL
 from barspan.session import scratch_dir
-from barspan.sources import day_files, delimited, grid, reads, registry
+from barspan.sources import day_files, delimited, grid, reads, registry, stored_factors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -798,6 +798,19 @@ def day_store_adjusted(spark, sf):
     return rounded(out, "preclose", "adjust_factor", "adj_open", "adj_close")
 
 
+@query
+def day_store_long_adjusted(spark, sf):
+    """Days in the middle of a store, anchored to the newest stored row by stored products; half the days were appended after the first products."""
+    bars = data.daily_bars(spark, sf).select(*BAR_COLUMNS, "preclose", "trade_date")
+    path, products = _dataset(spark, sf, "long_adjusted", bars.where("dt < '2024-01-17'"))[0], scratch_dir(spark, "products")
+    stored_factors.write_products(spark, path, products, period_days=5)
+    maintenance.append(bars.where("dt >= '2024-01-17'"), path)
+    stored_factors.write_products(spark, path, products, period_days=5)
+    days = [d for d in day_files.list_days(spark, path) if d <= "2024-01-14"][-10:]
+    out = stored_factors.read_adjusted(spark, path, products, days, ["dt", "symbol", "open", "close", "preclose"])
+    return rounded(out, "preclose", "adjust_factor", "adj_open", "adj_close")
+
+
 @query
 def named_sources(spark, sf):
     config = {
