@@ -27,16 +27,24 @@ def _unit(unit: str) -> int:
 _FIRST_SECOND, _BEYOND_SECOND = -62_135_596_800, 253_402_300_800
 
 
+def _whole(value: Column) -> Column:
+    """A number as bigint, NULL where 64 bits don't hold it. The range is tested first: a cast that fails makes an exception for every row."""
+    return F.when(value.between(-(1 << 63), (1 << 63) - 1), value.try_cast("bigint"))
+
+
 def epoch_fits(value: Column, unit: str = "us") -> Column:
-    """Whether an epoch number is a time of the years 1 to 9999; false for NULL."""
+    """Whether an epoch number is a time of the years 1 to 9999; false for NULL and for numbers (of any unit) that 64 bits don't hold."""
     per_second = _NANOS if unit == "ns" else 1_000_000 // _unit(unit)
     first, last = (max(min(x, (1 << 63) - 1), -(1 << 63)) for x in (_FIRST_SECOND * per_second, _BEYOND_SECOND * per_second - 1))
-    return F.coalesce(value.cast("bigint").between(first, last), F.lit(False))
+    return F.coalesce(_whole(value).between(first, last), F.lit(False))
 
 
 def from_epoch(value: Column, unit: str = "us") -> Column:
-    """Epoch number to a naive timestamp; nanoseconds are floored to microseconds. NULL for times outside the years 1 to 9999."""
-    whole = value.cast("bigint")
+    """Epoch number to a naive timestamp; nanoseconds are floored to microseconds.
+
+    NULL for times outside the years 1 to 9999 and for numbers that 64 bits don't hold.
+    """
+    whole = _whole(value)
     # The product is only formed where it fits.
     micros = F.when(epoch_fits(value, unit), _floor_div(whole, 1000) if unit == "ns" else whole * F.lit(_unit(unit)).cast("bigint"))
     # Day and rest are added to a naive origin, so the session time zone plays no part.
@@ -97,7 +105,10 @@ def micros_between(start: Column, end: Column) -> Column:
 
 
 def split_epochs(df: DataFrame, epoch: str, unit: str = "us", name: str = "dt") -> tuple[DataFrame, DataFrame]:
-    """Rows whose epoch is a time of the years 1 to 9999 (as ``name``), and the rejected rows as they came; a NULL epoch is rejected."""
+    """Rows whose epoch is a time of the years 1 to 9999 (as ``name``), and the rejected rows as they came; a NULL epoch is rejected.
+
+    Epochs that may outgrow 64 bits come as decimals.
+    """
     fits = epoch_fits(F.col(epoch), unit)
     return df.where(fits).withColumn(name, from_epoch(F.col(epoch), unit)), df.where(~fits)
 

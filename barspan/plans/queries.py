@@ -519,7 +519,9 @@ def rejected_timestamps(spark, sf):
     """Texts that are no time, and epochs beyond the range of times, as text."""
     _, rejected = timestamps.split_parsed(_time_texts(spark, sf), "text")
     # Event numbers scaled up to where some fit and others don't, or not even a 64-bit number of microseconds does.
-    epochs = data.table(spark, sf, "events").select("event_id", ((F.col("event_id") - 100) * 1_000_000_000_000_0).alias("epoch"))
+    # Decimals, as the epochs of event numbers from 922,438 on don't fit 64 bits; any 64-bit event number gives at most 33 digits.
+    number = F.col("event_id").cast("decimal(20,0)")
+    epochs = data.table(spark, sf, "events").select("event_id", ((number - 100) * 1_000_000_000_000_0).alias("epoch"))
     _, beyond = timestamps.split_epochs(epochs, "epoch", "s")
     return rejected.unionByName(beyond.select("event_id", F.col("epoch").cast("string").alias("text")))
 

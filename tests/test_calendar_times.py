@@ -1,12 +1,14 @@
 """Golden dates and times, and trading-calendar answers."""
 
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from barspan.functions import timestamps as ts
 from barspan.operators import trading_calendar as cal
+from barspan.plans.queries import QUERIES
 
 NANOS = 1734412701444555666
 
@@ -134,3 +136,32 @@ def test_epochs_out_of_range(spark, unit):
     good, bad = ts.split_epochs(df, "epoch", unit)
     assert sorted(r.epoch for r in bad.collect() if r.epoch is not None) == sorted(beyond)
     assert good.count() == 2 + len(edges) and good.where("dt IS NULL").count() == 0 and bad.count() == len(beyond) + 1
+
+
+@pytest.mark.parametrize("unit", ["s", "ms", "us", "ns"])
+def test_epochs_beyond_64_bits(spark, unit):
+    """Decimals that 64 bits don't hold are rejected as they came; the others are taken as ever."""
+    beyond = [1 << 63, -(1 << 63) - 1, 1 << 64, 10**33, -(10**35)]
+    df = spark.createDataFrame([(Decimal(x),) for x in [0, -1, *beyond]] + [(None,)], "epoch decimal(36,0)")
+    good, bad = ts.split_epochs(df, "epoch", unit)
+    assert sorted(int(r.epoch) for r in bad.collect() if r.epoch is not None) == sorted(beyond) and bad.count() == len(beyond) + 1
+    step = {"s": dt.timedelta(seconds=1), "ms": dt.timedelta(milliseconds=1)}.get(unit, dt.timedelta(microseconds=1))
+    assert {int(r.epoch): r.dt for r in good.collect()} == {0: dt.datetime(1970, 1, 1), -1: dt.datetime(1970, 1, 1) - step}
+    given = df.select("epoch", ts.from_epoch(F.col("epoch"), unit).alias("dt")).where("dt IS NOT NULL")
+    assert sorted(int(r.epoch) for r in given.collect()) == [-1, 0]
+
+
+def test_rejected_timestamps_of_large_event_numbers(spark, tmp_path):
+    """Event numbers whose scaled epochs pass 64 bits give exact texts, up to the ends of the 64-bit range."""
+    ids = [0, 99, 100, 101, 922_437, 922_438, 922_536, 922_537, 922_538, 5_999_999, (1 << 63) - 1, -(1 << 63)]
+    at = dt.datetime(2024, 1, 3, 4, 5, 6, 123456)
+    spark.createDataFrame([(i, at) for i in ids], "event_id long, ts timestamp_ntz").write.parquet(f"{tmp_path}/events.parquet")
+    got = [(r.event_id, r.text) for r in QUERIES["rejected_timestamps"](spark, str(tmp_path)).collect()]
+    texts = {4: "2024-01-03 04:05:06.12", 5: "2024-01-03 04:05:06.1g99", 6: "2024-02-30 04:05:06"}
+
+    def layout(i):  # The remainder keeps the sign of the number, and negative ones take the last layout.
+        return i % 7 if i >= 0 else 6
+
+    want = [(i, texts[layout(i)]) for i in ids if layout(i) in texts]
+    want += [(i, str((i - 100) * 10**13)) for i in ids if not -62_135_596_800 <= (i - 100) * 10**13 < 253_402_300_800]
+    assert sorted(got) == sorted(want)
