@@ -1,8 +1,9 @@
 """Hash-compared suffix sort: which fixed-length prefixes of suffixes repeat an earlier one.
 
-Suffixes are sorted by a bottom-up mergesort. Two suffixes are compared by the length of their common extension,
-found by binary search over prefix polynomial hashes, and then by one byte; so a comparison takes a logarithmic number of steps. All
-merges of a level, of all classes, run together: each suffix finds its rank in the sibling run by a binary search of its own.
+Suffixes are sorted by a quicksort of many ways, all classes together. Two suffixes are compared by the length of their common extension,
+found by binary search over prefix polynomial hashes. Each member of a group is compared with the group's first; that length, the side and the
+eight bytes behind it part the group. What is left together agrees in eight bytes more, so there are at most length / 8 + 1 rounds,
+each linear but for sorting the groups that part.
 Neighbours that the hashes call equal are compared byte by byte; a class with a collision is sorted again by its bytes.
 """
 
@@ -28,11 +29,58 @@ def _extension(prefix: np.ndarray, a: np.ndarray, b: np.ndarray, length: int) ->
     return low
 
 
-def _before(data: np.ndarray, prefix: np.ndarray, a: np.ndarray, b: np.ndarray, length: int, ties: bool) -> np.ndarray:
-    """Whether the suffix at a sorts before that at b; equal ones give ``ties``."""
-    common = _extension(prefix, a, b, length)
-    at = np.minimum(common, length - 1)
-    return np.where(common >= length, ties, data[a + at] < data[b + at])
+def _agree(prefix: np.ndarray, a: np.ndarray, b: np.ndarray, length: int) -> np.ndarray:
+    """Whether the hashes call the first ``length`` bytes at a and b equal."""
+    _, down = tx.powers(len(prefix))
+    return (prefix[a + length] - prefix[a]) * down[a] == (prefix[b + length] - prefix[b]) * down[b]
+
+
+def _words(data: np.ndarray, kind: str = ">u8") -> np.ndarray:
+    """The eight bytes from each position on as one number, by default one that sorts as they do; zeros behind the end."""
+    padded = np.append(data, np.zeros(8, np.uint8))
+    return np.ndarray((len(data) + 1,), kind, padded, 0, (1,))
+
+
+def same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, length: int) -> np.ndarray:
+    """Whether the ``length`` bytes at a and at b agree."""
+    words, out = _words(data, "=u8"), np.ones(len(a), bool)
+    for at in [*range(0, length - 7, 8), length - 8] if length >= 8 else []:
+        out &= words[a + at] == words[b + at]
+    for at in range(length if length < 8 else 0):
+        out &= data[a + at] == data[b + at]
+    return out
+
+
+def _grouped(data: np.ndarray, prefix: np.ndarray, at: np.ndarray, classes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of ``sort_suffixes``, and for each place the first place whose suffix the hashes call equal to the one there."""
+    words, order = _words(data), np.arange(len(at))
+    begin = np.searchsorted(classes, classes, side="left")
+    open_ = np.flatnonzero((np.searchsorted(classes, classes, side="right") - begin) > 1)
+    while len(open_):
+        mine, first = at[order[open_]], at[order[begin[open_]]]
+        common, key = np.full(len(open_), length, np.int64), np.zeros(len(open_), np.uint64)
+        rank = np.zeros(len(open_), np.int64)
+        unequal = np.flatnonzero(~_agree(prefix, mine, first, length))
+        common[unequal] = _extension(prefix, mine[unequal], first[unequal], length)
+        unequal = unequal[common[unequal] < length]
+        behind, left = common[unequal], np.maximum(8 - (length - common[unequal]), 0).astype(np.uint64) * np.uint64(8)
+        key[unequal] = words[mine[unequal] + behind].astype(np.uint64) >> left
+        less = key[unequal] < words[first[unequal] + behind].astype(np.uint64) >> left
+        # What is less than the first comes by growing common length, what is greater by falling.
+        rank[unequal] = np.where(less, behind - length, length - behind)
+        # Only groups with a member unlike the first are sorted; the others are settled.
+        group = np.cumsum(np.append(0, begin[open_[1:]] != begin[open_[:-1]]))
+        parted = np.zeros(group[-1] + 1, bool)
+        parted[group[unequal]] = True
+        some = np.flatnonzero(parted[group])
+        open_, rank, key = open_[some], group[some] * (2 * length + 1) + rank[some] + length, key[some]
+        by = np.lexsort((key, rank))
+        order[open_], rank, key = order[open_[by]], rank[by], key[by]
+        new = np.flatnonzero(np.append(True, (rank[1:] != rank[:-1]) | (key[1:] != key[:-1]))[: len(open_)])
+        sizes = np.diff(np.append(new, len(open_)))
+        begin[open_] = np.repeat(open_[new], sizes)
+        open_ = open_[np.repeat((sizes > 1) & (rank[new] % (2 * length + 1) != length), sizes)]
+    return order, begin
 
 
 def sort_suffixes(data: np.ndarray, prefix: np.ndarray, at: np.ndarray, classes: np.ndarray, length: int) -> np.ndarray:
@@ -40,42 +88,7 @@ def sort_suffixes(data: np.ndarray, prefix: np.ndarray, at: np.ndarray, classes:
 
     ``classes`` ascend.
     """
-    n = len(at)
-    order = np.arange(n)
-    begin = np.searchsorted(classes, classes, side="left")
-    end = np.searchsorted(classes, classes, side="right")
-    size, width = int((end - begin).max(initial=0)), 1
-    place = np.arange(n)
-    while width < size:
-        # The element at place i is in a run of ``width``; its sibling run is the other one of the pair.
-        inner = place - begin
-        run = inner // width
-        left = run % 2 == 0
-        sibling = np.where(left, run + 1, run - 1) * width + begin
-        low = np.minimum(sibling, end)
-        high = np.minimum(sibling + width, end)
-        first = low.copy()
-        mine = at[order]
-        open_ = np.flatnonzero(low < high)
-        while len(open_):
-            middle = (low[open_] + high[open_]) >> 1
-            other = mine[middle]
-            # A suffix of the left run stays before equal ones of the right run.
-            other_first = _before(data, prefix, other, mine[open_], length, ties=False)
-            tie_right = ~left[open_] & ~other_first
-            if tie_right.any():
-                i = np.flatnonzero(tie_right)
-                other_first[i] = ~_before(data, prefix, mine[open_[i]], other[i], length, ties=False)
-            low[open_] = np.where(other_first, middle + 1, low[open_])
-            high[open_] = np.where(other_first, high[open_], middle)
-            open_ = open_[low[open_] < high[open_]]
-        rank = low - first
-        base = np.where(left, place, place - width)
-        moved = np.empty(n, np.int64)
-        moved[base + rank] = order
-        order = moved
-        width *= 2
-    return order
+    return _grouped(data, prefix, at, classes, length)[0]
 
 
 def repeats(data: np.ndarray, at: np.ndarray, classes: np.ndarray, length: int) -> np.ndarray:
@@ -90,18 +103,13 @@ def repeats(data: np.ndarray, at: np.ndarray, classes: np.ndarray, length: int)
     at, classes = at[several], classes[several]
     if not len(at):
         return out
-    order = sort_suffixes(data, prefix, at, classes, length)
-    a, b = at[order[:-1]], at[order[1:]]
-    same = classes[order[:-1]] == classes[order[1:]]
-    pairs = np.flatnonzero(same)
-    equal = np.zeros(len(order), bool)
-    equal[pairs + 1] = _extension(prefix, a[pairs], b[pairs], length) >= length
+    order, begin = _grouped(data, prefix, at, classes, length)
+    equal = np.append(False, begin[1:] == begin[:-1])
     broken: set[int] = set()
-    span = np.arange(length)
     claimed = np.flatnonzero(equal)
     for i in range(0, len(claimed), _VERIFY):
         some = claimed[i : i + _VERIFY]
-        true = (data[a[some - 1][:, None] + span] == data[b[some - 1][:, None] + span]).all(axis=1)
+        true = same_bytes(data, at[order[some - 1]], at[order[some]], length)
         broken.update(classes[order[some[~true]]].tolist())
     out[several[order[equal]]] = True
     for c in broken:

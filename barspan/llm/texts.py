@@ -91,6 +91,12 @@ def span_hashes(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nd
     return mix((prefix[end] - prefix[start]) * down[start] + (end - start).astype(np.uint64))
 
 
+def every_span_hash(prefix: np.ndarray, width: int) -> np.ndarray:
+    """``span_hashes`` of all substrings of ``width`` bytes, by start."""
+    _, down = powers(len(prefix) - width)
+    return mix((prefix[width:] - prefix[:-width]) * down + np.uint64(width))
+
+
 def content_hashes(data: np.ndarray, prefix: np.ndarray, start: np.ndarray, end: np.ndarray, family: int = 0) -> np.ndarray:
     """Hashes of the substrings [start, end) that also tell long ones apart.
 

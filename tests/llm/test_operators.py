@@ -154,6 +154,30 @@ def test_repeated_bytes_of_crowded_anchors_and_rows_given_twice(spark, docs, mon
     assert len(found) == len(docs) + 2 and all(tuple(r) == want[r.doc_id] for r in found)
 
 
+def test_repeated_bytes_of_runs(spark, monkeypatch):
+    """Rule lines of many lengths, between words that differ."""
+    some = [(i, f"{i} before\n" + "=" * (120 + 7 * i) + f"\n{i % 3} after\n" + "-~" * (40 + i) + f" {i}") for i in range(60)]
+    some += [(100, "=" * 2000), (101, "=" * 100), (102, "~" + "-~" * 300), (103, "=" * 99)]
+    found = query_on(frame(spark, some), "op6_repeated_bytes", spark, monkeypatch)
+    assert rows(found) == sorted(brute.repeated_bytes(some), key=repr)
+
+
+def test_few_blocks_of_many_windows_are_spread(spark, monkeypatch):
+    """Three blocks of one anchor hold more windows than the bound, so they come in parts with several keys."""
+    monkeypatch.setattr(repeated_bytes, "CROWDED", (50, 10_000))
+    passage = "the quick brown fox jumps over the lazy dog while nine wizards juggle boxes of liquor on a frozen pond before dawn"
+    texts = [(i, f"{brute.sha256(str(i).encode())} {passage} {brute.sha256(str(-i).encode())}") for i in range(1, 4)]
+    docs = repeated_bytes._rows(frame(spark, texts), "doc_id", "text")
+    blocks = repeated_bytes._block_rows(docs, 100, 40).collect()
+    sizes = {a: [b.n for b in blocks if b.anchor == a] for a in {b.anchor for b in blocks}}
+    most = max(sizes, key=lambda a: (len(sizes[a]), sum(sizes[a])))
+    own = [b for b in blocks if b.anchor == most]
+    assert len(own) == 3 and sum(sizes[most]) > 50
+    undecided = spark.createDataFrame([(b.anchor, b.doc, b.place, b.n) for b in own], "anchor long, doc long, place long, n int")
+    parts = repeated_bytes._undecided_bytes(docs, undecided, 100, 40).collect()
+    assert len({p.key for p in parts}) > 1 and sum(p.n for p in parts) == sum(sizes[most])
+
+
 @pytest.mark.parametrize("extra", [[], EXTRA])
 @pytest.mark.parametrize("least", [(40, 5), (1, 2)])
 def test_line_dedup(spark, docs, extra, least):

@@ -66,6 +66,36 @@ def test_suffix_sort_survives_collisions(monkeypatch):
     assert suffix_sort.repeats(text, at, np.zeros(4, int), 3).tolist() == [False, False, True, False]
 
 
+def test_suffix_sort_compares_a_large_class_a_few_times(monkeypatch):
+    """Twenty thousand suffixes of one class, half of them alike: no more than eight comparisons each."""
+    compared, extension = [], suffix_sort._extension
+    monkeypatch.setattr(suffix_sort, "_extension", lambda prefix, a, *rest: compared.append(len(a)) or extension(prefix, a, *rest))
+    text = np.random.default_rng(3).integers(97, 101, 10_100).astype(np.uint8)
+    text = np.concatenate([text, text])
+    at = np.concatenate([np.arange(10_000), np.arange(10_100, 20_100)])
+    found = suffix_sort.repeats(text, at, np.zeros(len(at), int), 100)
+    assert found.tolist() == [False] * 10_000 + [True] * 10_000 and sum(compared) < 8 * len(at)
+
+
+@pytest.mark.parametrize("same", [True, False])
+def test_windows_that_repeat_within_their_block(same, monkeypatch):
+    """Of runs of one character or of a few only the first windows are left, unless the bytes say that the hashes collide."""
+    texts = ["x" * 5000 + " and then " + "-=" * 3000, "no run here, but words enough for a window or two " * 2, "z" * 99, "y" * 300]
+    found = tx.Texts(pa.array(texts, pa.large_string()))
+    if not same:
+        monkeypatch.setattr(suffix_sort, "same_bytes", lambda data, a, b, length: np.zeros(len(a), bool))
+    blocks = repeated_bytes._blocks_of(found, 100, 40)
+    *_, text, first, count = repeated_bytes._own_repeats(found, blocks, 100)
+    known = count >= repeated_bytes._KNOWN
+    assert known.any() == same and (count < 0).any() != same
+    windows = sorted((t, f + i, k) for t, f, n, k in zip(text.tolist(), first.tolist(), count.tolist(), known.tolist()) for i in range(abs(n) % repeated_bytes._KNOWN))
+    assert [w[:2] for w in windows] == [(t, p) for t, x in enumerate(texts) for p in range(len(x) - 99)]
+    if same:
+        for t, p, k in windows:
+            assert not k or texts[t].find(texts[t][p : p + 100]) < p
+        assert sum(not k for t, _, k in windows if t != 1) < 400
+
+
 @given(st.lists(st.text(st.sampled_from("ab \n"), max_size=40), min_size=1, max_size=5), st.integers(3, 9))
 @settings(deadline=None, max_examples=60)
 def test_blocks_cover_every_window_once(texts, length):
